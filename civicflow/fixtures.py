@@ -69,5 +69,20 @@ def raw_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def spread_small_input(df: DataFrame, key: str) -> DataFrame:
+    """Give a scan with fewer splits than cores one partition per core.
+
+    A small file holding a single row group is read by one task, and the per-row
+    parse would then use one core.  Large inputs already have many splits and are
+    returned unchanged (no shuffle).  Hash of a unique column: even, and the same
+    rows land in the same partition when a task is retried.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, F.col(key))
+
+
 def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_from_events(read_table(spark, sf_dir, "events"))
+    events = spread_small_input(read_table(spark, sf_dir, "events"), "event_id")
+    return raw_from_events(events)

@@ -12,8 +12,7 @@
 
 Each format is matched once per row: ``regexp_replace(s, RE, '$1,$2,...')`` turns the
 match into one comma-separated string of all groups (a group that did not take part
-gives ''), ``split`` makes it an array.  ``date_parts`` / ``date_from_parts`` expose the
-two steps so a plan can compute the parts in their own projection.
+gives ''), ``split`` makes it an array, and ``let`` binds it once for the many reads.
 """
 
 from __future__ import annotations
@@ -41,6 +40,10 @@ US_DATETIME_RE = (
 )
 _US_GROUPS = 7
 
+# The common ISO shapes, on which Spark's own cast agrees with Python (year 0 aside):
+# they skip the regex groups entirely.
+FAST_ISO_RE = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$"
+
 # Python float() literal: digits with single underscores between them, optional
 # fraction and exponent, or inf / infinity / nan; surrounding blanks allowed.
 _DIGITS = r"\d(?:_?\d)*"
@@ -88,7 +91,7 @@ def _iso_from_groups(p: Column) -> Column:
     day = F.when(ext, p[_EXT_D]).otherwise(p[_BAS_D]).try_cast("int")
     hour, minute, sec = _int_or(p[_HH], 0), _int_or(p[_MI], 0), _int_or(p[_SS], 0)
     local = F.when(
-        (hour < 24) & (minute < 60) & (sec < 60),
+        (year >= 1) & (hour < 24) & (minute < 60) & (sec < 60),
         F.try_make_timestamp_ntz(
             years=year, months=month, days=day, hours=hour, mins=minute,
             secs=_seconds(sec, _micros_of(p[_FRAC])),
@@ -107,7 +110,7 @@ def _us_from_groups(p: Column) -> Column:
     hour = (p[3].try_cast("int") % 12) + F.when(F.upper(p[6]) == "PM", F.lit(12)).otherwise(F.lit(0))
     sec = p[5].try_cast("int")
     return F.when(
-        sec < 60,
+        (sec < 60) & (p[2] != "0000"),
         F.try_make_timestamp_ntz(
             years=p[2].try_cast("int"), months=p[0].try_cast("int"),
             days=F.trim(p[1]).try_cast("int"), hours=hour, mins=p[4].try_cast("int"),
@@ -121,8 +124,21 @@ def date_from_parts(parts: Column) -> Column:
     return F.coalesce(_iso_from_groups(parts["iso"]), _us_from_groups(parts["us"]))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row.
+
+    ``body`` may use its argument many times; binding it to a lambda variable keeps
+    that a single occurrence in the plan, so when Catalyst copies the expression (a
+    filter pushed below the projection that defines it) the regex work is not copied.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def parse_created_date(value: Column) -> Column:
-    return date_from_parts(date_parts(value))
+    """Fast path: canonical ISO text -> ``try_cast``; every other shape -> the regex groups."""
+    text = F.replace(value, F.lit("Z"), F.lit(""))
+    fast = text.rlike(FAST_ISO_RE) & (F.substring(text, 1, 4) != F.lit("0000"))
+    return F.when(fast, text.try_cast("timestamp_ntz")).otherwise(let(date_parts(value), date_from_parts))
 
 
 def parse_coordinate(value: Column) -> Column:

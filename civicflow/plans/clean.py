@@ -2,8 +2,9 @@
 
     raw ─ select(parse, alias, defaults, case) ─ error_fields ─┬─ valid ─ keep_first(unique_key, seq) ─ clean
                                                               └─ invalid ─ quarantine record
-The parse is two projections: the regex groups of the date are computed once per
-row in the first, read in the second.  The only shuffle is the exchange on
+Catalyst pushes the validity filter below the parse and inlines the parsed columns
+into it; the date parse binds its regex groups once (``let``), so that copy costs
+one regex match, not one per group.  The only shuffle is the exchange on
 ``unique_key`` of the de-duplication (after a partial per-partition limit).
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.functions.normalize import column_or_null, lower_case, resolve_alias, upper_case, zip_code
-from civicflow.functions.parse import date_from_parts, date_parts, parse_coordinate
+from civicflow.functions.parse import parse_coordinate, parse_created_date
 from civicflow.operators.dedup import keep_first
 from civicflow.operators.validate import ERROR_FIELDS, invalid_rows, valid_rows, with_error_fields
 from civicflow.schema import (
@@ -37,7 +38,7 @@ def parse_requests(raw: DataFrame) -> DataFrame:
     c = lambda name: column_or_null(raw, name)
     raw_inputs = [f for f in RAW_FIELDS if f in raw.columns]
     corrupt = c(CORRUPT_RECORD)
-    first = raw.select(
+    parsed = raw.select(
         F.col(SEQ),
         c("unique_key").alias("unique_key"),
         c("agency").alias("agency"),
@@ -49,11 +50,10 @@ def parse_requests(raw: DataFrame) -> DataFrame:
         zip_code(raw).alias("zip_code"),
         parse_coordinate(c("latitude")).alias("latitude"),
         parse_coordinate(c("longitude")).alias("longitude"),
-        date_parts(c("created_date")).alias("_date_parts"),
+        parse_created_date(c("created_date")).alias("created_date"),
         F.struct(*[F.col(f) for f in raw_inputs]).alias(RAW_STRUCT),
         corrupt.alias(CORRUPT_RECORD),
     )
-    parsed = first.withColumn("created_date", date_from_parts(F.col("_date_parts"))).drop("_date_parts")
     return with_error_fields(parsed)
 
 

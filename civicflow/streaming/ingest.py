@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow.operators.dedup import BROADCAST_KEY_LIMIT, drop_existing
-from civicflow.operators.validate import ERROR_FIELDS
+from civicflow.operators.validate import is_valid
 from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows
 from civicflow.schema import CLEAN_SCHEMA, CORRUPT_RECORD, RAW_SCHEMA_WITH_CORRUPT
 from civicflow.sources.sinks import ensure_table, read_clean, write_quarantine
@@ -72,7 +72,7 @@ def start_ingest(
     parsed = parse_requests(reader.json(paths.landing)).observe(
         OBSERVATION,
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.size(ERROR_FIELDS) > 0).alias("bad"),
+        F.count_if(~is_valid()).alias("bad"),
     )
     return (
         parsed.writeStream.foreachBatch(_write_batch(paths, broadcast_limit))
