@@ -55,9 +55,10 @@ def channel_share(clean: DataFrame, digits: int = 1) -> DataFrame:
     only that handful of rows meets in one task.
     """
     total = F.sum(COUNT).over(Window.partitionBy())
-    return channels(clean).withColumn(
+    shares = count_by(clean, "channel_type").withColumn(
         "pct", F.round(F.lit(100) * F.col(COUNT).cast("double") / total, digits)
     )
+    return ranked_desc(shares, "channel_type")  # sorts inside the window's single partition
 
 
 def table_count(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ job and a retried task or a lost executor never leaves half a table behind.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -39,7 +40,10 @@ def write_summary(records: DataFrame, path: str) -> None:
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Create an empty Parquet table if none exists, so readers never see a missing path."""
-    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    try:
+        spark.read.schema(schema).parquet(path)  # resolves the path only; runs no job
+    except AnalysisException:
+        spark.createDataFrame([], schema).write.mode("append").parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -40,15 +40,16 @@ def _write_batch(paths: IngestPaths, broadcast_limit: int):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist(StorageLevel.MEMORY_AND_DISK)
+        fresh = clean_rows(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = batch.count()
-            if rows == 0:
-                return
-            fresh = clean_rows(batch)
-            new = drop_existing(fresh, read_clean(spark, paths.clean), "unique_key", rows, broadcast_limit)
-            new.write.mode("append").parquet(paths.clean)
+            rows = fresh.count()  # also fills both caches: the parse and the dedup run once
+            if rows > 0:
+                existing = read_clean(spark, paths.clean)
+                new = drop_existing(fresh, existing, "unique_key", rows, broadcast_limit)
+                new.write.mode("append").parquet(paths.clean)
             write_quarantine(quarantine_rows(batch, batch_id), paths.quarantine)
         finally:
+            fresh.unpersist()
             batch.unpersist()
 
     return write
