@@ -8,23 +8,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.functions.normalize import null_flags
 from civicflow.schema import REQUIRED_FIELDS
 
 ERROR_FIELDS = "error_fields"
-
-
-def with_error_fields(df: DataFrame, required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
-    return df.withColumn(ERROR_FIELDS, null_flags(required))
+TYPE_ERRORS = "_type_errors"
 
 
 def is_valid(required: Sequence[str] = REQUIRED_FIELDS) -> Column:
-    """All required fields present: plain null checks, compiled by whole-stage codegen.
+    """All required fields present and no JSON type error, on parsed rows.
 
-    Filters use this rather than ``error_fields`` so the (lambda-based) array of
+    Plain null checks, compiled by whole-stage codegen; the (lambda-based) array of
     reasons is built only for the rejected rows that the quarantine keeps.
     """
-    return reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in required])
+    present = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in required])
+    return present & (F.size(TYPE_ERRORS) == 0)
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:

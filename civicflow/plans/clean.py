@@ -1,45 +1,61 @@
 """Raw requests -> (clean, quarantine) as one declarative plan.
 
-    raw ─ select(parse, alias, defaults, case) ─ error_fields ─┬─ valid ─ keep_first(unique_key, seq) ─ clean
-                                                              └─ invalid ─ quarantine record
-Catalyst pushes the validity filter below the parse and inlines the parsed columns
-into it; the date parse binds its regex groups once (``let``), so that copy costs
-one regex match, not one per group.  The only shuffle is the exchange on
-``unique_key`` of the de-duplication (after a partial per-partition limit).
+    raw ─ select(parse, alias, defaults, case) ─ [row barrier] ─┬─ valid ─ keep_first(unique_key, seq) ─ clean
+                                                                └─ invalid ─ error_fields ─ quarantine record
+
+Row barrier: the parsed row passes through ``inline(array(struct(...)))``, a Generate
+node.  Catalyst cannot push a filter on generator output below it, so the validity
+filters read materialised columns and every parse expression runs exactly once per
+row (without it, pushdown would copy the parse into each filter that references a
+parsed column).  The only shuffle is the exchange on ``unique_key`` of the
+de-duplication, after a partial per-partition limit.
+
+Two input kinds: the lenient raw frame (every field text, absent = null) and the strict
+frame from ``read_jsonl_strict`` (JSON types known, see ``functions/strict.py``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.functions.normalize import column_or_null, lower_case, resolve_alias, upper_case, zip_code
+from civicflow.functions import strict
+from civicflow.functions.normalize import column_or_null, lower_case, null_flags, resolve_alias, upper_case, zip_code
 from civicflow.functions.parse import parse_coordinate, parse_created_date
 from civicflow.operators.dedup import keep_first
-from civicflow.operators.validate import ERROR_FIELDS, invalid_rows, valid_rows, with_error_fields
+from civicflow.operators.validate import ERROR_FIELDS, TYPE_ERRORS, invalid_rows, valid_rows
 from civicflow.schema import (
     CLEAN_COLUMNS,
     CORRUPT_RECORD,
+    DEFAULT_ZIP,
     RAW_FIELDS,
+    REQUIRED_FIELDS,
     SEQ,
     UNKNOWN_RECORD_ID,
     VALIDATION_ERROR,
 )
+from civicflow.sources.jsonl import RAW_LINE
 
-RAW_STRUCT = "_raw"
+ORIGINAL = "_original"
+RECORD_ID = "_record_id"
+_REQUIRED_TEXT = ("unique_key", "agency", "complaint_type", "status", "borough")
 
 
-def parse_requests(raw: DataFrame) -> DataFrame:
-    """Every raw row with its typed, normalised fields and ``error_fields``.
+def row_barrier(df: DataFrame) -> DataFrame:
+    """Same rows and columns; filters above it cannot be pushed into the expressions below."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
-    Keeps a struct of the raw input fields for the quarantine; column pruning removes
-    it from every branch that does not read it.
-    """
+
+def _original_record(raw: DataFrame) -> Column:
+    if RAW_LINE in raw.columns:
+        return F.col(RAW_LINE)
+    fields = [F.col(f) for f in RAW_FIELDS if f in raw.columns]
+    return F.coalesce(column_or_null(raw, CORRUPT_RECORD), F.to_json(F.struct(*fields)))
+
+
+def _lenient_fields(raw: DataFrame) -> list[Column]:
     c = lambda name: column_or_null(raw, name)
-    raw_inputs = [f for f in RAW_FIELDS if f in raw.columns]
-    corrupt = c(CORRUPT_RECORD)
-    parsed = raw.select(
-        F.col(SEQ),
+    return [
         c("unique_key").alias("unique_key"),
         c("agency").alias("agency"),
         c("complaint_type").alias("complaint_type"),
@@ -51,10 +67,50 @@ def parse_requests(raw: DataFrame) -> DataFrame:
         parse_coordinate(c("latitude")).alias("latitude"),
         parse_coordinate(c("longitude")).alias("longitude"),
         parse_created_date(c("created_date")).alias("created_date"),
-        F.struct(*[F.col(f) for f in raw_inputs]).alias(RAW_STRUCT),
-        corrupt.alias(CORRUPT_RECORD),
-    )
-    return with_error_fields(parsed)
+        F.coalesce(c("unique_key"), F.lit(UNKNOWN_RECORD_ID)).alias(RECORD_ID),
+        F.array().cast("array<string>").alias(TYPE_ERRORS),
+    ]
+
+
+def _strict_fields(raw: DataFrame) -> list[Column]:
+    text = {f: (strict.value(raw, f), strict.json_type(raw, f)) for f in RAW_FIELDS}
+    text["channel_type"] = strict.resolve_alias(raw, "open_data_channel_type", "channel_type")
+    text["zip_code"] = strict.resolve_alias(raw, "incident_zip", "zip_code")
+    s = {f: strict.string_field(*text[f]) for f in (*_REQUIRED_TEXT, "descriptor", "channel_type", "zip_code")}
+    checks = [(f, strict.string_type_error(text[f][1])) for f in (*_REQUIRED_TEXT, "channel_type")]
+    checks += [(f, strict.string_type_error(text[f][1])) for f in ("descriptor", "zip_code")]
+    checks += [("created_date", strict.date_type_error(text["created_date"][1]))]
+    order = {f: i for i, f in enumerate(("unique_key", "agency", "complaint_type", "descriptor", "channel_type",
+                                         "status", "borough", "zip_code", "created_date"))}
+    checks.sort(key=lambda fc: order[fc[0]])
+    type_errors = F.filter(F.array(*[F.when(bad, F.lit(f)) for f, bad in checks]), lambda x: x.isNotNull())
+    return [
+        s["unique_key"].alias("unique_key"),
+        s["agency"].alias("agency"),
+        s["complaint_type"].alias("complaint_type"),
+        s["descriptor"].alias("descriptor"),
+        s["channel_type"].alias("channel_type"),
+        lower_case(s["status"]).alias("status"),
+        upper_case(s["borough"]).alias("borough"),
+        F.coalesce(s["zip_code"], F.lit(DEFAULT_ZIP)).alias("zip_code"),
+        strict.coordinate(*text["latitude"]).alias("latitude"),
+        strict.coordinate(*text["longitude"]).alias("longitude"),
+        strict.created_date(*text["created_date"]).alias("created_date"),
+        strict.record_id(raw).alias(RECORD_ID),
+        type_errors.alias(TYPE_ERRORS),
+    ]
+
+
+def parse_requests(raw: DataFrame) -> DataFrame:
+    """Every raw row with its typed, normalised fields, behind a row barrier.
+
+    Besides the clean fields it carries the quarantine's inputs (record id, original
+    record, type errors); column pruning drops them from every branch that does not
+    read them.
+    """
+    fields = _strict_fields(raw) if strict.is_strict(raw) else _lenient_fields(raw)
+    parsed = raw.select(F.col(SEQ), *fields, _original_record(raw).alias(ORIGINAL))
+    return row_barrier(parsed)
 
 
 def clean_rows(parsed: DataFrame) -> DataFrame:
@@ -62,18 +118,24 @@ def clean_rows(parsed: DataFrame) -> DataFrame:
     return keep_first(valid_rows(parsed).select(*CLEAN_COLUMNS), "unique_key", [SEQ])
 
 
-def quarantine_rows(parsed: DataFrame, batch_id: int | F.Column = 0) -> DataFrame:
+def error_fields() -> Column:
+    """Names of the missing required fields, then of the fields with a wrong JSON type."""
+    missing = null_flags(REQUIRED_FIELDS)
+    return F.array_distinct(F.concat(missing, F.col(TYPE_ERRORS)))
+
+
+def quarantine_rows(parsed: DataFrame, batch_id: int | Column = 0) -> DataFrame:
     """One record per rejected row: reason fields, type, id and the original record."""
-    bid = batch_id if isinstance(batch_id, F.Column) else F.lit(batch_id)
-    bad = invalid_rows(parsed)
+    bid = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
+    bad = invalid_rows(parsed).withColumn(ERROR_FIELDS, error_fields())
     return bad.select(
         bid.cast("long").alias("batch_id"),
         F.col(SEQ),
-        F.coalesce(F.col("unique_key"), F.lit(UNKNOWN_RECORD_ID)).alias("record_id"),
+        F.col(RECORD_ID).alias("record_id"),
         F.lit(VALIDATION_ERROR).alias("error_type"),
         F.col(ERROR_FIELDS).alias("error_fields"),
         F.concat(F.lit("invalid or missing: "), F.array_join(ERROR_FIELDS, ", ")).alias("error_message"),
-        F.coalesce(F.col(CORRUPT_RECORD), F.to_json(F.col(RAW_STRUCT))).alias("original_record"),
+        F.col(ORIGINAL).alias("original_record"),
     )
 
 

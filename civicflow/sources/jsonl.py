@@ -4,15 +4,20 @@ The raw feed is read with an explicit schema (no inference pass over the data) i
 PERMISSIVE mode: a malformed line becomes a row with only ``_corrupt_record`` set,
 fails validation and lands in the quarantine with its text, instead of failing the
 whole file.  JSON numbers in string fields are read as their text.
+
+``read_jsonl_strict`` keeps what the lenient reader loses -- whether a key was absent
+or an explicit null, and each value's JSON type -- by parsing each line once into a
+VARIANT; ``parse_requests`` then applies the type rules of ``functions/strict.py``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicflow.schema import CORRUPT_RECORD, RAW_SCHEMA_WITH_CORRUPT, SEQ
+from civicflow.functions.strict import JSON_TYPES
+from civicflow.schema import CORRUPT_RECORD, RAW_FIELDS, RAW_SCHEMA_WITH_CORRUPT, SEQ
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA_WITH_CORRUPT) -> DataFrame:
@@ -45,3 +50,55 @@ def land_arrival(raw: DataFrame, path: str, lo: int, hi: int) -> None:
     appended one after another, which is the order a file stream picks them up in.
     """
     write_jsonl(raw.where(F.col(SEQ).between(lo, hi)), path, mode="append")
+
+
+def first_non_empty(*candidates: DataFrame | None) -> DataFrame | None:
+    """The first candidate that has a row (one ``limit(1)`` probe each), else None.
+
+    The raw profile prefers the raw store and falls back to the landing file.
+    """
+    for df in candidates:
+        if df is not None and not df.isEmpty():
+            return df
+    return None
+
+
+RAW_LINE = "_line"
+
+
+def _json_kind(v: Column) -> Column:
+    """JSON type label of a variant value (SQL NULL = key absent)."""
+    t = F.schema_of_variant(v)
+    return (
+        F.when(v.isNull(), F.lit("missing"))
+        .when(F.is_variant_null(v), F.lit("null"))
+        .when(t == "STRING", F.lit("string"))
+        .when(t == "BOOLEAN", F.lit("boolean"))
+        .when(t.startswith("OBJECT"), F.lit("object"))
+        .when(t.startswith("ARRAY"), F.lit("array"))
+        .otherwise(F.lit("number"))
+    )
+
+
+def strict_fields(lines: DataFrame, text_col: str = "value") -> DataFrame:
+    """JSON lines -> raw fields as text plus each field's JSON type (``_json_types``).
+
+    Each line is parsed once into a VARIANT (its own projection); every field is
+    read from it.  An unparseable line keeps its text in ``_corrupt_record``.
+    """
+    v = F.col("_v")
+    parsed = lines.select(F.col(text_col).alias(RAW_LINE), F.try_parse_json(F.col(text_col)).alias("_v"))
+    return parsed.select(
+        F.try_variant_get(v, f"$.{SEQ}", "bigint").alias(SEQ),
+        *[F.try_variant_get(v, f"$.{f}", "string").alias(f) for f in RAW_FIELDS],
+        F.when(v.isNull(), F.col(RAW_LINE)).alias(CORRUPT_RECORD),
+        F.col(RAW_LINE),
+        F.struct(*[_json_kind(F.variant_get(v, f"$.{f}", "variant")).alias(f) for f in RAW_FIELDS]).alias(
+            JSON_TYPES
+        ),
+    )
+
+
+def read_jsonl_strict(spark: SparkSession, path: str) -> DataFrame:
+    """Strict source: missing vs null and JSON types are kept (see functions/strict.py)."""
+    return strict_fields(spark.read.text(path))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from civicflow.fixtures import raw_requests
 from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows
-from civicflow.schema import CLEAN_SCHEMA
+from civicflow.schema import CLEAN_SCHEMA, RAW_SCHEMA
 from civicflow.session import scratch_path
 from civicflow.sources.jsonl import arrival_bounds, land_arrival, read_jsonl, write_jsonl
 from civicflow.sources.sinks import ensure_table, read_clean, read_quarantine
@@ -55,3 +55,14 @@ def test_malformed_json_lines_are_quarantined(spark, sf001):
     parsed = parse_requests(read_jsonl(spark, [path, bad]))
     q = quarantine_rows(parsed).where(F.col("original_record") == "{not json").collect()
     assert len(q) == 1 and q[0].record_id == "unknown"
+
+
+def test_profile_source_falls_back_to_the_file(spark, sf001):
+    from civicflow.sources.jsonl import first_non_empty
+
+    empty = spark.createDataFrame([], RAW_SCHEMA)
+    path = scratch_path(spark, "t-fallback")
+    write_jsonl(raw_requests(spark, sf001), path, mode="overwrite")
+    chosen = first_non_empty(empty, read_jsonl(spark, path))
+    assert chosen is not None and chosen.count() == 1000
+    assert first_non_empty(empty, None) is None
