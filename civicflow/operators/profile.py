@@ -28,8 +28,22 @@ def _long_form(one_row: DataFrame, entries: Sequence[F.Column]) -> DataFrame:
     return one_row.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
 
 
-def null_ranking(df: DataFrame, top: int = 15, exclude: Sequence[str] = (SEQ,)) -> DataFrame:
-    """Columns ranked by null count (ties keep column order), first ``top``; with row total."""
+def bounded(df: DataFrame, sample_size: int | None, order: Sequence[str] = (SEQ,)) -> DataFrame:
+    """The first ``sample_size`` rows in ingest order (``None`` = the whole table)."""
+    if sample_size is None:
+        return df
+    keys = [c for c in order if c in df.columns]
+    return (df.orderBy(*keys) if keys else df).limit(sample_size)
+
+
+def null_ranking(
+    df: DataFrame, top: int = 15, exclude: Sequence[str] = (SEQ,), sample_size: int | None = None
+) -> DataFrame:
+    """Columns ranked by null count (ties keep column order), first ``top``; with row total.
+
+    ``sample_size`` profiles a bounded head instead of the whole table.
+    """
+    df = bounded(df, sample_size)
     cols = [c for c in df.columns if c not in exclude]
     one = df.agg(
         F.count(F.lit(1)).alias("_rows"),
@@ -57,8 +71,9 @@ def frame_shape(df: DataFrame) -> DataFrame:
     )
 
 
-def health_check(df: DataFrame) -> DataFrame:
+def health_check(df: DataFrame, sample_size: int | None = None) -> DataFrame:
     """Per column: nulls, null %, zeros (double/long columns only), zero %."""
+    df = bounded(df, sample_size)
     fields = df.schema.fields
     total = F.col("_rows")
     aggs = [F.count(F.lit(1)).alias("_rows")]

@@ -10,6 +10,13 @@ row (without it, pushdown would copy the parse into each filter that references
 parsed column).  The only shuffle is the exchange on ``unique_key`` of the
 de-duplication, after a partial per-partition limit.
 
+The parse projection itself runs outside whole-stage codegen: the date's regex groups
+are bound once by a lambda (``let``), and lambdas are interpreted.  Canonical ISO text
+never reaches the lambda (``try_cast`` fast path).  Measured on 100k rows this beats a
+lambda-free variant that assembles the timestamp from a materialised groups column
+inside codegen (0.29 s vs 0.42 s); ``date_steps`` / ``date_from_steps`` keep that
+variant available.
+
 Two input kinds: the lenient raw frame (every field text, absent = null) and the strict
 frame from ``read_jsonl_strict`` (JSON types known, see ``functions/strict.py``).
 """
@@ -46,11 +53,24 @@ def row_barrier(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
 
-def _original_record(raw: DataFrame) -> Column:
+def _original_source(raw: DataFrame) -> Column:
+    """What the quarantine needs to rebuild the original record: the line, or the fields.
+
+    Only references: the JSON text is produced after the invalid-row filter, so valid
+    rows (which the barrier does not prune) never pay for serialisation.
+    """
     if RAW_LINE in raw.columns:
-        return F.col(RAW_LINE)
+        return F.struct(F.col(RAW_LINE).alias("line"))
     fields = [F.col(f) for f in RAW_FIELDS if f in raw.columns]
-    return F.coalesce(column_or_null(raw, CORRUPT_RECORD), F.to_json(F.struct(*fields)))
+    return F.struct(column_or_null(raw, CORRUPT_RECORD).alias("line"), F.struct(*fields).alias("fields"))
+
+
+def _original_record(parsed: DataFrame) -> Column:
+    src = parsed.schema[ORIGINAL].dataType
+    line = F.col(f"{ORIGINAL}.line")
+    if "fields" in src.fieldNames():
+        return F.coalesce(line, F.to_json(F.col(f"{ORIGINAL}.fields")))
+    return line
 
 
 def _lenient_fields(raw: DataFrame) -> list[Column]:
@@ -109,8 +129,7 @@ def parse_requests(raw: DataFrame) -> DataFrame:
     read them.
     """
     fields = _strict_fields(raw) if strict.is_strict(raw) else _lenient_fields(raw)
-    parsed = raw.select(F.col(SEQ), *fields, _original_record(raw).alias(ORIGINAL))
-    return row_barrier(parsed)
+    return row_barrier(raw.select(F.col(SEQ), *fields, _original_source(raw).alias(ORIGINAL)))
 
 
 def clean_rows(parsed: DataFrame) -> DataFrame:
@@ -135,7 +154,7 @@ def quarantine_rows(parsed: DataFrame, batch_id: int | Column = 0) -> DataFrame:
         F.lit(VALIDATION_ERROR).alias("error_type"),
         F.col(ERROR_FIELDS).alias("error_fields"),
         F.concat(F.lit("invalid or missing: "), F.array_join(ERROR_FIELDS, ", ")).alias("error_message"),
-        F.col(ORIGINAL).alias("original_record"),
+        _original_record(parsed).alias("original_record"),
     )
 
 

@@ -59,3 +59,17 @@ def test_summary_records(spark, sf01):
     long = explode_records(summary_records(summary_answers(clean)))
     assert long.count() == 37
     assert long.where(F.col("position") == 1).count() == 4
+
+
+def test_profiles_on_a_bounded_head(spark, sf01):
+    from civicflow.fixtures import raw_requests
+    from civicflow.operators.profile import health_check, null_ranking
+
+    ranked = null_ranking(raw_requests(spark, sf01), sample_size=100).collect()
+    assert {r.rows for r in ranked} == {100}
+    assert [r.column_name for r in ranked][:2] == ["channel_type", "descriptor"]
+    health = {r.column_name: r for r in health_check(clean_store(spark, sf01), sample_size=500).collect()}
+    # event 0 has no agency, so seq 0 never reaches the clean table
+    assert health["seq"].rows == 500 and health["seq"].zeros == 0 and health["latitude"].zeros > 0
+    empty = health_check(clean_store(spark, sf01).limit(0)).collect()
+    assert all(r.null_pct is None and r.rows == 0 for r in empty)
