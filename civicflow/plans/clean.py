@@ -12,10 +12,9 @@ de-duplication, after a partial per-partition limit.
 
 The parse projection itself runs outside whole-stage codegen: the date's regex groups
 are bound once by a lambda (``let``), and lambdas are interpreted.  Canonical ISO text
-never reaches the lambda (``try_cast`` fast path).  Measured on 100k rows this beats a
-lambda-free variant that assembles the timestamp from a materialised groups column
-inside codegen (0.29 s vs 0.42 s); ``date_steps`` / ``date_from_steps`` keep that
-variant available.
+never reaches the lambda (``try_cast`` fast path).  Measured on 100k rows this beat a
+lambda-free variant that assembled the timestamp from a materialised groups column
+inside codegen (0.29 s vs 0.42 s).
 
 Two input kinds: the lenient raw frame (every field text, absent = null) and the strict
 frame from ``read_jsonl_strict`` (JSON types known, see ``functions/strict.py``).

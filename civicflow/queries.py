@@ -23,7 +23,7 @@ from civicflow.operators.validate import validity_flag
 from civicflow.plans import layout
 from civicflow.plans.clean import clean_rows, parse_requests
 from civicflow.plans.tables import clean_store, quarantine_store, run_clean_job
-from civicflow.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, CORRUPT_RECORD, RAW_SCHEMA, SEQ
+from civicflow.schema import CLEAN_SCHEMA, CORRUPT_RECORD, RAW_SCHEMA, SEQ
 from civicflow.session import checkpoint_root, scratch_path
 from civicflow.sources.jsonl import arrival_bounds, land_arrival, read_jsonl, write_jsonl
 from civicflow.sources.sinks import (
@@ -350,5 +350,3 @@ QUERIES: dict[str, Query] = {
     "ingest_resumable": ingest_resumable,
     "ingest_progress": ingest_progress,
 }
-
-CLEAN_OUTPUT = CLEAN_COLUMNS
