@@ -8,6 +8,7 @@ session's shared checkpoint folder and return what they read back.
 from __future__ import annotations
 
 import os
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -276,6 +277,7 @@ def layout_scan_report(spark, sf_dir):
 # ---- incremental ingest -------------------------------------------------------------
 
 _INGESTED: dict[tuple[str, str], tuple[IngestPaths, list[dict]]] = {}
+_INGEST_LOCK = threading.Lock()
 
 
 def _ingest(spark, sf_dir):
@@ -284,17 +286,17 @@ def _ingest(spark, sf_dir):
     The run is shared by the two ingest keys (its tables and its progress log).
     """
     memo = (checkpoint_root(spark), os.path.abspath(sf_dir))
-    if memo in _INGESTED:
+    with _INGEST_LOCK:
+        if memo not in _INGESTED:
+            raw = raw_requests(spark, sf_dir)
+            root = scratch_path(spark, "ingest")
+            paths = IngestPaths(f"{root}/landing", f"{root}/clean", f"{root}/quarantine", f"{root}/_checkpoint")
+            progress = []
+            for lo, hi in arrival_bounds(raw, ARRIVALS):
+                land_arrival(raw, paths.landing, lo, hi)
+                progress += run_ingest(spark, paths)
+            _INGESTED[memo] = (paths, progress)
         return _INGESTED[memo]
-    raw = raw_requests(spark, sf_dir)
-    root = scratch_path(spark, "ingest")
-    paths = IngestPaths(f"{root}/landing", f"{root}/clean", f"{root}/quarantine", f"{root}/_checkpoint")
-    progress = []
-    for lo, hi in arrival_bounds(raw, ARRIVALS):
-        land_arrival(raw, paths.landing, lo, hi)
-        progress += run_ingest(spark, paths)
-    _INGESTED[memo] = (paths, progress)
-    return paths, progress
 
 
 def ingest_resumable(spark, sf_dir):
