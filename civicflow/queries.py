@@ -306,9 +306,11 @@ def ingest_resumable(spark, sf_dir):
 
 def ingest_progress(spark, sf_dir):
     _, progress = _ingest(spark, sf_dir)
-    rows = [(p["batch_id"], p["rows"], p["bad"]) for p in progress]
-    df = spark.createDataFrame(rows, "batch_id long, rows long, bad long")
-    return df.withColumn("valid", F.col("rows") - F.col("bad"))
+    rows = [(p["batch_id"], p["rows"], p["bad"], p["written"]) for p in progress]
+    df = spark.createDataFrame(rows, "batch_id long, rows long, bad long, written long")
+    valid = F.col("rows") - F.col("bad")
+    return df.select("batch_id", "rows", "bad", valid.alias("valid"), "written",
+                     (valid - F.col("written")).alias("duplicates"))
 
 
 QUERIES: dict[str, Query] = {

@@ -8,7 +8,8 @@ The checkpoint location records which files were consumed, so a restarted query
 skips done work and a second run over the same files writes nothing.  A replayed
 micro-batch is harmless: its clean rows are already in the store (the anti-join drops
 them) and its quarantine partition is overwritten.  Totals are taken from the tables,
-per-batch progress from the observed metrics.
+per-batch progress from observed metrics: rows and bad rows on the stream, rows
+appended on the store write (no extra job for either).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow.operators.dedup import BROADCAST_KEY_LIMIT, drop_existing
@@ -36,18 +37,23 @@ class IngestPaths:
     checkpoint: str
 
 
-def _write_batch(paths: IngestPaths, broadcast_limit: int):
+def _write_batch(paths: IngestPaths, broadcast_limit: int, written: dict[int, int] | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         fresh = clean_rows(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = fresh.count()  # also fills both caches: the parse and the dedup run once
+            n_written = 0
             if rows > 0:
                 existing = read_clean(spark, paths.clean)
                 new = drop_existing(fresh, existing, "unique_key", rows, broadcast_limit)
-                new.write.mode("append").parquet(paths.clean)
+                appended = Observation(f"written-{batch_id}")
+                new.observe(appended, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(paths.clean)
+                n_written = appended.get["n"]
             write_quarantine(quarantine_rows(batch, batch_id), paths.quarantine)
+            if written is not None:
+                written[batch_id] = n_written
         finally:
             fresh.unpersist()
             batch.unpersist()
@@ -60,8 +66,12 @@ def start_ingest(
     paths: IngestPaths,
     max_files_per_trigger: int | None = None,
     broadcast_limit: int = BROADCAST_KEY_LIMIT,
+    written: dict[int, int] | None = None,
 ):
-    """Process every file not yet consumed, in micro-batches, then stop (availableNow)."""
+    """Process every file not yet consumed, in micro-batches, then stop (availableNow).
+
+    ``written`` (optional) receives the rows each micro-batch appended to the store.
+    """
     ensure_table(spark, paths.clean, CLEAN_SCHEMA)
     reader = (
         spark.readStream.schema(RAW_SCHEMA_WITH_CORRUPT)
@@ -76,7 +86,7 @@ def start_ingest(
         F.count_if(~is_valid()).alias("bad"),
     )
     return (
-        parsed.writeStream.foreachBatch(_write_batch(paths, broadcast_limit))
+        parsed.writeStream.foreachBatch(_write_batch(paths, broadcast_limit, written))
         .option("checkpointLocation", paths.checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -84,8 +94,10 @@ def start_ingest(
 
 
 def run_ingest(spark: SparkSession, paths: IngestPaths, **kwargs) -> list[dict]:
-    """Run until the landing folder is drained; one progress entry per micro-batch."""
-    query = start_ingest(spark, paths, **kwargs)
+    """Run until the landing folder is drained; one progress entry per micro-batch:
+    rows read, bad rows (quarantined), rows appended to the store."""
+    written: dict[int, int] = {}
+    query = start_ingest(spark, paths, written=written, **kwargs)
     query.awaitTermination()
     out = []
     for p in query.recentProgress:
@@ -94,5 +106,5 @@ def run_ingest(spark: SparkSession, paths: IngestPaths, **kwargs) -> list[dict]:
             continue  # idle trigger: nothing was read
         rows = metrics["rows"] if metrics is not None else p.numInputRows
         bad = metrics["bad"] if metrics is not None else None
-        out.append({"batch_id": p.batchId, "rows": rows, "bad": bad})
+        out.append({"batch_id": p.batchId, "rows": rows, "bad": bad, "written": written.get(p.batchId)})
     return out

@@ -29,6 +29,7 @@ def test_ingest_in_arrivals_equals_batch_clean_and_resumes(spark, sf001):
     assert got.exceptAll(expected.select(*got.columns)).count() == 0
     assert sum(p["rows"] for p in progress) == raw.count()
     assert sum(p["bad"] for p in progress) == read_quarantine(spark, paths.quarantine).count()
+    assert sum(p["written"] for p in progress) == got.count()
     # a restart over the same files reads and writes nothing
     assert run_ingest(spark, paths) == []
     assert read_clean(spark, paths.clean).count() == got.count()
@@ -66,3 +67,12 @@ def test_profile_source_falls_back_to_the_file(spark, sf001):
     chosen = first_non_empty(empty, read_jsonl(spark, path))
     assert chosen is not None and chosen.count() == 1000
     assert first_non_empty(empty, None) is None
+
+
+def test_progress_key_invariants(spark, sf001):
+    from civicflow.queries import ingest_progress, ingest_resumable
+
+    progress = ingest_progress(spark, sf001).collect()
+    assert len(progress) == 4
+    assert all(p.valid == p.written + p.duplicates and p.duplicates >= 0 for p in progress)
+    assert sum(p.written for p in progress) == ingest_resumable(spark, sf001).count()
