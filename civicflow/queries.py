@@ -157,10 +157,12 @@ def dedup_cross_batch(spark, sf_dir):
     first = clean_rows(parse_requests(raw.where(F.col(SEQ) <= first_hi)))
     write_clean(first, path, fresh=True)
     for lo, hi in rest:
-        batch = clean_rows(parse_requests(raw.where(F.col(SEQ).between(lo, hi))))
+        # the batch is read twice (its keys are broadcast, its rows anti-joined): keep it
+        batch = clean_rows(parse_requests(raw.where(F.col(SEQ).between(lo, hi)))).persist()
         # seq is unique, so the arrival's seq range bounds its row count: no counting job.
         bound = hi - lo + 1
         write_clean(drop_existing(batch, read_clean(spark, path), "unique_key", bound), path, fresh=False)
+        batch.unpersist()
     return read_clean(spark, path)
 
 

@@ -73,3 +73,12 @@ def test_profiles_on_a_bounded_head(spark, sf01):
     assert health["seq"].rows == 500 and health["seq"].zeros == 0 and health["latitude"].zeros > 0
     empty = health_check(clean_store(spark, sf01).limit(0)).collect()
     assert all(r.null_pct is None and r.rows == 0 for r in empty)
+
+
+def test_raw_shape_line(spark, sf01):
+    from civicflow.fixtures import raw_requests
+    from civicflow.operators.profile import frame_shape
+
+    r = frame_shape(raw_requests(spark, sf01)).first()
+    assert (r.rows, r.columns) == (10_000, 13)
+    assert r.schema.startswith("seq: bigint, unique_key: string")
