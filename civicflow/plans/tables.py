@@ -1,9 +1,10 @@
-"""The stored layers: raw feed -> clean store + quarantine, built once per input.
+"""The stored layers, each built once per session and input folder.
 
-The aggregate answers read the clean *store* (Parquet, column-pruned), not a re-run of
-the cleaning plan -- exactly the raw / clean / summary layering of the pipeline.  The
-store is written under the session's shared checkpoint folder, once per session and
-input folder.
+raw feed -> raw store (landing) ; raw feed -> clean store + quarantine ; clean store ->
+layouts (flat, hive, clustered, hash-spread).  Queries read these *tables* (Parquet,
+column-pruned, partition-pruned) instead of re-running the plans that produced them --
+the raw / clean / summary layering of the pipeline.  Everything is written under the
+session's shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -14,12 +15,14 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from civicflow.fixtures import raw_requests
+from civicflow.plans import layout
 from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows
 from civicflow.session import checkpoint_root, scratch_path
-from civicflow.sources.sinks import read_clean, read_quarantine, write_clean, write_quarantine
+from civicflow.sources.sinks import land_raw, read_clean, read_quarantine, write_clean, write_quarantine
 
 _BUILT: dict[tuple[str, str], str] = {}
-_LOCK = threading.Lock()
+_DERIVED: dict[tuple[str, str, str], str] = {}
+_LOCK = threading.RLock()  # layouts are built from the clean store under the same lock
 
 
 def run_clean_job(raw: DataFrame, root: str, batch_id: int = 0) -> tuple[str, str]:
@@ -47,3 +50,32 @@ def clean_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quarantine_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_quarantine(spark, f"{_root_for(spark, sf_dir)}/quarantine")
+
+
+def _derived(spark: SparkSession, sf_dir: str, kind: str, build) -> str:
+    key = (checkpoint_root(spark), os.path.abspath(sf_dir), kind)
+    with _LOCK:
+        if key not in _DERIVED:
+            path = scratch_path(spark, kind)
+            build(path)
+            _DERIVED[key] = path
+        return _DERIVED[key]
+
+
+def raw_store(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the landed raw store (Parquet)."""
+    return _derived(spark, sf_dir, "raw", lambda p: land_raw(raw_requests(spark, sf_dir), p))
+
+
+_LAYOUT_WRITERS = {
+    "flat": layout.write_flat,
+    "hive": layout.write_partitioned,
+    "clustered": layout.write_clustered,
+    "spread": layout.write_hash_spread,
+}
+
+
+def layout_store(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """Path of one storage layout of the clean store (written on first use)."""
+    write = _LAYOUT_WRITERS[kind]
+    return _derived(spark, sf_dir, f"layout-{kind}", lambda p: write(clean_store(spark, sf_dir), p))

@@ -23,13 +23,12 @@ from civicflow.operators.summary import explode_records, summary_answers, summar
 from civicflow.operators.validate import validity_flag
 from civicflow.plans import layout
 from civicflow.plans.clean import clean_rows, parse_requests
-from civicflow.plans.tables import clean_store, quarantine_store, run_clean_job
+from civicflow.plans.tables import clean_store, layout_store, quarantine_store, raw_store, run_clean_job
 from civicflow.schema import CLEAN_SCHEMA, CORRUPT_RECORD, RAW_SCHEMA, SEQ
 from civicflow.session import checkpoint_root, scratch_path
 from civicflow.sources.jsonl import arrival_bounds, land_arrival, read_jsonl, write_jsonl
 from civicflow.sources.sinks import (
     export_csv,
-    land_raw,
     read_clean,
     read_csv,
     read_parquet,
@@ -44,8 +43,7 @@ SLICE_TYPE = "click-1"
 # Head sample size; systematic sample: page, stride (no cap: the whole table).
 HEAD_N = 1000
 PAGE, STRIDE = 100, 1000
-# Hash-spread buckets per borough; arrivals of the resumable ingest.
-SPREAD_BUCKETS = 4
+# Arrivals of the resumable ingest (the hash-spread layout uses 4 buckets per borough).
 ARRIVALS = 4
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,15 +58,11 @@ def src_jsonl(spark, sf_dir):
 
 
 def land_raw_q(spark, sf_dir):
-    path = scratch_path(spark, "raw")
-    land_raw(raw_requests(spark, sf_dir), path)
-    return read_parquet(spark, path).select(*RAW_FIXTURE_COLUMNS)
+    return read_parquet(spark, raw_store(spark, sf_dir)).select(*RAW_FIXTURE_COLUMNS)
 
 
 def scan_drop(spark, sf_dir):
-    path = scratch_path(spark, "raw")
-    land_raw(raw_requests(spark, sf_dir), path)
-    return read_parquet(spark, path).drop(SEQ)
+    return read_parquet(spark, raw_store(spark, sf_dir)).drop(SEQ)
 
 
 def sample_head(spark, sf_dir):
@@ -224,47 +218,29 @@ def profile_clean(spark, sf_dir):
 
 # ---- layouts ------------------------------------------------------------------------
 
-def _layout_paths(spark, sf_dir):
-    clean = clean_store(spark, sf_dir)
-    flat, hive = scratch_path(spark, "flat"), scratch_path(spark, "hive")
-    layout.write_flat(clean, flat)
-    layout.write_partitioned(clean, hive, "borough")
-    return flat, hive
-
-
 def layout_flat_count(spark, sf_dir):
-    path = scratch_path(spark, "flat")
-    layout.write_flat(clean_store(spark, sf_dir), path)
-    return layout.borough_count(spark, path, SLICE_BOROUGH)
+    return layout.borough_count(spark, layout_store(spark, sf_dir, "flat"), SLICE_BOROUGH)
 
 
 def layout_hive_count(spark, sf_dir):
-    path = scratch_path(spark, "hive")
-    layout.write_partitioned(clean_store(spark, sf_dir), path, "borough")
-    return layout.borough_count(spark, path, SLICE_BOROUGH)
+    return layout.borough_count(spark, layout_store(spark, sf_dir, "hive"), SLICE_BOROUGH)
 
 
 def layout_equivalence(spark, sf_dir):
-    flat, hive = _layout_paths(spark, sf_dir)
+    flat, hive = layout_store(spark, sf_dir, "flat"), layout_store(spark, sf_dir, "hive")
     return layout.equivalence(spark, flat, hive, SLICE_BOROUGH)
 
 
 def layout_clustered_slice(spark, sf_dir):
-    path = scratch_path(spark, "clustered")
-    layout.write_clustered(clean_store(spark, sf_dir), path)
-    return layout.slice_count(spark, path, SLICE_BOROUGH, SLICE_TYPE)
+    return layout.slice_count(spark, layout_store(spark, sf_dir, "clustered"), SLICE_BOROUGH, SLICE_TYPE)
 
 
 def layout_hash_spread(spark, sf_dir):
-    path = scratch_path(spark, "spread")
-    layout.write_hash_spread(clean_store(spark, sf_dir), path, SPREAD_BUCKETS)
-    return layout.spread_counts(spark, path)
+    return layout.spread_counts(spark, layout_store(spark, sf_dir, "spread"))
 
 
 def layout_scan_report(spark, sf_dir):
-    flat, hive = _layout_paths(spark, sf_dir)
-    clustered = scratch_path(spark, "clustered")
-    layout.write_clustered(clean_store(spark, sf_dir), clustered)
+    flat, hive, clustered = (layout_store(spark, sf_dir, k) for k in ("flat", "hive", "clustered"))
     b = f"borough = '{SLICE_BOROUGH}'"
     s = f"{b} AND complaint_type = '{SLICE_TYPE}'"
     probes = [
