@@ -17,6 +17,7 @@ gives ''), ``split`` makes it an array, and ``let`` binds it once for the many r
 
 from __future__ import annotations
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -149,3 +150,26 @@ def parse_coordinate(value: Column) -> Column:
     """Lenient float: unparseable, blank, 'N/A' or missing -> 0.0 (the 'unknown' marker)."""
     parsed = F.when(value.rlike(FLOAT_RE), F.regexp_replace(value, "_", "").try_cast("double"))
     return F.coalesce(parsed, F.lit(0.0))
+
+
+# Building the date expression takes about a thousand Python -> JVM calls; Column
+# expressions are immutable and unresolved, so each is built once per SparkContext and
+# input column and shared by every plan that parses that column.
+_BUILT: dict[tuple[int, str, str], Column] = {}
+
+
+def _once(kind: str, name: str, build) -> Column:
+    key = (id(SparkContext._active_spark_context), kind, name)
+    if key not in _BUILT:
+        _BUILT[key] = build(F.col(name))
+    return _BUILT[key]
+
+
+def created_date_of(name: str) -> Column:
+    """``parse_created_date(col(name))``, built once."""
+    return _once("date", name, parse_created_date)
+
+
+def coordinate_of(name: str) -> Column:
+    """``parse_coordinate(col(name))``, built once."""
+    return _once("coordinate", name, parse_coordinate)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from civicflow.functions import strict
 from civicflow.functions.normalize import column_or_null, lower_case, null_flags, resolve_alias, upper_case, zip_code
-from civicflow.functions.parse import parse_coordinate, parse_created_date
+from civicflow.functions.parse import coordinate_of, created_date_of, parse_coordinate, parse_created_date
 from civicflow.operators.dedup import keep_first
 from civicflow.operators.validate import ERROR_FIELDS, TYPE_ERRORS, invalid_rows, valid_rows
 from civicflow.schema import (
@@ -72,6 +72,11 @@ def _original_record(parsed: DataFrame) -> Column:
     return line
 
 
+def _parsed_or_null(raw: DataFrame, name: str, of_column, parse) -> Column:
+    """The shared, prebuilt parser when the input has the column; else the parse of null."""
+    return of_column(name) if name in raw.columns else parse(F.lit(None).cast("string"))
+
+
 def _lenient_fields(raw: DataFrame) -> list[Column]:
     c = lambda name: column_or_null(raw, name)
     return [
@@ -83,9 +88,9 @@ def _lenient_fields(raw: DataFrame) -> list[Column]:
         lower_case(c("status")).alias("status"),
         upper_case(c("borough")).alias("borough"),
         zip_code(raw).alias("zip_code"),
-        parse_coordinate(c("latitude")).alias("latitude"),
-        parse_coordinate(c("longitude")).alias("longitude"),
-        parse_created_date(c("created_date")).alias("created_date"),
+        _parsed_or_null(raw, "latitude", coordinate_of, parse_coordinate).alias("latitude"),
+        _parsed_or_null(raw, "longitude", coordinate_of, parse_coordinate).alias("longitude"),
+        _parsed_or_null(raw, "created_date", created_date_of, parse_created_date).alias("created_date"),
         F.coalesce(c("unique_key"), F.lit(UNKNOWN_RECORD_ID)).alias(RECORD_ID),
         F.array().cast("array<string>").alias(TYPE_ERRORS),
     ]
