@@ -76,3 +76,17 @@ def test_progress_key_invariants(spark, sf001):
     assert len(progress) == 4
     assert all(p.valid == p.written + p.duplicates and p.duplicates >= 0 for p in progress)
     assert sum(p.written for p in progress) == ingest_resumable(spark, sf001).count()
+
+
+def test_whole_batch_flow(spark, sf001):
+    from civicflow.plans.batch import run_batch
+
+    out = scratch_path(spark, "t-batch")
+    reports = run_batch(spark, raw_requests(spark, sf001), out, "BROOKLYN", "click-1")
+    clean = read_clean(spark, f"{out}/clean")
+    assert clean.count() == clean_rows(parse_requests(raw_requests(spark, sf001))).count()
+    assert reports.summary.count() == 4
+    assert {r.layout for r in reports.scan_report.collect()} == {"flat", "hive", "clustered"}
+    assert sum(r["count"] for r in reports.quarantine_by_type.collect()) == read_quarantine(
+        spark, f"{out}/quarantine").count()
+    assert spark.read.csv(f"{out}/csv", header=True).count() == clean.count()
