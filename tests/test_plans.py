@@ -57,3 +57,19 @@ def test_no_query_uses_a_cartesian_product(spark, sf01):
     for key in cheap:
         p = plan(QUERIES[key](spark, sf01))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
+
+
+def test_validity_filters_never_copy_the_parse(spark, sf01):
+    from civicflow.plans.clean import quarantine_rows
+
+    parsed = parse_requests(raw_requests(spark, sf01))
+    for df in (clean_rows(parsed), quarantine_rows(parsed)):
+        stack, conditions = [df._jdf.queryExecution().optimizedPlan()], []
+        while stack:
+            node = stack.pop()
+            if node.nodeName() == "Filter":
+                conditions.append(node.condition().toString())
+            kids = node.children()
+            stack.extend(kids.apply(i) for i in range(kids.size()))
+        assert conditions, "expected validity filters"
+        assert not any(w in c for c in conditions for w in ("regexp", "rlike", "RLIKE", "transform")), conditions
