@@ -24,6 +24,7 @@ from civicflow.operators.dedup import BROADCAST_KEY_LIMIT, drop_existing
 from civicflow.operators.validate import is_valid
 from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows
 from civicflow.schema import CLEAN_SCHEMA, CORRUPT_RECORD, RAW_SCHEMA_WITH_CORRUPT
+from civicflow.sources.jsonl import strict_fields
 from civicflow.sources.sinks import ensure_table, read_clean, write_quarantine
 
 OBSERVATION = "ingest"
@@ -67,20 +68,27 @@ def start_ingest(
     max_files_per_trigger: int | None = None,
     broadcast_limit: int = BROADCAST_KEY_LIMIT,
     written: dict[int, int] | None = None,
+    strict: bool = False,
 ):
     """Process every file not yet consumed, in micro-batches, then stop (availableNow).
 
-    ``written`` (optional) receives the rows each micro-batch appended to the store.
+    ``written`` (optional) receives the rows each micro-batch appended to the store;
+    ``strict`` reads JSON types and absent-vs-null (see ``read_jsonl_strict``).
     """
     ensure_table(spark, paths.clean, CLEAN_SCHEMA)
-    reader = (
-        spark.readStream.schema(RAW_SCHEMA_WITH_CORRUPT)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-    )
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    parsed = parse_requests(reader.json(paths.landing)).observe(
+    if strict:
+        raw = strict_fields(reader.text(paths.landing))
+    else:
+        raw = (
+            reader.schema(RAW_SCHEMA_WITH_CORRUPT)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
+            .json(paths.landing)
+        )
+    parsed = parse_requests(raw).observe(
         OBSERVATION,
         F.count(F.lit(1)).alias("rows"),
         F.count_if(~is_valid()).alias("bad"),

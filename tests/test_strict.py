@@ -79,3 +79,19 @@ def test_strict_equals_lenient_on_an_all_text_feed(spark, sf001):
     ql = quarantine_rows(parse_requests(read_jsonl(spark, path))).select("seq", "error_fields")
     qs = quarantine_rows(parse_requests(read_jsonl_strict(spark, path))).select("seq", "error_fields")
     assert qs.exceptAll(ql).count() == 0 and ql.exceptAll(qs).count() == 0
+
+
+def test_strict_streaming_ingest(spark, sf001):
+    from civicflow.streaming.ingest import IngestPaths, run_ingest
+    from civicflow.sources.jsonl import arrival_bounds, land_arrival
+    from civicflow.sources.sinks import read_clean
+
+    raw = raw_requests(spark, sf001)
+    root = scratch_path(spark, "t-strict-stream")
+    paths = IngestPaths(f"{root}/landing", f"{root}/clean", f"{root}/quarantine", f"{root}/_ckpt")
+    for lo, hi in arrival_bounds(raw, 2):
+        land_arrival(raw, paths.landing, lo, hi)
+        run_ingest(spark, paths, strict=True)
+    got = read_clean(spark, paths.clean)
+    want = clean_rows(parse_requests(raw))
+    assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
