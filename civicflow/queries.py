@@ -145,8 +145,12 @@ def dedup_keep_first(spark, sf_dir):
 
 def dedup_cross_batch(spark, sf_dir):
     """Two arrivals split on seq: the second only adds keys the store does not hold yet."""
-    raw = raw_requests(spark, sf_dir)
-    (first_lo, first_hi), *rest = arrival_bounds(raw, 2)
+    return _cross_batch(spark, raw_requests(spark, sf_dir))
+
+
+def _cross_batch(spark, raw):
+    bounds = arrival_bounds(raw, 2) or [(0, -1)]  # an empty feed is one empty arrival
+    (_, first_hi), *rest = bounds
     path = scratch_path(spark, "cross-batch")
     first = clean_rows(parse_requests(raw.where(F.col(SEQ) <= first_hi)))
     write_clean(first, path, fresh=True)
@@ -201,8 +205,11 @@ def region_distinct(spark, sf_dir):
 
 
 def union_frames(spark, sf_dir):
-    clean = clean_store(spark, sf_dir)
-    (lo, hi), *_ = arrival_bounds(clean, 2)
+    return _halves_united(clean_store(spark, sf_dir))
+
+
+def _halves_united(clean):
+    (_, hi), *_ = arrival_bounds(clean, 2) or [(0, -1)]
     return agg.union_frames([clean.where(F.col(SEQ) <= hi), clean.where(F.col(SEQ) > hi)])
 
 

@@ -82,3 +82,13 @@ def test_raw_shape_line(spark, sf01):
     r = frame_shape(raw_requests(spark, sf01)).first()
     assert (r.rows, r.columns) == (10_000, 13)
     assert r.schema.startswith("seq: bigint, unique_key: string")
+
+
+def test_empty_inputs(spark, sf01):
+    from civicflow.fixtures import raw_requests
+    from civicflow.queries import _cross_batch, _halves_united
+
+    empty_raw = raw_requests(spark, sf01).limit(0)
+    assert _cross_batch(spark, empty_raw).count() == 0
+    assert _halves_united(clean_store(spark, sf01).limit(0)).count() == 0
+    assert agg.channel_share(clean_store(spark, sf01).limit(0)).count() == 0
