@@ -1,0 +1,69 @@
+"""Public operations, grouped by stage (``from civicflow.api import *``).
+
+Sources      read_jsonl, read_jsonl_strict, strict_fields, first_non_empty, raw_requests
+Validation   parse_requests, clean_rows, quarantine_rows, clean_and_quarantine, is_valid,
+             parse_created_date, parse_coordinate
+De-dup       keep_first, drop_existing
+Answers      region_volume, top_types, hourly, channels, channel_share, table_count,
+             slice_count, slice_rollup, slice_from_rollup, pick_slice, distinct_regions,
+             union_frames, summary_answers, summary_records, explode_records
+Profiles     null_ranking, frame_shape, health_check
+Samples      head_sample, systematic_sample, global_rank
+Sinks        land_raw, write_clean, write_quarantine, write_summary, export_csv, read_csv,
+             read_clean, read_quarantine
+Layouts      write_flat, write_partitioned, write_clustered, write_hash_spread, hash_bucket,
+             borough_count, equivalence, spread_counts, scan_report
+Runs         run_clean_job, run_batch, start_ingest, run_ingest, IngestPaths
+Session      local_session, checkpoint_root, scratch_path
+"""
+
+from civicflow.fixtures import raw_requests
+from civicflow.functions.parse import parse_coordinate, parse_created_date
+from civicflow.operators.aggregate import (
+    channel_share,
+    channels,
+    distinct_regions,
+    hourly,
+    pick_slice,
+    region_volume,
+    slice_count,
+    slice_from_rollup,
+    slice_rollup,
+    table_count,
+    top_types,
+    union_frames,
+)
+from civicflow.operators.dedup import drop_existing, keep_first
+from civicflow.operators.profile import frame_shape, health_check, null_ranking
+from civicflow.operators.sample import global_rank, head_sample, systematic_sample
+from civicflow.operators.summary import explode_records, summary_answers, summary_records
+from civicflow.operators.validate import is_valid
+from civicflow.plans.batch import run_batch
+from civicflow.plans.clean import clean_and_quarantine, clean_rows, parse_requests, quarantine_rows
+from civicflow.plans.layout import (
+    borough_count,
+    equivalence,
+    hash_bucket,
+    scan_report,
+    spread_counts,
+    write_clustered,
+    write_flat,
+    write_hash_spread,
+    write_partitioned,
+)
+from civicflow.plans.tables import run_clean_job
+from civicflow.session import checkpoint_root, local_session, scratch_path
+from civicflow.sources.jsonl import first_non_empty, read_jsonl, read_jsonl_strict, strict_fields
+from civicflow.sources.sinks import (
+    export_csv,
+    land_raw,
+    read_clean,
+    read_csv,
+    read_quarantine,
+    write_clean,
+    write_quarantine,
+    write_summary,
+)
+from civicflow.streaming.ingest import IngestPaths, run_ingest, start_ingest
+
+__all__ = [name for name in dir() if not name.startswith("_")]

@@ -73,3 +73,13 @@ def test_validity_filters_never_copy_the_parse(spark, sf01):
             stack.extend(kids.apply(i) for i in range(kids.size()))
         assert conditions, "expected validity filters"
         assert not any(w in c for c in conditions for w in ("regexp", "rlike", "RLIKE", "transform")), conditions
+
+
+def test_public_api_surface():
+    import re
+
+    import civicflow.api as api
+
+    listed = set(re.findall(r"\b(?:[a-z]+_[a-z_]+|IngestPaths|keep_first|hourly|channels)\b", api.__doc__))
+    assert len(listed) > 50
+    assert not {n for n in listed if not hasattr(api, n)}
