@@ -73,10 +73,19 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read an export back with its schema (a zip like 00000 must stay text)."""
+    """Read an export back with its schema (a zip like 00000 must stay text).
+
+    Free text may hold line breaks inside quotes, so records may span lines
+    (``multiLine``): each file is then read by one task, and the export writes one file
+    per task, so reads stay parallel across files.  The export writes null as an empty
+    field and the empty string as ``""``; reading with a null marker that never occurs
+    keeps the two apart (the default marker '' would turn both into null).
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("multiLine", True)
+        .option("nullValue", "\u0000")
         .option("escape", '"')
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         .option("mode", "FAILFAST")

@@ -65,3 +65,22 @@ def test_systematic_sample_pages_and_cap(spark, sf01):
 def test_head_sample_is_ingest_order(spark, sf01):
     raw = read_table(spark, sf01, "events").withColumnRenamed("event_id", "seq")
     assert [r.seq for r in head_sample(raw, 5).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_csv_export_round_trips_awkward_text(spark):
+    from datetime import datetime
+
+    from civicflow.schema import CLEAN_SCHEMA
+    from civicflow.sources.sinks import export_csv, read_csv
+
+    rows = [
+        ("1", "A", "Noise", 'line one\nline "two", three', "PHONE", "open", "BRONX", "00000", 0.0, -73.5,
+         datetime(2026, 5, 1, 2, 6, 3, 123456), 1),
+        ("2", "B", "Heat", None, "ONLINE", "closed", "QUEENS", "11201", 40.5, 0.0, datetime(2026, 5, 1), 2),
+        ("3", "C", "", "", "MOBILE", "open", "BROOKLYN", "10451", 1.0, 2.0, datetime(2026, 5, 1), 3),
+    ]
+    df = spark.createDataFrame(rows, CLEAN_SCHEMA)
+    path = scratch_path(spark, "t-csv")
+    export_csv(df, path)
+    back = read_csv(spark, path, CLEAN_SCHEMA)
+    assert sorted(back.collect()) == sorted(df.collect())
