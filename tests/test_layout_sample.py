@@ -84,3 +84,19 @@ def test_csv_export_round_trips_awkward_text(spark):
     export_csv(df, path)
     back = read_csv(spark, path, CLEAN_SCHEMA)
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_partition_values_round_trip(spark):
+    from datetime import datetime
+
+    from civicflow.schema import CLEAN_SCHEMA
+
+    boroughs = ["A/B", "X=Y", "STATEN ISLAND", "00000", "%41"]
+    rows = [(str(i), "A", "T", None, "PHONE", "open", b, "00000", 0.0, 0.0, datetime(2026, 5, 1), i)
+            for i, b in enumerate(boroughs)]
+    df = spark.createDataFrame(rows, CLEAN_SCHEMA)
+    path = scratch_path(spark, "t-hive-values")
+    layout.write_partitioned(df, path)
+    back = layout.read_layout(spark, path)
+    assert sorted(r.borough for r in back.collect()) == sorted(boroughs)
+    assert layout.borough_count(spark, path, "A/B").first()["count"] == 1
