@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,7 +132,8 @@ def scan_metrics(df: DataFrame) -> dict:
 
 
 def scan_report(spark: SparkSession, probes: list[tuple[str, str, DataFrame]]) -> DataFrame:
-    """One row per (layout, filter): rows returned / examined, files and bytes read, time."""
+    """One row per (layout, filter): rows returned / examined, files and bytes read, time,
+    and against the flat layout on the same filter: examined ratio and speed-up."""
     rows = []
     for layout, description, query in probes:
         m = scan_metrics(query)
@@ -143,5 +144,12 @@ def scan_report(spark: SparkSession, probes: list[tuple[str, str, DataFrame]]) -
         "layout string, filter string, rows_returned long, rows_examined long, "
         "files_read long, bytes_read long, seconds double"
     )
-    return spark.createDataFrame(rows, schema)
+    report = spark.createDataFrame(rows, schema)
+    same_filter = Window.partitionBy("filter")
+    flat = lambda c: F.max(F.when(F.col("layout") == "flat", F.col(c))).over(same_filter)
+    return report.select(
+        "*",
+        F.round(flat("rows_examined") / F.col("rows_examined"), 2).alias("examined_ratio"),
+        F.round(flat("seconds") / F.col("seconds"), 2).alias("speedup"),
+    )
 

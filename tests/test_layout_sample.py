@@ -31,6 +31,7 @@ def test_scan_report_shows_what_the_layout_saves(spark, sf01):
     assert flat.rows_returned == hive.rows_returned == 1893
     assert hive.rows_examined == 1893 < flat.rows_examined
     assert hive.files_read <= flat.files_read
+    assert flat.examined_ratio == 1.0 and hive.examined_ratio == round(flat.rows_examined / hive.rows_examined, 2)
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"  # restored
 
 
