@@ -6,9 +6,8 @@
   ``datetime.strptime('%m/%d/%Y %I:%M:%S %p')`` and build the value with
   ``try_make_timestamp_ntz``, so the result does not depend on the session time zone.
   An explicit UTC offset is applied (the stored value is the UTC wall clock).
-  ISO week dates (``2026-W18-5``, ``2026W185``, ``2026-W18``) are accepted as well;
-  ``fromisoformat``'s rules for a digit used as the date/time separator after a week
-  date are not reproduced (such text is rejected).
+  ISO week dates (``2026-W18-5``, ``2026W185``, ``2026-W18``) are accepted as well,
+  including ``fromisoformat``'s rules for a digit used as the date/time separator.
 * ``parse_coordinate``: Python ``float()`` grammar (underscores between digits,
   ``inf``/``nan``), else ``0.0``.
 
@@ -52,9 +51,13 @@ _TIME = (
 )
 _TIME_GROUPS = ("th", "tm", "ts", "tf", "tfz", "zsign", "zh", "zm", "zs", "zf")
 _CALENDAR = r"(?:(?P<ey>\d{4})-(?P<em>\d{2})-(?P<ed>\d{2})|(?P<by>\d{4})(?P<bm>\d{2})(?P<bd>\d{2}))"
+# Week dates: the extended day digit counts only when no digit follows it (else the '-' is
+# the separator).  In the basic form a run of digits after Www is split by its length, as
+# Python does: the day digit belongs to the date when the digits after it number 0 or an
+# odd count (the next one is then the separator); otherwise there is no day digit.
 _WEEK = (
     r"(?P<wy>\d{4})(?:-W(?P<ew>\d{2})(?:-(?P<ewd>[1-7])(?![0-9]))?"
-    r"|W(?P<bw>\d{2})(?P<bwd>[1-7])?(?![0-9]))"
+    r"|W(?P<bw>\d{2})(?:(?P<bwd>[1-7])(?=(?!\d)|\d(?:\d\d)*(?!\d))|(?=(?!\d)|\d(?:\d\d)+(?!\d))))"
 )
 
 
