@@ -141,9 +141,11 @@ def _with_time(p: Column, at: dict[str, int], year: Column, month: Column, day:
     tz_h, tz_m, tz_s = (_int_or(g(n), 0, "long") for n in ("zh", "zm", "zs"))
     tz_us = (tz_h * 3600 + tz_m * 60 + tz_s) * 1_000_000 + _micros_of(g("zf")).cast("long")
     sign = F.when(g("zsign") == "-", F.lit(-1)).otherwise(F.lit(1))
-    return F.when(g("zsign") == "", local).when(
+    utc = F.when(g("zsign") == "", local).when(
         tz_us < F.lit(24 * 3600 * 1_000_000), F.timestamp_add("MICROSECOND", -sign * tz_us, local)
     )
+    # outside years 1..9999 the value has no Python datetime (nor a storable one): invalid
+    return F.when(F.year(utc).between(1, 9999), utc)
 
 
 def _iso_from_groups(p: Column) -> Column:
@@ -164,7 +166,7 @@ def _week_from_groups(p: Column) -> Column:
     jan4 = F.make_date(year, F.lit(1), F.lit(4))
     weeks_in_year = F.weekofyear(F.make_date(year, F.lit(12), F.lit(28)))
     date = F.date_add(F.date_sub(jan4, F.weekday(jan4)), (week - 1) * 7 + weekday - 1)
-    valid = (year >= 1) & (week >= 1) & (week <= weeks_in_year)
+    valid = (year >= 1) & (week >= 1) & (week <= weeks_in_year) & F.year(date).between(1, 9999)
     return F.when(valid, _with_time(p, _WK, F.year(date), F.month(date), F.dayofmonth(date)))
 
 
