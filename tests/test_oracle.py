@@ -3,11 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from civicflow.oracle import ORACLE_SQL as ORACLES
+from civicflow.queries import QUERIES
 from tools.oracle_check import duck, frame_digest, spark_pdf
 
-ORACLES = entry.oracle_sql()
-QUERIES = entry.queries()
-
 
 def test_every_key_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
