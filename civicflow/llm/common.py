@@ -30,6 +30,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer() -> dict[str, str]:
+    """Where the public byte-level BPE vocabulary is, as options of packing.Encoder."""
+    import public_tokenizers
+
+    return {
+        "json_path": public_tokenizers.path("byte_bpe_50k.json"),
+        "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        "pattern": public_tokenizers.PATTERN,
+    }
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared scratch folder and read back: computed once, safe to lose executors."""
     spark = df.sparkSession

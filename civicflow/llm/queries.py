@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents
+import corpus_pipeline
+
+from .common import documents, tokenizer
 from .decontam import containment_pairs
 from .licenses import scan_licenses
+from .linededup import deduplicate_lines
+from .minhash import near_duplicates
+from .packing import pack
 from .quality import quality_scores
 from .sharding import shard_documents
 
@@ -17,6 +22,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), width=4)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), tokenizer())
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -25,15 +38,23 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment_pairs(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate_lines(documents(spark, sf_dir))
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
+    "op3_minhash": op3_minhash,
+    "op4_packing": op4_packing,
     "op6_quality": op6_quality,
     "op7_decontamination": op7_decontamination,
+    "op9_line_dedup": op9_line_dedup,
     "op10_licenses": op10_licenses,
+    "pipeline": corpus_pipeline.run,
 }
 
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
