@@ -160,16 +160,18 @@ def decontaminated(
     """The rows of ``documents``, all columns, whose text contains no benchmark item; nothing is shuffled."""
     sketches = stored(item_sketches(benchmark, width, threshold), "sketches")
     for rows in _blocks(sketches):
-        block = Block(rows, threshold)
+        documents = documents.where(~_leaks(Block(rows, threshold))("text"))
+    return documents
 
-        @F.arrow_udf("boolean")
-        def leaks(texts: pa.Array, block: Block = block) -> pa.Array:
-            found = np.zeros(len(texts), bool)
-            whole = pa.RecordBatch.from_arrays([texts, pa.array(np.arange(len(texts)))], names=["text", "row"])
-            for batch in slices([whole], "text"):
-                for pair in block.matches(Words(batch.column("text")), batch.column("row").to_pylist()):
-                    found[pair[0]] = True
-            return pa.array(found)
 
-        documents = documents.where(~leaks("text"))
-    return documents
+def _leaks(block: Block):
+    @F.arrow_udf("boolean")
+    def leaks(texts: pa.Array) -> pa.Array:
+        found = np.zeros(len(texts), bool)
+        whole = pa.RecordBatch.from_arrays([texts, pa.array(np.arange(len(texts)))], names=["text", "row"])
+        for batch in slices([whole], "text"):
+            for pair in block.matches(Words(batch.column("text")), batch.column("row").to_pylist()):
+                found[pair[0]] = True
+        return pa.array(found)
+
+    return leaks
