@@ -10,6 +10,7 @@ import corpus_pipeline
 
 from .common import documents, tokenizer
 from .decontam import containment_pairs
+from .embeddings import near_vectors
 from .licenses import scan_licenses
 from .linededup import deduplicate_lines
 from .minhash import near_duplicates
@@ -38,6 +39,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment_pairs(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate_lines(documents(spark, sf_dir))
 
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op6_quality": op6_quality,
     "op7_decontamination": op7_decontamination,
+    "op8_embeddings": op8_embeddings,
     "op9_line_dedup": op9_line_dedup,
     "op10_licenses": op10_licenses,
     "pipeline": corpus_pipeline.run,
