@@ -11,6 +11,7 @@ import corpus_pipeline
 from .common import documents, tokenizer
 from .decontam import containment_pairs
 from .embeddings import near_vectors
+from .langid import identify_languages
 from .licenses import scan_licenses
 from .linededup import deduplicate_lines
 from .minhash import near_duplicates
@@ -31,6 +32,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer())
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(documents(spark, sf_dir))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_minhash": op3_minhash,
     "op4_packing": op4_packing,
+    "op5_language": op5_language,
     "op6_quality": op6_quality,
     "op7_decontamination": op7_decontamination,
     "op8_embeddings": op8_embeddings,
