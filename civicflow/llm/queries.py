@@ -14,12 +14,17 @@ from .embeddings import near_vectors
 from .langid import identify_languages
 from .licenses import scan_licenses
 from .linededup import deduplicate_lines
+from .lm_scoring import score_documents
 from .minhash import near_duplicates
 from .packing import pack
 from .quality import quality_scores
 from .sharding import shard_documents
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir))
 
@@ -57,6 +62,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_sharding": op2_sharding,
     "op3_minhash": op3_minhash,
     "op4_packing": op4_packing,
