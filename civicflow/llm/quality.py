@@ -17,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Words, id_remainder, raw_bytes, slices, stored
 
@@ -24,7 +25,7 @@ STATS = (
     "log_bytes log_words word_bytes upper_share digit_share punct_share symbol_share bang_share "
     "high_share line_words distinct_share repeated_line_share"
 ).split()
-STATS_TYPE = "struct<" + ",".join(f"{s}:double" for s in STATS) + ">"
+STATS_TYPE = T.StructType([T.StructField(s, T.DoubleType()) for s in STATS])
 
 #: Labelled rows used for fitting, chosen by a hash of their id.
 TRAIN_ROWS = 20_000

@@ -80,7 +80,7 @@ WORDS = r"regexp_extract_all(translate(coalesce(text, ''), {lower}), '[^\x20\x09
 
 OP7_SQL = f"""
 WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
-ds AS (SELECT doc_id, i - 1 AS at, array_to_string(w[i:i + 4], ' ') AS s
+ds AS (SELECT doc_id, i - 1 AS place, array_to_string(w[i:i + 4], ' ') AS s
        FROM (SELECT doc_id, w, unnest(range(1, CAST(len(w) AS BIGINT) - 3)) AS i FROM d)),
 b AS (SELECT item_id, {WORDS} AS w FROM benchmark),
 bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS s
@@ -88,7 +88,7 @@ bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + least(5, len(w)) - 1], '
 n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id)
 SELECT doc_id, item_id, n_item, count(DISTINCT s) AS n_shared,
        CAST(count(DISTINCT s) AS DOUBLE) / n_item AS containment,
-       min(at) AS first_word, max(at) + 4 AS last_word
+       min(place) AS first_word, max(place) + 4 AS last_word
 FROM ds JOIN bs USING (s) JOIN n USING (item_id)
 GROUP BY doc_id, item_id, n_item
 HAVING 10 * count(DISTINCT s) >= 8 * n_item
