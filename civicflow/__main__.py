@@ -26,7 +26,7 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--jsonl", help="raw JSON-lines file or folder")
     ap.add_argument("--strict", action="store_true", help="JSON types and absent-vs-null as the record model")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
-    ap.add_argument("--slice", nargs=2, default=("BROOKLYN", "click-1"), metavar=("BOROUGH", "TYPE"))
+    ap.add_argument("--slice", nargs=2, default=(None, None), metavar=("BOROUGH", "TYPE"))
     ap.add_argument("--local", type=int, default=0, help="run on local[N] instead of the cluster session")
     args = ap.parse_args(argv)
 
@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> None:
         raw = read_jsonl_strict(spark, args.jsonl) if args.strict else read_jsonl(spark, args.jsonl)
     reports = run_batch(spark, raw, args.out, *args.slice)
     for title, df in [
+        ("raw feed: rows, columns, schema", reports.raw_shape),
         ("raw profile: columns by null count", reports.raw_profile),
         ("quarantine by reason", reports.quarantine_by_type),
         ("clean health check", reports.health),

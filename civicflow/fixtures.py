@@ -69,20 +69,44 @@ def raw_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def spread_small_input(df: DataFrame, key: str) -> DataFrame:
-    """Give a scan with fewer splits than cores one partition per core.
+def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_from_events(read_table(spark, sf_dir, "events"))
+
+
+def public_feed(events: DataFrame) -> DataFrame:
+    """The feed as a city publishes it: no record numbers, and fields that no schema declares."""
+    raw = raw_from_events(events)
+    e = F.col(SEQ)
+    return raw.select(
+        *[c for c in raw.columns if c != SEQ],
+        F.concat(F.lit("R"), e.cast("string")).alias("request_ref"),
+        F.when(e % 5 != 0, F.concat(F.lit("Agency of "), F.col("borough"))).alias("agency_name"),
+        e.alias("_at"),
+    )
 
-    A small file holding a single row group is read by one task, and the per-row
-    parse would then use one core.  Large inputs already have many splits and are
-    returned unchanged (no shuffle).  Hash of a unique column: even, and the same
-    rows land in the same partition when a task is retried.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, F.col(key))
 
+def write_public_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """JSON lines in the order of the events: files by name, lines from front to back."""
+    feed = public_feed(read_table(spark, sf_dir, "events"))
+    feed.repartitionByRange("_at").sortWithinPartitions("_at").drop("_at").write.mode("overwrite").json(path)
 
-def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread_small_input(read_table(spark, sf_dir, "events"), "event_id")
-    return raw_from_events(events)
+
+def typed_lines(events: DataFrame) -> DataFrame:
+    """JSON lines (``value``) with what only a strict reader sees: numeric keys, aliases that are null."""
+    raw = raw_from_events(events)
+    e = F.col(SEQ)
+    numeric, null_alias = e % 19 == 0, e % 23 == 0
+    shaped = raw.withColumns(
+        {
+            "channel_type": F.when(null_alias, F.lit("PHONE")).otherwise(F.col("channel_type")),
+            "open_data_channel_type": F.when(~null_alias, F.col("open_data_channel_type")),
+        }
+    )
+    fields = [c for c in shaped.columns if c != "unique_key"]
+    rest = F.to_json(F.struct(*fields, F.when(~numeric, F.col("unique_key")).alias("unique_key")))
+    head = F.concat(
+        F.lit("{"),
+        F.when(numeric, F.concat(F.lit('"unique_key":'), F.col("unique_key"), F.lit(","))).otherwise(F.lit("")),
+        F.when(null_alias, F.lit('"open_data_channel_type":null,')).otherwise(F.lit("")),
+    )
+    return shaped.select(F.concat(head, F.substring(rest, 2, 1_000_000_000)).alias("value"))

@@ -33,12 +33,6 @@ def lower_case(c: Column) -> Column:
     return F.lower(c)
 
 
-def fill_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
-    """``fill_null`` for the given columns (only those present)."""
-    present = {k: v for k, v in defaults.items() if k in df.columns}
-    return df.fillna(present) if present else df
-
-
 def null_flags(names: Iterable[str]) -> Column:
     """array<string> of the names whose column is null, in the given order."""
     flags = F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in names])

@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.functions.parse import parse_coordinate, parse_created_date
+from civicflow.schema import JSON_TYPES
 
-JSON_TYPES = "_json_types"
 # JSON type labels.
 MISSING, NULL, STRING, NUMBER, BOOLEAN = "missing", "null", "string", "number", "boolean"
 

@@ -5,10 +5,10 @@
 ``WindowGroupLimit`` *before* the shuffle, so a key holding a third of all rows still
 ships at most one row per map partition.
 
-``drop_existing``: cross-batch uniqueness (first written wins).  When the batch is
-small enough to broadcast (checked), the big table is only *scanned* for its key
-column and semi-joined against the broadcast batch keys, so it is never shuffled;
-otherwise a plain shuffled anti-join is used.
+``drop_existing``: cross-batch uniqueness (first written wins).  The store is reduced to the keys
+that the batch has, then the batch is anti-joined with those.  No hint and no row limit: Spark
+sees the size of the batch's keys at run time and broadcasts them if they are small enough, so
+a small batch never shuffles the store, and a large one is joined by an exchange on the key.
 """
 
 from __future__ import annotations
@@ -18,9 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Broadcast the batch's keys only below this many rows (about 100 bytes each).
-BROADCAST_KEY_LIMIT = 2_000_000
-
 
 def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
@@ -28,19 +25,7 @@ def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) ->
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def drop_existing(
-    batch: DataFrame,
-    existing: DataFrame,
-    key: str,
-    batch_rows: int | None = None,
-    broadcast_limit: int = BROADCAST_KEY_LIMIT,
-) -> DataFrame:
-    """Rows of ``batch`` (unique on ``key``) whose key is not yet in ``existing``."""
-    if batch_rows is None:
-        batch_rows = batch.count()
-    if batch_rows <= broadcast_limit:
-        batch_keys = F.broadcast(batch.select(key))
-        already = existing.select(key).join(batch_keys, key, "left_semi")
-        # ``already`` is a subset of the batch keys, so its size is bounded too.
-        return batch.join(F.broadcast(already), key, "left_anti")
-    return batch.join(existing.select(key), key, "left_anti")
+def drop_existing(batch: DataFrame, existing: DataFrame, key: str) -> DataFrame:
+    """Rows of ``batch`` whose key is not yet in ``existing``."""
+    already = existing.select(key).join(batch.select(key), key, "left_semi")
+    return batch.join(already, key, "left_anti")

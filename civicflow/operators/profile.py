@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicflow.schema import SEQ
+from civicflow.schema import INTERNAL_COLUMNS, RAW_LINE, SEQ
+from civicflow.sources.jsonl import undeclared_keys
 
 # Types whose zeros are counted ("unknown" coordinates are stored as 0.0).
 ZERO_COUNTED_TYPES = (T.DoubleType, T.LongType)
@@ -37,11 +38,13 @@ def bounded(df: DataFrame, sample_size: int | None, order: Sequence[str] = (SEQ,
 
 
 def null_ranking(
-    df: DataFrame, top: int = 15, exclude: Sequence[str] = (SEQ,), sample_size: int | None = None
+    df: DataFrame, top: int = 15, exclude: Sequence[str] = INTERNAL_COLUMNS, sample_size: int | None = None
 ) -> DataFrame:
     """Columns ranked by null count (ties keep column order), first ``top``; with row total.
 
-    ``sample_size`` profiles a bounded head instead of the whole table.
+    A frame with whole lines also ranks the keys that no schema declares, in alphabetical order
+    after the declared ones; a row without the key counts as null.  ``sample_size`` profiles a
+    bounded head instead of the whole table.
     """
     df = bounded(df, sample_size)
     cols = [c for c in df.columns if c not in exclude]
@@ -58,15 +61,24 @@ def null_ranking(
         )
         for i, c in enumerate(cols)
     ]
-    return _long_form(one, entries).orderBy(F.col("nulls").desc(), F.col("ordinal")).limit(top)
+    ranked = _long_form(one, entries)
+    if RAW_LINE in df.columns:
+        all_keys = Window.partitionBy()  # one row per key
+        rows = F.max(F.when(F.col("column_name").isNull(), F.col("filled"))).over(all_keys)
+        number = F.row_number().over(all_keys.orderBy(F.col("column_name").asc_nulls_first())) - 2 + len(cols)
+        keys = undeclared_keys(df).select("column_name", number.alias("ordinal"), "filled", rows.alias("rows"))
+        more = keys.where("column_name is not null").withColumn("nulls", F.col("rows") - F.col("filled")).drop("filled")
+        ranked = ranked.unionByName(more)
+    return ranked.orderBy(F.col("nulls").desc(), F.col("ordinal")).limit(top)
 
 
 def frame_shape(df: DataFrame) -> DataFrame:
     """rows x columns and the schema as text (the raw profile's header line)."""
-    schema = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in df.schema.fields)
+    fields = [f for f in df.schema.fields if f.name not in INTERNAL_COLUMNS]
+    schema = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in fields)
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.lit(len(df.columns)).alias("columns"),
+        F.lit(len(fields)).alias("columns"),
         F.lit(schema).alias("schema"),
     )
 

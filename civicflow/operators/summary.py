@@ -1,9 +1,8 @@
-"""The four published answers in one pass, and their nested summary records.
+"""The four published answers, and their nested summary records.
 
-All four counts come from a single scan of the clean table with GROUPING SETS
-(``Expand -> HashAggregate(partial) -> Exchange -> HashAggregate(final)``): one read and
-one shuffle instead of four.  Ranking then runs on the aggregated rows only (one window
-partition per answer, a few dozen rows each).
+The three answers over bounded lists (boroughs, hours, channels) come from one scan with GROUPING
+SETS.  Complaint types are counted by themselves and cut to the top k by an ordered limit, so the
+list of all types is never ranked in one task.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicflow.operators.aggregate import COUNT, count_rows
+from civicflow.operators.aggregate import COUNT, count_rows, top_types
 
 # --- fixed values: aggregation names and descriptions of the summary records ---
 BOROUGH_VOLUME = "borough_volume"
@@ -26,12 +25,11 @@ DESCRIPTIONS = {
 }
 # --- end of fixed values ---
 
-_DIMS = ("borough", "complaint_type", "hour", "channel_type")
+_DIMS = ("borough", "hour", "channel_type")
 # grouping_id() of a set holding only dimension i (first column = highest bit).
 _GID = {d: (1 << len(_DIMS)) - 1 - (1 << (len(_DIMS) - 1 - i)) for i, d in enumerate(_DIMS)}
 _NAME = {
     "borough": BOROUGH_VOLUME,
-    "complaint_type": TOP_COMPLAINT_TYPES,
     "hour": COMPLAINTS_BY_HOUR,
     "channel_type": REPORTING_CHANNELS,
 }
@@ -39,28 +37,30 @@ _NAME = {
 
 def summary_answers(clean: DataFrame, top_k: int = 5) -> DataFrame:
     """Long form: aggregation_name, position (1-based, the answer's order), key, count, record_count."""
-    dims = clean.select(
-        "borough", "complaint_type", F.hour("created_date").alias("hour"), "channel_type"
-    )
+    dims = clean.select("borough", F.hour("created_date").alias("hour"), "channel_type")
     agg = dims.groupingSets([[d] for d in _DIMS], *_DIMS).agg(count_rows(), F.grouping_id().alias("_gid"))
     name = F.lit(None).cast("string")
     key = F.lit(None).cast("string")
     for d in reversed(_DIMS):
         name = F.when(F.col("_gid") == _GID[d], F.lit(_NAME[d])).otherwise(name)
         key = F.when(F.col("_gid") == _GID[d], F.col(d).cast("string")).otherwise(key)
+    listed = agg.select(name.alias("aggregation_name"), key.alias("key"), F.col(COUNT), F.col("hour"))
+    top = top_types(clean, top_k).select(
+        F.lit(TOP_COMPLAINT_TYPES).alias("aggregation_name"),
+        F.col("complaint_type").alias("key"),
+        COUNT,
+        F.lit(None).cast("int").alias("hour"),
+    )
     is_hour = F.col("aggregation_name") == COMPLAINTS_BY_HOUR
-    long = agg.select(name.alias("aggregation_name"), key.alias("key"), F.col(COUNT), F.col("hour"))
     by_name = Window.partitionBy("aggregation_name")
     order = by_name.orderBy(
         F.when(is_hour, F.col("hour")).asc_nulls_last(),
         F.when(~is_hour, F.col(COUNT)).desc_nulls_last(),
         F.col("key").asc(),
     )
-    ranked = long.withColumn("position", F.row_number().over(order))
-    kept = ranked.where((F.col("aggregation_name") != TOP_COMPLAINT_TYPES) | (F.col("position") <= top_k))
-    return kept.select(
+    return listed.unionByName(top).select(
         "aggregation_name",
-        "position",
+        F.row_number().over(order).alias("position"),
         "key",
         COUNT,
         F.count(F.lit(1)).over(by_name).cast("int").alias("record_count"),

@@ -52,10 +52,30 @@ ERROR_FIELDS = """concat_ws(',',
   CASE WHEN status IS NULL THEN 'status' END, CASE WHEN borough IS NULL THEN 'borough' END,
   CASE WHEN created_date IS NULL THEN 'created_date' END)"""
 
-QUARANTINE = f"""quarantined AS (
- SELECT CAST(0 AS BIGINT) AS batch_id, seq, coalesce(unique_key, 'unknown') AS record_id,
-        'validation_error' AS error_type, {ERROR_FIELDS} AS error_fields
- FROM parsed WHERE NOT ({_ALL_REQUIRED}))"""
+_RAW_FIELDS = (
+    "unique_key", "agency", "complaint_type", "descriptor", "open_data_channel_type", "channel_type",
+    "status", "borough", "incident_zip", "latitude", "longitude", "created_date",
+)
+# The original record as JSON text: fields without a value are left out.
+_RECORD = "'{' || concat_ws(',', " + ", ".join(
+    f"'\"{c}\":\"' || replace(replace(raw.{c}, '\\', '\\\\'), '\"', '\\\"') || '\"'" for c in _RAW_FIELDS
+) + ") || '}'"
+
+QUARANTINE = f"""rejected AS (SELECT * FROM parsed WHERE NOT ({_ALL_REQUIRED})),
+quarantined AS (
+ SELECT CAST(0 AS BIGINT) AS batch_id, rejected.seq, coalesce(rejected.unique_key, 'unknown') AS record_id,
+        'validation_error' AS error_type, error_fields,
+        'invalid or missing: ' || replace(error_fields, ',', ', ') AS error_message, {_RECORD} AS original_record
+ FROM (SELECT *, {ERROR_FIELDS} AS error_fields FROM rejected) AS rejected JOIN raw ON raw.seq = rejected.seq)"""
+
+# The published feed: raw rows with two more fields; every row has its own channel_type column.
+FEED = """feed AS (SELECT raw.*, 'R' || CAST(seq AS VARCHAR) AS request_ref,
+ CASE WHEN seq % 5 <> 0 THEN 'Agency of ' || borough END AS agency_name FROM raw)"""
+
+# What a strict reader makes of the typed lines: numeric keys are no strings, a null alias wins.
+PARSED_STRICT = """parsed AS (SELECT * REPLACE (
+  CASE WHEN seq % 19 <> 0 THEN unique_key END AS unique_key,
+  CASE WHEN seq % 23 <> 0 THEN channel_type END AS channel_type) FROM parsed_lenient)"""
 
 
 def _with(body: str, *ctes: str) -> str:
@@ -120,7 +140,45 @@ positioned AS (
  FROM answers),
 kept AS (SELECT * FROM positioned WHERE aggregation_name <> 'top_complaint_types' OR position <= 5)"""
 
+_FEED_COLS = ["unique_key", "agency", "complaint_type", "descriptor", "open_data_channel_type", "channel_type", "status",
+              "borough", "incident_zip", None, "latitude", "longitude", "created_date", "agency_name", "request_ref"]
+_FEED_RANK = " UNION ALL ".join(
+    f"SELECT '{c or 'zip_code'}' AS column_name, {i} AS ordinal, count(*) - count({c or 'NULL'}) AS nulls, count(*) AS rows FROM feed"
+    for i, c in enumerate(_FEED_COLS)
+)
+_LENIENT = PARSED.replace("parsed AS", "parsed_lenient AS", 1)
+_ARRIVALS = f"""bounds AS (SELECT min(seq) AS lo, max(seq) AS hi, (max(seq) - min(seq)) // 4 + 1 AS width FROM raw),
+checked AS (SELECT (seq - lo) // width AS batch_id, unique_key, seq, {_ALL_REQUIRED} AS ok FROM parsed, bounds),
+firsts AS (SELECT unique_key, min(seq) AS seq FROM checked WHERE ok GROUP BY unique_key)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "feed_landing": _with("SELECT unique_key, request_ref, agency_name FROM feed", RAW, FEED),
+    "feed_profile": _with(f"SELECT * FROM ({_FEED_RANK}) t ORDER BY nulls DESC, ordinal LIMIT 15", RAW, FEED),
+    "feed_quarantine": _with(
+        "SELECT record_id, error_fields, feed.request_ref, feed.agency_name, feed.created_date "
+        "FROM quarantined JOIN feed USING (seq)", RAW, PARSED, QUARANTINE, FEED,
+    ),
+    "feed_dedup": _on_clean("SELECT * EXCLUDE (seq) FROM clean"),
+    "clean_strict": _with("SELECT * FROM clean", RAW, _LENIENT, PARSED_STRICT, CLEAN),
+    "validate_strict": _with(
+        f"SELECT seq, CASE WHEN {_ALL_REQUIRED} THEN 1 ELSE 0 END AS is_valid FROM parsed", RAW, _LENIENT, PARSED_STRICT
+    ),
+    "layout_scan_report": _on_clean(
+        " UNION ALL ".join(
+            f"SELECT '{kind}' AS layout, '{text}' AS filter, count(*) AS rows_returned FROM clean WHERE {cond}"
+            for kind, cond in (
+                ("flat", "borough = 'BROOKLYN'"), ("hive", "borough = 'BROOKLYN'"),
+                ("flat", "borough = 'BROOKLYN' AND complaint_type = 'click-1'"),
+                ("clustered", "borough = 'BROOKLYN' AND complaint_type = 'click-1'"),
+            )
+            for text in [cond.replace("'", "''")]
+        )
+    ),
+    "ingest_progress": _with(
+        "SELECT batch_id, count(*) AS rows, count(*) FILTER (WHERE NOT ok) AS bad, count(*) FILTER (WHERE ok) AS valid, "
+        "count(firsts.seq) AS written, count(*) FILTER (WHERE ok) - count(firsts.seq) AS duplicates "
+        "FROM checked LEFT JOIN firsts ON firsts.seq = checked.seq GROUP BY batch_id", RAW, PARSED, _ARRIVALS,
+    ),
     "src_jsonl": _on_raw(
         "SELECT seq, unique_key, agency, complaint_type, descriptor, open_data_channel_type, channel_type, "
         "status, borough, incident_zip, CAST(NULL AS VARCHAR) AS zip_code, latitude, longitude, created_date, "

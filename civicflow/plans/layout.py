@@ -8,19 +8,19 @@
   each file covers a narrow key range and min/max statistics skip the rest; a Parquet
   bloom filter on complaint_type helps equality probes.  The unique_key tie-break in
   the range key lets a hot (borough, type) pair span several files.
-* hash spread: (borough, bucket) with bucket = hash(unique_key) mod n spreads a
+* hash spread: (borough, bucket) with bucket = xxhash64(unique_key) mod n spreads a
   borough's rows evenly -- the shard key {borough, hashed unique_key}.
 """
 
 from __future__ import annotations
 
-import time
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicflow.operators.aggregate import COUNT, count_rows, slice_filter
+from civicflow.operators.aggregate import count_rows, slice_filter
 from civicflow.schema import CLEAN_SCHEMA
 
 
@@ -29,7 +29,12 @@ def write_flat(df: DataFrame, path: str) -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "borough") -> None:
-    df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
+    _replace(df.hint("rebalance", by), by).parquet(path)
+
+
+def _replace(df: DataFrame, *by: str) -> DataFrameWriter:
+    """A whole new layout: partitions of the old one that have no rows any more go too."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by)
 
 
 def write_clustered(
@@ -49,19 +54,20 @@ def write_clustered(
 
 
 def hash_bucket(key: str | Column, buckets: int) -> Column:
-    """Stable bucket of a string key: first 32 bits of its MD5, mod ``buckets``."""
-    k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.conv(F.substring(F.md5(k), 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int")
+    """Stable bucket of a key."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def write_hash_spread(df: DataFrame, path: str, buckets: int = 4, by: str = "borough", key: str = "unique_key") -> None:
-    (
-        df.withColumn("bucket", hash_bucket(key, buckets))
-        .hint("rebalance", by, "bucket")
-        .write.mode("overwrite")
-        .partitionBy(by, "bucket")
-        .parquet(path)
-    )
+def md5_bucket(key: str | Column, buckets: int) -> Column:
+    """A bucket that other engines can compute too: first 32 bits of the MD5, mod ``buckets``."""
+    return F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int")
+
+
+def write_hash_spread(
+    df: DataFrame, path: str, buckets: int = 4, by: str = "borough", key: str = "unique_key", bucket_of=hash_bucket
+) -> None:
+    spread = df.withColumn("bucket", bucket_of(key, buckets)).hint("rebalance", by, "bucket")
+    _replace(spread, by, "bucket").parquet(path)
 
 
 def read_layout(spark: SparkSession, path: str, extra: T.StructType | None = None) -> DataFrame:
@@ -100,56 +106,18 @@ def spread_counts(spark: SparkSession, path: str) -> DataFrame:
 
 # ---- scan report -------------------------------------------------------------------
 
-_SCAN_METRICS = {"numFiles": "files_read", "numOutputRows": "rows_examined", "filesSize": "bytes_read"}
-
-
-def scan_metrics(df: DataFrame) -> dict:
-    """Run ``df`` once and read its file-scan node's metrics (files, rows, bytes read).
-
-    AQE is switched off for this one run so the executed plan's leaves are the scans
-    themselves; the previous setting is restored afterwards.
-    """
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        planned = df.select("*")  # a fresh plan under the current settings
-        start = time.perf_counter()
-        result = planned.collect()
-        seconds = time.perf_counter() - start
-        out = {"result": result[0][COUNT] if result else None, "seconds": seconds}
-        totals = dict.fromkeys(_SCAN_METRICS.values(), 0)
-        leaves = planned._jdf.queryExecution().executedPlan().collectLeaves()
-        for i in range(leaves.size()):
-            metrics = leaves.apply(i).metrics()
-            for name, label in _SCAN_METRICS.items():
-                if metrics.contains(name):
-                    totals[label] += int(metrics.apply(name).value())
-        out.update(totals)
-        return out
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", previous)
-
-
-def scan_report(spark: SparkSession, probes: list[tuple[str, str, DataFrame]]) -> DataFrame:
-    """One row per (layout, filter): rows returned / examined, files and bytes read, time,
-    and against the flat layout on the same filter: examined ratio and speed-up."""
-    rows = []
-    for layout, description, query in probes:
-        m = scan_metrics(query)
-        rows.append(
-            (layout, description, m["result"], m["rows_examined"], m["files_read"], m["bytes_read"], m["seconds"])
-        )
-    schema = (
-        "layout string, filter string, rows_returned long, rows_examined long, "
-        "files_read long, bytes_read long, seconds double"
-    )
-    report = spark.createDataFrame(rows, schema)
-    same_filter = Window.partitionBy("filter")
-    flat = lambda c: F.max(F.when(F.col("layout") == "flat", F.col(c))).over(same_filter)
-    return report.select(
-        "*",
-        F.round(flat("rows_examined") / F.col("rows_examined"), 2).alias("examined_ratio"),
-        F.round(flat("seconds") / F.col("seconds"), 2).alias("speedup"),
+
+def scan_probe(spark: SparkSession, layout: str, path: str, condition: str) -> DataFrame:
+    """Rows a filter returns from one layout, and in how many of its files they stand."""
+    rows = read_layout(spark, path).select("*", F.col("_metadata.file_path").alias("_file")).where(condition)
+    return rows.agg(
+        F.lit(layout).alias("layout"),
+        F.lit(condition).alias("filter"),
+        F.count(F.lit(1)).alias("rows_returned"),
+        F.count_distinct("_file").alias("files_with_rows"),
     )
 
+
+def scan_report(spark: SparkSession, probes: list[tuple[str, str, str]]) -> DataFrame:
+    """One row per probe (layout, path, condition): the same filter over different layouts."""
+    return reduce(DataFrame.unionByName, [scan_probe(spark, *p) for p in probes])

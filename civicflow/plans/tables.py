@@ -9,33 +9,42 @@ session's shared checkpoint folder.
 
 from __future__ import annotations
 
-import os
 import threading
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from civicflow.fixtures import raw_requests
+from civicflow.fixtures import raw_requests, read_table, write_public_feed
 from civicflow.plans import layout
-from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows
+from civicflow.plans.clean import clean_rows, quarantine_rows, stage_requests
 from civicflow.session import checkpoint_root, scratch_path
+from civicflow.sources.jsonl import arrival_bounds, land_arrival
 from civicflow.sources.sinks import land_raw, read_clean, read_quarantine, write_clean, write_quarantine
+from civicflow.streaming.ingest import IngestPaths, run_ingest
 
-_BUILT: dict[tuple[str, str], str] = {}
-_DERIVED: dict[tuple[str, str, str], str] = {}
+_BUILT: dict[tuple[str, str, str], str] = {}
+_DERIVED: dict[tuple[str, str, str, str], str] = {}
 _LOCK = threading.RLock()  # layouts are built from the clean store under the same lock
 
 
 def run_clean_job(raw: DataFrame, root: str, batch_id: int = 0) -> tuple[str, str]:
-    """Fresh clean run: overwrite the clean store, write the batch's quarantine partition."""
-    parsed = parse_requests(raw)
+    """Fresh clean run: parse once into a stage, overwrite the clean store, write the batch's quarantine."""
+    parsed = stage_requests(raw, f"{root}/stage")
     clean_path, quarantine_path = f"{root}/clean", f"{root}/quarantine"
     write_clean(clean_rows(parsed), clean_path, fresh=True)
     write_quarantine(quarantine_rows(parsed, batch_id), quarantine_path)
     return clean_path, quarantine_path
 
 
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    """What the input files are now: changed files give new stores.  Reads file metadata only."""
+    files = read_table(spark, sf_dir, "events").select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    return str(files.agg(F.max("file_modification_time"), F.count(F.lit(1)), F.bit_xor(F.xxhash64(*files.columns))).first())
+
+
 def _root_for(spark: SparkSession, sf_dir: str) -> str:
-    key = (checkpoint_root(spark), os.path.abspath(sf_dir))
+    key = (checkpoint_root(spark), sf_dir, _state(spark, sf_dir))
     with _LOCK:
         if key not in _BUILT:
             root = scratch_path(spark, "store")
@@ -53,7 +62,7 @@ def quarantine_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _derived(spark: SparkSession, sf_dir: str, kind: str, build) -> str:
-    key = (checkpoint_root(spark), os.path.abspath(sf_dir), kind)
+    key = (checkpoint_root(spark), sf_dir, _state(spark, sf_dir), kind)
     with _LOCK:
         if key not in _DERIVED:
             path = scratch_path(spark, kind)
@@ -67,11 +76,17 @@ def raw_store(spark: SparkSession, sf_dir: str) -> str:
     return _derived(spark, sf_dir, "raw", lambda p: land_raw(raw_requests(spark, sf_dir), p))
 
 
+def public_feed_store(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the feed as published: JSON lines without record numbers, with undeclared fields."""
+    return _derived(spark, sf_dir, "public-feed", lambda p: write_public_feed(spark, sf_dir, p))
+
+
 _LAYOUT_WRITERS = {
     "flat": layout.write_flat,
     "hive": layout.write_partitioned,
     "clustered": layout.write_clustered,
-    "spread": layout.write_hash_spread,
+    # A bucket that the check's SQL can compute as well.
+    "spread": partial(layout.write_hash_spread, bucket_of=layout.md5_bucket),
 }
 
 
@@ -79,3 +94,23 @@ def layout_store(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """Path of one storage layout of the clean store (written on first use)."""
     write = _LAYOUT_WRITERS[kind]
     return _derived(spark, sf_dir, f"layout-{kind}", lambda p: write(clean_store(spark, sf_dir), p))
+
+
+# Arrivals of the resumable ingest.
+ARRIVALS = 4
+
+
+def ingest_store(spark: SparkSession, sf_dir: str) -> IngestPaths:
+    """Tables of an ingest that was stopped and resumed after each of ``ARRIVALS`` arrivals."""
+
+    def build(root: str) -> None:
+        raw = raw_requests(spark, sf_dir)
+        for lo, hi in arrival_bounds(raw, ARRIVALS):
+            land_arrival(raw, ingest_paths(root).landing, lo, hi)
+            run_ingest(spark, ingest_paths(root))
+
+    return ingest_paths(_derived(spark, sf_dir, "ingest", build))
+
+
+def ingest_paths(root: str) -> IngestPaths:
+    return IngestPaths(f"{root}/landing", f"{root}/clean", f"{root}/quarantine", f"{root}/_checkpoint")

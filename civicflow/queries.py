@@ -7,14 +7,12 @@ session's shared checkpoint folder and return what they read back.
 
 from __future__ import annotations
 
-import os
-import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.fixtures import RAW_FIXTURE_COLUMNS, raw_requests, read_table
+from civicflow.fixtures import RAW_FIXTURE_COLUMNS, raw_requests, read_table, typed_lines
 from civicflow.operators import aggregate as agg
 from civicflow.operators.dedup import drop_existing
 from civicflow.operators.profile import health_check, null_ranking
@@ -22,20 +20,30 @@ from civicflow.operators.sample import head_sample, systematic_sample
 from civicflow.operators.summary import explode_records, summary_answers, summary_records
 from civicflow.operators.validate import validity_flag
 from civicflow.plans import layout
-from civicflow.plans.clean import clean_rows, parse_requests
-from civicflow.plans.tables import clean_store, layout_store, quarantine_store, raw_store, run_clean_job
-from civicflow.schema import CLEAN_SCHEMA, CORRUPT_RECORD, RAW_SCHEMA, SEQ
-from civicflow.session import checkpoint_root, scratch_path
-from civicflow.sources.jsonl import arrival_bounds, land_arrival, read_jsonl, write_jsonl
+from civicflow.plans.clean import clean_rows, parse_requests, project_requests, quarantine_rows
+from civicflow.plans.tables import (
+    clean_store,
+    ingest_store,
+    layout_store,
+    public_feed_store,
+    quarantine_store,
+    raw_store,
+    run_clean_job,
+)
+from civicflow.schema import CLEAN_SCHEMA, CORRUPT_RECORD, RAW_LINE, RAW_SCHEMA, SEQ
+from civicflow.session import scratch_path
+from civicflow.sources.jsonl import arrival_bounds, in_arrival, read_jsonl, read_jsonl_strict, write_jsonl
 from civicflow.sources.sinks import (
     export_csv,
+    land_raw,
     read_clean,
     read_csv,
     read_parquet,
+    read_raw,
     write_clean,
     write_summary,
 )
-from civicflow.streaming.ingest import IngestPaths, run_ingest
+from civicflow.streaming.ingest import read_progress
 
 # The demo slice and borough of the layout comparison.
 SLICE_BOROUGH = "BROOKLYN"
@@ -43,9 +51,6 @@ SLICE_TYPE = "click-1"
 # Head sample size; systematic sample: page, stride (no cap: the whole table).
 HEAD_N = 1000
 PAGE, STRIDE = 100, 1000
-# Arrivals of the resumable ingest (the hash-spread layout uses 4 buckets per borough).
-ARRIVALS = 4
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -62,7 +67,7 @@ def land_raw_q(spark, sf_dir):
 
 
 def scan_drop(spark, sf_dir):
-    return read_parquet(spark, raw_store(spark, sf_dir)).drop(SEQ)
+    return read_parquet(spark, raw_store(spark, sf_dir)).drop(SEQ, "batch_id")
 
 
 def sample_head(spark, sf_dir):
@@ -87,9 +92,7 @@ def clean_requests(spark, sf_dir):
 
 def quarantine(spark, sf_dir):
     q = quarantine_store(spark, sf_dir)
-    return q.select(
-        "batch_id", SEQ, "record_id", "error_type", F.array_join("error_fields", ",").alias("error_fields")
-    )
+    return q.withColumn("error_fields", F.array_join("error_fields", ",")).drop("quarantined_at")
 
 
 def quarantine_by_type(spark, sf_dir):
@@ -112,7 +115,8 @@ def export_csv_q(spark, sf_dir):
 # ---- validation and projection ------------------------------------------------------
 
 def _parsed(spark, sf_dir):
-    return parse_requests(raw_requests(spark, sf_dir))
+    """The bare projection: each key below reads and parses its own columns only."""
+    return project_requests(raw_requests(spark, sf_dir))
 
 
 def clean_alias(spark, sf_dir):
@@ -140,7 +144,7 @@ def validate_split(spark, sf_dir):
 
 
 def dedup_keep_first(spark, sf_dir):
-    return clean_rows(_parsed(spark, sf_dir))
+    return clean_rows(parse_requests(raw_requests(spark, sf_dir)))
 
 
 def dedup_cross_batch(spark, sf_dir):
@@ -149,21 +153,59 @@ def dedup_cross_batch(spark, sf_dir):
 
 
 def _cross_batch(spark, raw):
-    bounds = arrival_bounds(raw, 2) or [(0, -1)]  # an empty feed is one empty arrival
-    (_, first_hi), *rest = bounds
     path = scratch_path(spark, "cross-batch")
-    first = clean_rows(parse_requests(raw.where(F.col(SEQ) <= first_hi)))
-    write_clean(first, path, fresh=True)
-    for lo, hi in rest:
-        # the batch is read twice (its keys are broadcast, its rows anti-joined): keep it
-        batch = clean_rows(parse_requests(raw.where(F.col(SEQ).between(lo, hi)))).persist()
-        # seq is unique, so the arrival's seq range bounds its row count: no counting job.
-        bound = hi - lo + 1
-        write_clean(drop_existing(batch, read_clean(spark, path), "unique_key", bound), path, fresh=False)
-        batch.unpersist()
+    write_clean(spark.createDataFrame([], CLEAN_SCHEMA), path, fresh=True)
+    for lo, hi in arrival_bounds(raw, 2):
+        batch = clean_rows(parse_requests(raw.where(in_arrival(lo, hi))))
+        write_clean(drop_existing(batch, read_clean(spark, path), "unique_key"), path, fresh=False)
     return read_clean(spark, path)
 
 
+# ---- the feed as published: whole lines, undeclared fields, no record numbers --------
+
+def feed_landing(spark, sf_dir):
+    raw = read_jsonl(spark, public_feed_store(spark, sf_dir))
+    path = scratch_path(spark, "feed-raw")
+    land_raw(raw, path)
+    land_raw(raw, path)  # landing a batch again changes nothing
+    landed = read_raw(spark, path, raw.schema)
+    return landed.select("unique_key", *[F.get_json_object(RAW_LINE, f"$.{f}").alias(f) for f in ("request_ref", "agency_name")])
+
+
+def feed_profile(spark, sf_dir):
+    return null_ranking(read_jsonl(spark, public_feed_store(spark, sf_dir)), top=15)
+
+
+def feed_quarantine(spark, sf_dir):
+    bad = quarantine_rows(parse_requests(read_jsonl(spark, public_feed_store(spark, sf_dir))))
+    return bad.select(
+        "record_id",
+        F.array_join("error_fields", ",").alias("error_fields"),
+        *[F.get_json_object("original_record", f"$.{f}").alias(f) for f in ("request_ref", "agency_name", "created_date")],
+    )
+
+
+def feed_dedup(spark, sf_dir):
+    """First in the order of the file: nothing numbers these records."""
+    return clean_rows(parse_requests(read_jsonl(spark, public_feed_store(spark, sf_dir)))).drop(SEQ)
+
+
+# ---- strict reading: JSON types, absent against null ---------------------------------
+
+def _typed(spark, sf_dir):
+    path = scratch_path(spark, "typed-lines")
+    typed_lines(read_table(spark, sf_dir, "events")).write.text(path)
+    return read_jsonl_strict(spark, path)
+
+
+def clean_strict(spark, sf_dir):
+    return clean_rows(parse_requests(_typed(spark, sf_dir)))
+
+
+def validate_strict(spark, sf_dir):
+    return validity_flag(project_requests(_typed(spark, sf_dir)))
+
+
 # ---- aggregations -------------------------------------------------------------------
 
 def q1_region_volume(spark, sf_dir):
@@ -209,8 +251,8 @@ def union_frames(spark, sf_dir):
 
 
 def _halves_united(clean):
-    (_, hi), *_ = arrival_bounds(clean, 2) or [(0, -1)]
-    return agg.union_frames([clean.where(F.col(SEQ) <= hi), clean.where(F.col(SEQ) > hi)])
+    half = F.pmod(F.xxhash64("unique_key"), F.lit(2))
+    return agg.union_frames([clean.where(half == 0), clean.where(half == 1)])
 
 
 # ---- profiles -----------------------------------------------------------------------
@@ -250,52 +292,18 @@ def layout_scan_report(spark, sf_dir):
     flat, hive, clustered = (layout_store(spark, sf_dir, k) for k in ("flat", "hive", "clustered"))
     b = f"borough = '{SLICE_BOROUGH}'"
     s = f"{b} AND complaint_type = '{SLICE_TYPE}'"
-    probes = [
-        ("flat", b, layout.borough_count(spark, flat, SLICE_BOROUGH)),
-        ("hive", b, layout.borough_count(spark, hive, SLICE_BOROUGH)),
-        ("flat", s, layout.slice_count(spark, flat, SLICE_BOROUGH, SLICE_TYPE)),
-        ("clustered", s, layout.slice_count(spark, clustered, SLICE_BOROUGH, SLICE_TYPE)),
-    ]
-    return layout.scan_report(spark, probes)
+    probes = [("flat", flat, b), ("hive", hive, b), ("flat", flat, s), ("clustered", clustered, s)]
+    return layout.scan_report(spark, probes).drop("files_with_rows")
 
 
 # ---- incremental ingest -------------------------------------------------------------
 
-_INGESTED: dict[tuple[str, str], tuple[IngestPaths, list[dict]]] = {}
-_INGEST_LOCK = threading.Lock()
-
-
-def _ingest(spark, sf_dir):
-    """Land the feed in ARRIVALS arrivals, resuming the ingest after each one.
-
-    The run is shared by the two ingest keys (its tables and its progress log).
-    """
-    memo = (checkpoint_root(spark), os.path.abspath(sf_dir))
-    with _INGEST_LOCK:
-        if memo not in _INGESTED:
-            raw = raw_requests(spark, sf_dir)
-            root = scratch_path(spark, "ingest")
-            paths = IngestPaths(f"{root}/landing", f"{root}/clean", f"{root}/quarantine", f"{root}/_checkpoint")
-            progress = []
-            for lo, hi in arrival_bounds(raw, ARRIVALS):
-                land_arrival(raw, paths.landing, lo, hi)
-                progress += run_ingest(spark, paths)
-            _INGESTED[memo] = (paths, progress)
-        return _INGESTED[memo]
-
-
 def ingest_resumable(spark, sf_dir):
-    paths, _ = _ingest(spark, sf_dir)
-    return read_clean(spark, paths.clean)
+    return read_clean(spark, ingest_store(spark, sf_dir).clean)
 
 
 def ingest_progress(spark, sf_dir):
-    _, progress = _ingest(spark, sf_dir)
-    rows = [(p["batch_id"], p["rows"], p["bad"], p["written"]) for p in progress]
-    df = spark.createDataFrame(rows, "batch_id long, rows long, bad long, written long")
-    valid = F.col("rows") - F.col("bad")
-    return df.select("batch_id", "rows", "bad", valid.alias("valid"), "written",
-                     (valid - F.col("written")).alias("duplicates"))
+    return read_progress(spark, ingest_store(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -317,6 +325,12 @@ QUERIES: dict[str, Query] = {
     "validate_split": validate_split,
     "dedup_keep_first": dedup_keep_first,
     "dedup_cross_batch": dedup_cross_batch,
+    "feed_landing": feed_landing,
+    "feed_profile": feed_profile,
+    "feed_quarantine": feed_quarantine,
+    "feed_dedup": feed_dedup,
+    "clean_strict": clean_strict,
+    "validate_strict": validate_strict,
     "q1_region_volume": q1_region_volume,
     "q2_top_types": q2_top_types,
     "q3_hourly": q3_hourly,

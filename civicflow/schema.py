@@ -29,20 +29,20 @@ REQUIRED_FIELDS = (
     "borough",
     "created_date",
 )
-# Input alias -> field name.
-FIELD_ALIASES = {
-    "open_data_channel_type": "channel_type",
-    "incident_zip": "zip_code",
-}
 DEFAULT_ZIP = "00000"
-DEFAULT_COORDINATE = 0.0
 # Error types of a quarantined record.
 VALIDATION_ERROR = "validation_error"
 UNKNOWN_RECORD_ID = "unknown"
 # --- end of fixed values ---
 
-# Ingest order: the position of a record in the raw landing; "first" means smallest seq.
+# Ingest order.  A feed may number its records (``seq``); ``_order`` is the order that "first" means:
+# seq where there is one, then the place in the source (file, block of the file, line in the block).
 SEQ = "seq"
+ORDER = "_order"
+PLACE = "_place"
+PLACE_TYPE = T.StructType(
+    [T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("line", T.LongType())]
+)
 
 # Raw input: every field arrives as a JSON string (or is missing).  Both an alias and
 # the field's own name are accepted, so both columns are declared.
@@ -62,6 +62,11 @@ RAW_FIELDS = (
     "created_date",
 )
 CORRUPT_RECORD = "_corrupt_record"
+# The whole line of a record, with every field it had.
+RAW_LINE = "_line"
+JSON_TYPES = "_json_types"
+# Columns of a raw frame that are no fields of the feed.
+INTERNAL_COLUMNS = (SEQ, CORRUPT_RECORD, RAW_LINE, JSON_TYPES, ORDER, PLACE)
 
 RAW_SCHEMA = T.StructType(
     [T.StructField(SEQ, T.LongType())]
@@ -89,15 +94,6 @@ CLEAN_SCHEMA = T.StructType(
     ]
 )
 
-QUARANTINE_COLUMNS = (
-    "batch_id",
-    SEQ,
-    "record_id",
-    "error_type",
-    "error_fields",
-    "error_message",
-    "original_record",
-)
 QUARANTINE_SCHEMA = T.StructType(
     [
         T.StructField("batch_id", T.LongType()),
@@ -107,25 +103,6 @@ QUARANTINE_SCHEMA = T.StructType(
         T.StructField("error_fields", T.ArrayType(T.StringType())),
         T.StructField("error_message", T.StringType()),
         T.StructField("original_record", T.StringType()),
-    ]
-)
-
-SUMMARY_SCHEMA = T.StructType(
-    [
-        T.StructField("aggregation_name", T.StringType()),
-        T.StructField("description", T.StringType()),
-        T.StructField(
-            "data",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("key", T.StringType()),
-                        T.StructField("count", T.LongType()),
-                    ]
-                )
-            ),
-        ),
-        T.StructField("record_count", T.IntegerType()),
-        T.StructField("computed_at", T.TimestampType()),
+        T.StructField("quarantined_at", T.TimestampType()),
     ]
 )

@@ -7,7 +7,6 @@ shared storage on a cluster; only when it is unset on a *local* master do we cre
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -33,7 +32,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         # Partition values such as zip "00000" must stay strings when read back.
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     )
@@ -64,14 +62,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root.rstrip('/')}/civicflow/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme (local master only) for Python-side file handling."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or os.path.isabs(path)

@@ -8,14 +8,28 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicflow.schema import CLEAN_SCHEMA, QUARANTINE_SCHEMA
 
 
-def land_raw(raw: DataFrame, path: str) -> None:
-    """Append a raw batch to the raw store (the source's batching is not needed)."""
-    raw.write.mode("append").parquet(path)
+BATCH = "batch_id"
+
+
+def write_batch(df: DataFrame, path: str) -> None:
+    """Partitioned by ``batch_id``; a repeated batch replaces its own partition and no other."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
+
+
+def land_raw(raw: DataFrame, path: str, batch_id: int = 0) -> None:
+    """Land a raw batch, whole lines included; landing the same batch again changes nothing."""
+    write_batch(raw.withColumn(BATCH, F.lit(batch_id).cast("long")), path)
+
+
+def read_raw(spark: SparkSession, path: str, raw: T.StructType) -> DataFrame:
+    """The landed batches with the columns of the raw frame."""
+    return spark.read.schema(T.StructType([*raw.fields, T.StructField(BATCH, T.LongType())])).parquet(path).drop(BATCH)
 
 
 def write_clean(clean: DataFrame, path: str, fresh: bool = True) -> None:
@@ -24,26 +38,21 @@ def write_clean(clean: DataFrame, path: str, fresh: bool = True) -> None:
 
 
 def write_quarantine(quarantine: DataFrame, path: str) -> None:
-    """Partitioned by ``batch_id``; a replayed batch overwrites only its own partition."""
-    (
-        quarantine.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    write_batch(quarantine, path)
 
 
 def write_summary(records: DataFrame, path: str) -> None:
     """A fresh summary replaces the previous one (the answers are recomputed whole)."""
-    records.coalesce(1).write.mode("overwrite").parquet(path)
+    records.write.mode("overwrite").parquet(path)
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None) -> None:
     """Create an empty Parquet table if none exists, so readers never see a missing path."""
     try:
         spark.read.schema(schema).parquet(path)  # resolves the path only; runs no job
     except AnalysisException:
-        spark.createDataFrame([], schema).write.mode("append").parquet(path)
+        empty = spark.createDataFrame([], schema).write.mode("append")
+        (empty.partitionBy(partition) if partition else empty).parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -54,17 +63,21 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
-    return read_parquet(spark, path, CLEAN_SCHEMA)
+    return read_parquet(spark, path, CLEAN_SCHEMA).select(*CLEAN_SCHEMA.fieldNames())
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(QUARANTINE_SCHEMA).parquet(path).select(*QUARANTINE_SCHEMA.fieldNames())
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """BI export: header row, quotes escaped by doubling, nulls as empty fields."""
+def export_csv(df: DataFrame, path: str, file_rows: int = 1_000_000) -> None:
+    """BI export: header row, quotes escaped by doubling, nulls as empty fields.
+
+    Files hold at most ``file_rows`` rows: text may span lines, so a reader takes a file whole.
+    """
     (
         df.write.mode("overwrite")
+        .option("maxRecordsPerFile", file_rows)
         .option("header", True)
         .option("escape", '"')
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

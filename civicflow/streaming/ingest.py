@@ -1,15 +1,15 @@
 """Resumable ingest with Structured Streaming.
 
-    readStream.json(landing) ─ parse + error_fields ─ observe(rows, bad) ─ foreachBatch:
-        valid ─ keep_first(unique_key, seq) ─ drop_existing(clean store) ─ append clean
-        invalid ─ quarantine partition batch_id (dynamic overwrite)
-
-The checkpoint location records which files were consumed, so a restarted query
-skips done work and a second run over the same files writes nothing.  A replayed
-micro-batch is harmless: its clean rows are already in the store (the anti-join drops
-them) and its quarantine partition is overwritten.  Totals are taken from the tables,
-per-batch progress from observed metrics: rows and bad rows on the stream, rows
-appended on the store write (no extra job for either).
+    readStream(landing lines) - foreachBatch: parse
+        valid - keep_first(unique_key, ingest order) - drop_existing(other batches) - clean partition
+        invalid - quarantine partition
+        counts - progress partition
+
+The checkpoint location records which files were consumed, so a restarted query skips done work
+and a second run over the same files writes nothing.  All three tables are partitioned by
+``batch_id`` and a batch replaces its own partition; uniqueness is checked against the other
+batches only.  So a replayed micro-batch writes the same rows and the same counts again, and the
+progress table holds one row for every batch that ever ran, whatever became of the driver.
 """
 
 from __future__ import annotations
@@ -17,17 +17,21 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from civicflow.operators.dedup import BROADCAST_KEY_LIMIT, drop_existing
+from civicflow.operators.dedup import drop_existing
 from civicflow.operators.validate import is_valid
 from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows
-from civicflow.schema import CLEAN_SCHEMA, CORRUPT_RECORD, RAW_SCHEMA_WITH_CORRUPT
-from civicflow.sources.jsonl import strict_fields
-from civicflow.sources.sinks import ensure_table, read_clean, write_quarantine
+from civicflow.schema import CLEAN_SCHEMA, QUARANTINE_SCHEMA
+from civicflow.sources.jsonl import lenient_fields, placed, stream_lines, strict_fields
+from civicflow.sources.sinks import BATCH, ensure_table, write_batch, write_quarantine
 
-OBSERVATION = "ingest"
+STORE_SCHEMA = T.StructType([*CLEAN_SCHEMA.fields, T.StructField(BATCH, T.LongType())])
+PROGRESS_SCHEMA = T.StructType(
+    [T.StructField(c, T.LongType()) for c in ("rows", "bad", "valid", "written", "duplicates", BATCH)]
+)
 
 
 @dataclass(frozen=True)
@@ -37,82 +41,64 @@ class IngestPaths:
     quarantine: str
     checkpoint: str
 
+    @property
+    def progress(self) -> str:
+        return f"{self.clean}-progress"
 
-def _write_batch(paths: IngestPaths, broadcast_limit: int, written: dict[int, int] | None = None):
+
+def _write_batch(paths: IngestPaths):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        number = F.lit(batch_id).cast("long").alias(BATCH)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
-        fresh = clean_rows(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = fresh.count()  # also fills both caches: the parse and the dedup run once
-            n_written = 0
-            if rows > 0:
-                existing = read_clean(spark, paths.clean)
-                new = drop_existing(fresh, existing, "unique_key", rows, broadcast_limit)
-                appended = Observation(f"written-{batch_id}")
-                new.observe(appended, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(paths.clean)
-                n_written = appended.get["n"]
+            earlier = spark.read.schema(STORE_SCHEMA).parquet(paths.clean).where(F.col(BATCH) != batch_id)
+            new = drop_existing(clean_rows(batch), earlier, "unique_key")
+            write_batch(new.select("*", number), paths.clean)
             write_quarantine(quarantine_rows(batch, batch_id), paths.quarantine)
-            if written is not None:
-                written[batch_id] = n_written
+            written = spark.read.schema(STORE_SCHEMA).parquet(paths.clean).where(F.col(BATCH) == batch_id)
+            counts = batch.agg(
+                F.count(F.lit(1)).alias("rows"), F.count_if(~is_valid()).alias("bad"), F.lit(0).alias("written")
+            ).unionByName(
+                written.agg(F.lit(0).alias("rows"), F.lit(0).alias("bad"), F.count(F.lit(1)).alias("written"))
+            )
+            one = counts.agg(*[F.sum(c).alias(c) for c in ("rows", "bad", "written")])
+            valid = F.col("rows") - F.col("bad")
+            one = one.select("rows", "bad", valid.alias("valid"), "written", (valid - F.col("written")).alias("duplicates"), number)
+            write_batch(one.where("rows > 0"), paths.progress)
         finally:
-            fresh.unpersist()
             batch.unpersist()
 
     return write
 
 
 def start_ingest(
-    spark: SparkSession,
-    paths: IngestPaths,
-    max_files_per_trigger: int | None = None,
-    broadcast_limit: int = BROADCAST_KEY_LIMIT,
-    written: dict[int, int] | None = None,
-    strict: bool = False,
+    spark: SparkSession, paths: IngestPaths, max_files_per_trigger: int | None = None, strict: bool = False
 ):
     """Process every file not yet consumed, in micro-batches, then stop (availableNow).
 
-    ``written`` (optional) receives the rows each micro-batch appended to the store;
     ``strict`` reads JSON types and absent-vs-null (see ``read_jsonl_strict``).
     """
-    ensure_table(spark, paths.clean, CLEAN_SCHEMA)
-    reader = spark.readStream
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if strict:
-        raw = strict_fields(reader.text(paths.landing))
-    else:
-        raw = (
-            reader.schema(RAW_SCHEMA_WITH_CORRUPT)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-            .json(paths.landing)
-        )
-    parsed = parse_requests(raw).observe(
-        OBSERVATION,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(~is_valid()).alias("bad"),
-    )
+    ensure_table(spark, paths.clean, STORE_SCHEMA, BATCH)
+    ensure_table(spark, paths.quarantine, QUARANTINE_SCHEMA, BATCH)
+    ensure_table(spark, paths.progress, PROGRESS_SCHEMA, BATCH)
+    write = _write_batch(paths)
+    fields = strict_fields if strict else lenient_fields
     return (
-        parsed.writeStream.foreachBatch(_write_batch(paths, broadcast_limit, written))
+        stream_lines(spark, paths.landing, max_files_per_trigger)
+        .writeStream.foreachBatch(lambda lines, batch_id: write(parse_requests(fields(placed(lines))), batch_id))
         .option("checkpointLocation", paths.checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def run_ingest(spark: SparkSession, paths: IngestPaths, **kwargs) -> list[dict]:
-    """Run until the landing folder is drained; one progress entry per micro-batch:
-    rows read, bad rows (quarantined), rows appended to the store."""
-    written: dict[int, int] = {}
-    query = start_ingest(spark, paths, written=written, **kwargs)
-    query.awaitTermination()
-    out = []
-    for p in query.recentProgress:
-        metrics = p.observedMetrics.get(OBSERVATION)
-        if p.numInputRows == 0 and metrics is None:
-            continue  # idle trigger: nothing was read
-        rows = metrics["rows"] if metrics is not None else p.numInputRows
-        bad = metrics["bad"] if metrics is not None else None
-        out.append({"batch_id": p.batchId, "rows": rows, "bad": bad, "written": written.get(p.batchId)})
-    return out
+def run_ingest(spark: SparkSession, paths: IngestPaths, **kwargs) -> None:
+    """Run until the landing folder is drained."""
+    start_ingest(spark, paths, **kwargs).awaitTermination()
+
+
+def read_progress(spark: SparkSession, paths: IngestPaths) -> DataFrame:
+    """batch_id, rows, bad, valid, written, duplicates of every micro-batch that read something."""
+    names = [BATCH, *PROGRESS_SCHEMA.fieldNames()[:-1]]
+    return spark.read.schema(PROGRESS_SCHEMA).parquet(paths.progress).select(*names)

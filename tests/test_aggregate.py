@@ -80,7 +80,7 @@ def test_raw_shape_line(spark, sf01):
     from civicflow.operators.profile import frame_shape
 
     r = frame_shape(raw_requests(spark, sf01)).first()
-    assert (r.rows, r.columns) == (10_000, 13)
+    assert (r.rows, r.columns) == (10_000, 12)
     assert r.schema.startswith("seq: bigint, unique_key: string")
 
 

@@ -1,20 +1,21 @@
 """The whole clean plan against a plain-Python brute force on random small feeds."""
 
 import math
+from datetime import datetime
 
 from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 
 from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows
 from civicflow.schema import RAW_SCHEMA, REQUIRED_FIELDS
-from tests.test_parse import py_coord, py_date
+from tests.test_parse import DATE_CASES, NUMBER_CASES
 
 TEXT = st.sampled_from([None, "", "x", "Bronx", "bronx", "QUEENS", "Closed", "OPEN"])
 DATES = st.sampled_from([
-    None, "2026-05-01T02:06:03.000", "2026-05-01T02:06:03.000Z", "05/01/2026 02:06:03 PM", "20260501",
-    "2026-02-30", "invalid-date-format", "2026-05-01T02:06:03+05:30", "12/31/2025 12:00:00 AM",
+    None, "2026-05-01T02:06:03.000", "2026-05-01T02:06:03.000Z", "05/01/2026 02:06:03 AM", "20260501", "2026-W18-5",
+    "2026-02-29", "invalid-date-format", "2026-05-01T02:06:03+05:30", "12/31/2025 11:59:59 PM",
 ])
-COORDS = st.sampled_from([None, "", "N/A", "40.5", "-73.25", "1_000", "1.5d", "nan", "abc"])
+COORDS = st.sampled_from([None, "", "N/A", "40.81", "-73.5", "1_000", "1.5d", "nan", "abc"])
 
 
 @st.composite
@@ -56,8 +57,8 @@ def brute_force(rows):
             "status": r["status"].lower() if r["status"] is not None else None,
             "borough": r["borough"].upper() if r["borough"] is not None else None,
             "zip_code": next((z for z in (r["incident_zip"], r["zip_code"]) if z is not None), "00000"),
-            "latitude": py_coord(r["latitude"]), "longitude": py_coord(r["longitude"]),
-            "created_date": py_date(r["created_date"]),
+            "latitude": NUMBER_CASES[r["latitude"]], "longitude": NUMBER_CASES[r["longitude"]],
+            "created_date": DATE_CASES[r["created_date"]] and datetime.fromisoformat(DATE_CASES[r["created_date"]]),
         }
         p["errors"] = [f for f in REQUIRED_FIELDS if p[f] is None]
         parsed.append(p)

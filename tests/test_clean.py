@@ -33,20 +33,20 @@ def test_normalisation(spark):
 def test_failure_scenarios_are_quarantined(spark):
     raw = rows(
         spark,
-        {"unique_key": "test1"},
-        {"unique_key": "test2", "complaint_type": "", "agency": None},
-        {"unique_key": "test3", "created_date": "invalid-date-format"},
+        {"unique_key": "only a key"},
+        {"unique_key": "no agency", "complaint_type": "", "agency": None},
+        {"unique_key": "no date", "created_date": "yesterday"},
         dict(OK, borough="BRONX", status="Open"),
     )
     parsed = parse_requests(raw)
     assert clean_rows(parsed).count() == 1
     q = {r.record_id: r for r in quarantine_rows(parsed, batch_id=7).collect()}
-    assert set(q) == {"test1", "test2", "test3"}
+    assert set(q) == {"only a key", "no agency", "no date"}
     assert all(r.error_type == "validation_error" and r.batch_id == 7 for r in q.values())
     # the empty complaint type alone would pass; the missing fields are named in order
-    assert q["test2"].error_fields == ["agency", "channel_type", "status", "borough", "created_date"]
-    assert "created_date" in q["test3"].error_fields
-    assert json.loads(q["test1"].original_record) == {"unique_key": "test1"}
+    assert q["no agency"].error_fields == ["agency", "channel_type", "status", "borough", "created_date"]
+    assert "created_date" in q["no date"].error_fields
+    assert json.loads(q["only a key"].original_record) == {"unique_key": "only a key"}
 
 
 def test_bad_record_without_key_is_unknown(spark):

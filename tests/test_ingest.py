@@ -1,14 +1,19 @@
-"""Resumable ingest: arrivals, restart, replay, progress."""
+"""Resumable ingest: arrivals, restart, replay, progress; feeds as they are published."""
+
+import json
 
 from pyspark.sql import functions as F
 
 from civicflow.fixtures import raw_requests
+from civicflow.operators.profile import null_ranking
+from civicflow.plans.batch import run_batch
 from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows
-from civicflow.schema import CLEAN_SCHEMA, RAW_SCHEMA
+from civicflow.queries import _cross_batch, _halves_united
+from civicflow.schema import QUARANTINE_SCHEMA, RAW_LINE, RAW_SCHEMA
 from civicflow.session import scratch_path
 from civicflow.sources.jsonl import arrival_bounds, land_arrival, read_jsonl, write_jsonl
-from civicflow.sources.sinks import ensure_table, read_clean, read_quarantine
-from civicflow.streaming.ingest import IngestPaths, _write_batch, run_ingest
+from civicflow.sources.sinks import ensure_table, land_raw, read_clean, read_quarantine, read_raw
+from civicflow.streaming.ingest import PROGRESS_SCHEMA, STORE_SCHEMA, IngestPaths, _write_batch, read_progress, run_ingest
 
 
 def _paths(spark):
@@ -19,33 +24,81 @@ def _paths(spark):
 def test_ingest_in_arrivals_equals_batch_clean_and_resumes(spark, sf001):
     raw = raw_requests(spark, sf001)
     paths = _paths(spark)
-    progress = []
     for lo, hi in arrival_bounds(raw, 3):
         land_arrival(raw, paths.landing, lo, hi)
-        progress += run_ingest(spark, paths)
+        run_ingest(spark, paths)
     expected = clean_rows(parse_requests(raw))
     got = read_clean(spark, paths.clean)
     assert got.count() == expected.count()
     assert got.exceptAll(expected.select(*got.columns)).count() == 0
-    assert sum(p["rows"] for p in progress) == raw.count()
-    assert sum(p["bad"] for p in progress) == read_quarantine(spark, paths.quarantine).count()
-    assert sum(p["written"] for p in progress) == got.count()
+    progress = read_progress(spark, paths).collect()
+    assert len(progress) == 3
+    assert sum(p.rows for p in progress) == raw.count()
+    assert sum(p.bad for p in progress) == read_quarantine(spark, paths.quarantine).count()
+    assert sum(p.written for p in progress) == got.count()
     # a restart over the same files reads and writes nothing
-    assert run_ingest(spark, paths) == []
-    assert read_clean(spark, paths.clean).count() == got.count()
+    run_ingest(spark, paths)
+    assert read_progress(spark, paths).count() == 3
+    assert read_clean(spark, paths.clean).count() == expected.count()
 
 
-def test_replayed_batch_is_harmless(spark, sf001):
+def test_replayed_batch_writes_the_same_again(spark, sf001):
     raw = raw_requests(spark, sf001)
     paths = _paths(spark)
-    batch = parse_requests(raw)
-    write = _write_batch(paths, broadcast_limit=10_000)
-    ensure_table(spark, paths.clean, CLEAN_SCHEMA)
-    write(batch, 0)
-    first = (read_clean(spark, paths.clean).count(), read_quarantine(spark, paths.quarantine).count())
-    write(batch, 0)  # the same batch again, as after a failure before the commit
-    again = (read_clean(spark, paths.clean).count(), read_quarantine(spark, paths.quarantine).count())
-    assert first == again
+    for path, schema in ((paths.clean, STORE_SCHEMA), (paths.quarantine, QUARANTINE_SCHEMA), (paths.progress, PROGRESS_SCHEMA)):
+        ensure_table(spark, path, schema, "batch_id")
+    write = _write_batch(paths)
+    state = lambda: (
+        read_clean(spark, paths.clean).count(), read_quarantine(spark, paths.quarantine).count(),
+        sorted(map(tuple, read_progress(spark, paths).collect())),
+    )
+    write(parse_requests(raw.where("seq < 600")), 0)
+    write(parse_requests(raw.where("seq >= 600")), 1)
+    first = state()
+    write(parse_requests(raw.where("seq >= 600")), 1)  # as after a failure before the commit
+    assert state() == first
+
+
+def test_progress_of_more_than_a_hundred_batches(spark):
+    paths = _paths(spark)
+    rows = [{**dict.fromkeys(RAW_SCHEMA.fieldNames()), "seq": k, "unique_key": str(k)} for k in range(208)]
+    spark.createDataFrame(rows, RAW_SCHEMA).repartition(104).write.json(paths.landing)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        run_ingest(spark, paths, max_files_per_trigger=1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    progress = read_progress(spark, paths).collect()
+    assert len(progress) > 100 and sum(p.rows for p in progress) == 208 == sum(p.bad for p in progress)
+
+
+def test_feed_without_numbers_keeps_the_first_in_the_file(spark):
+    path = scratch_path(spark, "t-unnumbered")
+    full = dict(unique_key="k1", agency="A", complaint_type="C", channel_type="O", borough="B", created_date="2026-05-01")
+    lines = [json.dumps({**full, "status": f"S{k}", "extra": k}) for k in range(50)]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    raw = read_jsonl(spark, path)
+    (kept,) = clean_rows(parse_requests(raw)).collect()
+    assert kept.status == "s0" and kept.seq is None
+    union = _halves_united(clean_rows(parse_requests(raw)))
+    assert union.count() == 1 and _cross_batch(spark, raw).count() == 1
+
+
+def test_undeclared_fields_reach_landing_profile_and_quarantine(spark):
+    path = scratch_path(spark, "t-extra")
+    line = '{"unique_key": "9", "colour": "red", "nested": {"a": [1, 2]}}'
+    spark.createDataFrame([(line,)], "value string").write.text(path)
+    raw = read_jsonl(spark, path)
+    out = scratch_path(spark, "t-extra-out")
+    land_raw(raw, out)
+    landed = read_raw(spark, out, raw.schema)
+    assert landed.first()[RAW_LINE] == line
+    (bad,) = quarantine_rows(parse_requests(landed)).collect()
+    assert bad.original_record == line and bad.quarantined_at is not None
+    names = {r.column_name: r.nulls for r in null_ranking(landed, top=50).collect()}
+    assert names["colour"] == 0 == names["nested"] and names["agency"] == 1
+    assert not {RAW_LINE, "_corrupt_record", "_place", "seq"} & set(names)
 
 
 def test_malformed_json_lines_are_quarantined(spark, sf001):
@@ -78,15 +131,19 @@ def test_progress_key_invariants(spark, sf001):
     assert sum(p.written for p in progress) == ingest_resumable(spark, sf001).count()
 
 
-def test_whole_batch_flow(spark, sf001):
-    from civicflow.plans.batch import run_batch
-
+def test_whole_batch_flow_can_be_run_again(spark, sf001):
     out = scratch_path(spark, "t-batch")
-    reports = run_batch(spark, raw_requests(spark, sf001), out, "BROOKLYN", "click-1")
-    clean = read_clean(spark, f"{out}/clean")
-    assert clean.count() == clean_rows(parse_requests(raw_requests(spark, sf001))).count()
-    assert reports.summary.count() == 4
-    assert {r.layout for r in reports.scan_report.collect()} == {"flat", "hive", "clustered"}
-    assert sum(r["count"] for r in reports.quarantine_by_type.collect()) == read_quarantine(
-        spark, f"{out}/quarantine").count()
-    assert spark.read.csv(f"{out}/csv", header=True).count() == clean.count()
+    raw = raw_requests(spark, sf001)
+    expected = clean_rows(parse_requests(raw)).count()
+    for _ in range(2):
+        reports = run_batch(spark, raw, out)
+        assert read_clean(spark, f"{out}/clean").count() == expected
+        assert spark.read.parquet(f"{out}/raw").count() == raw.count()
+        assert reports.raw_shape.first().rows == raw.count()
+        assert reports.summary.count() == 4
+        report = reports.scan_report.collect()
+        assert {r.layout for r in report} == {"flat", "hive", "clustered"} and all(r.rows_returned > 0 for r in report)
+        quarantined = read_quarantine(spark, f"{out}/quarantine").count()
+        assert sum(r["count"] for r in reports.quarantine_by_type.collect()) == quarantined
+        assert spark.read.csv(f"{out}/csv", header=True).count() == expected
+    assert quarantined == quarantine_rows(parse_requests(raw)).count()

@@ -7,7 +7,6 @@ from civicflow.fixtures import read_table
 from civicflow.operators.sample import global_rank, head_sample, systematic_sample
 from civicflow.plans import layout
 from civicflow.plans.tables import clean_store
-from civicflow.queries import layout_scan_report
 from civicflow.session import scratch_path
 
 
@@ -24,15 +23,25 @@ def test_partitioned_layout_prunes_and_agrees(spark, sf01):
     assert layout.read_layout(spark, hive).select("borough").distinct().count() == 5
 
 
-def test_scan_report_shows_what_the_layout_saves(spark, sf01):
-    report = {(r.layout, r.filter): r for r in layout_scan_report(spark, sf01).collect()}
-    flat = report[("flat", "borough = 'BROOKLYN'")]
-    hive = report[("hive", "borough = 'BROOKLYN'")]
-    assert flat.rows_returned == hive.rows_returned == 1893
-    assert hive.rows_examined == 1893 < flat.rows_examined
-    assert hive.files_read <= flat.files_read
-    assert flat.examined_ratio == 1.0 and hive.examined_ratio == round(flat.rows_examined / hive.rows_examined, 2)
-    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"  # restored
+def test_scan_report_shows_where_the_rows_stand(spark, sf01):
+    clean = clean_store(spark, sf01)
+    flat, hive = scratch_path(spark, "t-report-flat"), scratch_path(spark, "t-report-hive")
+    layout.write_flat(clean.repartition(6), flat)
+    layout.write_partitioned(clean, hive)
+    condition = "borough = 'BROOKLYN'"
+    report = {r.layout: r for r in layout.scan_report(spark, [("flat", flat, condition), ("hive", hive, condition)]).collect()}
+    assert report["flat"].rows_returned == report["hive"].rows_returned == 1893
+    assert report["hive"].files_with_rows == 1 < report["flat"].files_with_rows == 6
+
+
+def test_a_new_layout_leaves_no_old_partitions(spark, sf001):
+    clean = clean_store(spark, sf001)
+    some = clean.where("borough = 'BROOKLYN'")
+    for write in (layout.write_partitioned, layout.write_hash_spread):
+        path = scratch_path(spark, "t-fewer")
+        write(clean, path)
+        write(some, path)
+        assert spark.read.parquet(path).count() == some.count()
 
 
 def test_hash_spread_is_even(spark, sf01):

@@ -10,6 +10,7 @@ from civicflow.operators.summary import summary_answers
 from civicflow.plans.clean import clean_rows, parse_requests
 from civicflow.plans.tables import clean_store
 from civicflow.queries import QUERIES
+from civicflow.session import scratch_path
 
 
 def plan(df) -> str:
@@ -28,9 +29,10 @@ def test_counts_combine_map_side(spark, sf01):
     assert "TakeOrderedAndProject" in plan(agg.top_types(clean))
 
 
-def test_summary_is_one_scan(spark, sf01):
+def test_summary_ranks_no_list_of_all_types(spark, sf01):
     p = plan(summary_answers(clean_store(spark, sf01)))
-    assert "Expand" in p and p.count("FileScan") == 1
+    assert "Expand" in p and "TakeOrderedAndProject" in p and p.count("FileScan") == 2
+    assert "complaint_type" not in p[p.index("Expand") : p.index("Expand") + 300]
 
 
 def test_projection_and_filters_reach_the_scan(spark, sf01):
@@ -46,9 +48,25 @@ def test_profile_is_one_aggregate(spark, sf01):
 
 def test_cross_batch_check_does_not_shuffle_the_store(spark, sf01):
     clean = clean_store(spark, sf01)
-    batch = clean.where(F.col("seq") < 100)
-    p = plan(drop_existing(batch, clean, "unique_key", batch_rows=100))
-    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+    new = drop_existing(clean.where(F.col("seq") < 100).limit(100), clean, "unique_key")
+    new.collect()
+    assert new.count() == 0 and "LeftAnti" in plan(new) and "LeftSemi" in plan(new)
+
+
+def test_column_keys_read_and_parse_their_own_columns(spark, sf01):
+    p = plan(QUERIES["clean_alias"](spark, sf01))
+    assert "regexp" not in p and "RLIKE" not in p and "transform(" not in p
+    assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in p
+
+
+def test_clean_and_quarantine_parse_once(spark, sf001, monkeypatch):
+    from civicflow.plans import tables
+
+    seen = []
+    monkeypatch.setattr(tables, "clean_rows", lambda df, f=tables.clean_rows: seen.append(plan(df)) or f(df))
+    monkeypatch.setattr(tables, "quarantine_rows", lambda df, *a, f=tables.quarantine_rows: seen.append(plan(df)) or f(df, *a))
+    tables.run_clean_job(raw_requests(spark, sf001), scratch_path(spark, "t-once"))
+    assert len(seen) == 2 and all("/stage" in p and "regexp" not in p for p in seen)
 
 
 def test_no_query_uses_a_cartesian_product(spark, sf01):
@@ -73,13 +91,3 @@ def test_validity_filters_never_copy_the_parse(spark, sf01):
             stack.extend(kids.apply(i) for i in range(kids.size()))
         assert conditions, "expected validity filters"
         assert not any(w in c for c in conditions for w in ("regexp", "rlike", "RLIKE", "transform")), conditions
-
-
-def test_public_api_surface():
-    import re
-
-    import civicflow.api as api
-
-    listed = set(re.findall(r"\b(?:[a-z]+_[a-z_]+|IngestPaths|keep_first|hourly|channels)\b", api.__doc__))
-    assert len(listed) > 50
-    assert not {n for n in listed if not hasattr(api, n)}

@@ -14,7 +14,7 @@ GOOD = {"unique_key": "1", "agency": "A", "complaint_type": "C", "open_data_chan
 
 def parse(spark, *records):
     lines = [json.dumps(r) if isinstance(r, dict) else r for r in records]
-    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    df = spark.createDataFrame([(x,) for x in lines], "_line string")
     return parse_requests(strict_fields(df))
 
 
