@@ -45,7 +45,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared scratch folder and read back: computed once, safe to lose executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -103,6 +103,24 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(int(a), int(b - a))
 
 
+def plain_texts(texts: pa.Array) -> pa.Array:
+    """Large strings without nulls (a null becomes empty) whose offsets begin at 0.
+
+    Built from the buffers: a cast of a sliced array keeps the offsets of the whole, and Arrow's case
+    kernels (seen in 23.0.1) then read bytes beside the slice.
+    """
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
+    wide = pa.types.is_large_string(texts.type)
+    _, offsets, data = texts.buffers()
+    n = len(texts)
+    if not n or data is None:
+        return pa.array([""] * n, pa.large_string())
+    bounds = np.frombuffer(offsets, np.int64 if wide else np.int32)[texts.offset : texts.offset + n + 1].astype(np.int64)
+    part = data.slice(int(bounds[0]), int(bounds[-1] - bounds[0]))
+    return pa.LargeStringArray.from_buffers(n, pa.py_buffer(bounds - bounds[0]), part)
+
+
 def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of an array of large strings without nulls, end to end, and the texts' bounds in them."""
     if not len(texts):
@@ -129,7 +147,7 @@ class Words:
     """The words of a slice of texts: ``ids`` into ``vocabulary`` in text order, ``counts`` per text."""
 
     def __init__(self, texts: pa.Array):
-        plain = pc.fill_null(texts.cast(pa.large_string()), "")
+        plain = plain_texts(texts)
         parts = pc.ascii_split_whitespace(pc.ascii_lower(plain))
         flat = pc.list_flatten(parts)
         full = pc.greater(pc.binary_length(flat), 0)

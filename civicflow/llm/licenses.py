@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import plain_texts, slices
 
 #: Phrase of consecutive words -> label.
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -153,8 +153,7 @@ def scan_licenses(documents: DataFrame, notices: dict[str, str] = NOTICES) -> Da
 
 
 def scan_batch(scanner: Scanner, batch: pa.RecordBatch) -> pa.RecordBatch:
-    texts = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
-    lowered = pc.ascii_lower(texts)
+    lowered = pc.ascii_lower(plain_texts(batch.column("text")))
     rows = []
     for low in lowered.to_pylist():
         raw = low.encode()

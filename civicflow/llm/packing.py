@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, slices, stored
+from .common import numbered, plain_texts, slices, stored
 
 CAPACITY = 2048
 END_ID = 0
@@ -111,7 +111,7 @@ def token_pieces(documents: DataFrame, encoder: dict, capacity: int = CAPACITY)
         tokens = Encoder(**encoder)
         for batch in slices(batches, "text", 16 << 20):
             rows: list[tuple] = []
-            texts = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
+            texts = plain_texts(batch.column("text"))
             for doc, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode(texts)):
                 ids = np.r_[ids, np.uint32(END_ID)].astype("<u4")
                 n = len(ids)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, id_remainder, raw_bytes, slices, stored
+from .common import Words, id_remainder, plain_texts, raw_bytes, slices, stored
 
 STATS = (
     "log_bytes log_words word_bytes upper_share digit_share punct_share symbol_share bang_share "
@@ -50,7 +50,7 @@ CLASSES[0x80:] = HIGH
 
 def text_stats(texts: pa.Array) -> dict[str, np.ndarray]:
     """The statistics of each text; a null text counts as empty, an empty one has zeros throughout."""
-    plain = pc.fill_null(texts.cast(pa.large_string()), "")
+    plain = plain_texts(texts)
     data, ends = raw_bytes(plain)
     lengths = np.diff(ends)
     kinds = CLASSES[data]
