@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import GOLDEN, Words, id_remainder, mix64, slices, stored
 
 #: Text per block.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 10 << 20
 #: Entries (words and pairs, summed over blocks) per bucket: what one task holds at a time.
 BUCKET_ENTRIES = 1_000_000
 #: crc32(doc_id) mod 7: 2 is held out from training; of the training documents, 5 is the deleted part.
@@ -379,6 +379,8 @@ def train(documents: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> Trained
     rows = rows.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("pair").alias("pair"), F.sum("word").alias("word"))
     # A bounded table: at most as many rows as there are cells.
     weights = learn_weights(rows.orderBy("cell").collect(), counted.distinct)
+    if not trained.tokens:  # no word estimate either
+        weights[:] = [0.0, 0.0, 1.0]
     return Trained(table, totals, buckets, trained, weights)
 
 
