@@ -23,21 +23,20 @@ def components(links: DataFrame) -> DataFrame:
         .distinct()
         .checkpoint()
     )
-    mark = _mark(edges)
-    while mark[0]:
+    while not _are_stars(edges):
         edges = _small_star(_large_star(edges)).checkpoint()
-        seen, mark = mark, _mark(edges)
-        if seen == mark:
-            break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Row count and an order-free checksum: equal marks mean equal links."""
-    h = F.xxhash64("u", "v")
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(F.shiftright(h, 20))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one smaller end, which is no larger end itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"))
+    )
+    ups = ends.groupBy("node").agg(F.sum("up").alias("up"), F.count(F.lit(1)).alias("n"))
+    return ups.where("up > 1 or (up = 1 and n > 1)").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -46,7 +45,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     # Only larger neighbours are told; in ``edges`` u is the larger end.
     upward = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
-    return upward.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return upward.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

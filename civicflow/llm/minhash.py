@@ -8,8 +8,8 @@
    centre; candidate pairs are (centre, other), so a bucket of m gives m - 1 pairs, not m squared.
 4. Candidates of fitting set sizes are confirmed on the full sets, recomputed from whole texts.
 5. A star can miss a link between two members that both fail against the centre.  Buckets whose members
-   are not yet in one component go on: members outside the bucket's largest component become centres, a
-   few at a time, until every pair from different components has been compared.
+   are not yet in one component are finished by comparing the rest in blocks: texts are dealt to pairs of
+   blocks, pairs that share a bucket are checked there, and only links come out.
 6. Confirmed links and class membership give components.
 
 At a similarity of 0.8 a band of 4 bins agrees with probability 0.41, so 32 bands miss a pair with a
@@ -25,15 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, Words, mix64, slices, stored, text_shingles
+from .common import GOLDEN, Words, mix64, plain_texts, slices, stored, text_shingles
 from .graph import components
 
 BINS = 128
 BANDS = 32
 #: Similarity in per cent, a whole number so that the comparison is exact.
 PERCENT = 80
-#: Centres per unfinished bucket in the second round; four times as many in each later one.
-FIRST_CENTRES = 8
+#: Members of a block, where all pairs of an unfinished cluster are compared.
+BLOCK = 256
 
 SIGNATURE_SCHEMA = "doc_id long, n long, s1 long, s2 long, bands array<long>"
 
@@ -121,12 +121,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     return pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b").mapInArrow(
         check, "a long, b long"
-    ).distinct()
+    )
 
 
 def _sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     """Shingle sets of a column of texts; a text that repeats in it (a star's centre) is cut up once."""
-    coded = texts.cast(pa.large_string()).dictionary_encode()
+    coded = plain_texts(texts).dictionary_encode()
     sets = []
     for piece in slices([pa.RecordBatch.from_arrays([coded.dictionary], names=["text"])], "text"):
         sets.extend(text_shingles(Words(piece.column("text")), width))
@@ -157,8 +157,7 @@ def near_duplicates(documents: DataFrame, width: int, percent: int = PERCENT) ->
         .where(F.col("doc_id") != F.col("rep"))
         .select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     )
-    links = links_between(classes, documents, width, percent)
-    groups = components(links.unionByName(copies))
+    groups = linked_groups(classes, stored(copies, "copies"), documents, width, percent)
     return (
         signed.select("doc_id", "n")
         .join(groups.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
@@ -171,8 +170,8 @@ def near_duplicates(documents: DataFrame, width: int, percent: int = PERCENT) ->
     )
 
 
-def links_between(classes: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between class representatives, enough for exact components."""
+def linked_groups(classes: DataFrame, copies: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
+    """node, component over all confirmed links between class representatives and over ``copies`` (a, b)."""
     rows = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     heads = rows.groupBy("bucket").agg(
         F.min("rep").alias("head"), F.min_by("n", "rep").alias("head_n"), F.count(F.lit(1)).alias("size")
@@ -182,7 +181,7 @@ def links_between(classes: DataFrame, documents: DataFrame, width: int, percent:
     # Texts of documents that share a bucket, taken out of the table once for all rounds.
     wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
     texts = stored(
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi"),
+        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").hint("merge").join(wanted, "doc_id", "left_semi"),
         "candidate-texts",
     )
     pairs = stored(
@@ -192,55 +191,88 @@ def links_between(classes: DataFrame, documents: DataFrame, width: int, percent:
         "pairs",
     )
     links = stored(confirmed(pairs, texts, width, percent), "links")
-    tested = pairs
+    groups = components(links.unionByName(copies))
 
-    # Members that were centres are done with; the rest of each unfinished bucket goes on.
+    # Centres have been compared with all of their bucket; the others of an unfinished bucket have not.
     rest = shared.where(F.col("rep") != F.col("head")).select("bucket", "rep", "n")
-    centres = FIRST_CENTRES
-    while True:
-        groups = components(links)
-        rest = _unfinished(rest, groups)
-        rest = stored(rest, "unfinished")
-        if rest.isEmpty():
-            return links
-        chosen = rest.where(F.col("place") <= centres)
-        pairs = (
-            rest.alias("x")
-            .join(chosen.alias("y"), "bucket")
-            .where((F.col("x.component") != F.col("y.component")) & (F.col("x.rep") != F.col("y.rep")))
-            .where(similar_sizes(F.col("x.n"), F.col("y.n"), percent))
-            .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
-            .distinct()
-        )
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = stored(links.unionByName(confirmed(pairs, texts, width, percent)), "links")
-        tested = tested.unionByName(pairs)
-        rest = rest.where(F.coalesce(F.col("place") > centres, F.lit(True))).select("bucket", "rep", "n")
-        centres *= 4
+    rest = stored(_unfinished(rest, groups), "unfinished")
+    if rest.isEmpty():
+        return groups
+    more = stored(compared_in_blocks(rest, texts, width, percent), "links")
+    return components(links.unionByName(copies).unionByName(more))
 
 
 def _unfinished(rest: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows of buckets that still hold different components.
-
-    place numbers the members outside the bucket's largest component (of the least number when tied); every
-    pair from different components has such a member.  Members of the largest have no place.
-    """
+    """bucket, rep, n, component and near (the bucket's least component) of buckets that hold different ones."""
     rest = rest.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "bucket", "rep", "n", F.coalesce("component", "rep").alias("component")
     )
-    parts = rest.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("members"))
-    largest = (
-        parts.groupBy("bucket")
-        .agg(F.max_by("component", F.struct("members", -F.col("component"))).alias("largest"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1")
-        .drop("parts")
+    mixed = (
+        rest.groupBy("bucket")
+        .agg(F.min("component").alias("near"), F.max("component").alias("most"))
+        .where("near < most")
+        .drop("most")
     )
-    rest = rest.join(largest, "bucket")
-    inside = rest.where(F.col("component") == F.col("largest")).withColumn("place", F.lit(None).cast("int"))
-    outside = rest.where(F.col("component") != F.col("largest")).withColumn(
-        "place", F.row_number().over(Window.partitionBy("bucket").orderBy("component", "rep"))
+    return rest.join(mixed, "bucket")
+
+
+def compared_in_blocks(rest: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links among members that share a bucket and are in different components, found without listing pairs.
+
+    Components that share a bucket form a cluster.  A cluster is dealt into blocks of about ``BLOCK`` members,
+    each pair of blocks is one group, so a member travels once per block of its cluster.
+    """
+    clusters = components(rest.select(F.col("component").alias("a"), F.col("near").alias("b")))
+    clusters = clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    members = rest.groupBy("rep").agg(
+        F.first("n").alias("n"), F.first("component").alias("component"), F.collect_set("bucket").alias("buckets")
     )
-    return inside.unionByName(outside).drop("largest")
+    members = stored(members.join(clusters, "component"), "members")
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    members = members.join(sizes, "cluster")
+    members = members.withColumn("own", F.pmod(F.xxhash64("rep"), "blocks"))
+    members = members.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+
+    def compare(table: pa.Table) -> pa.Table:
+        return compare_blocks(table, width, percent)
+
+    fields = ["cluster", "low", "high", "own", "rep", "n", "component", "buckets", "text"]
+    return dealt.select(*fields).groupBy("cluster", "low", "high").applyInArrow(compare, "a long, b long")
+
+
+def compare_blocks(table: pa.Table, width: int, percent: int) -> pa.Table:
+    """Links (a, b) of one pair of blocks."""
+    rep, component, own = (table.column(c).to_numpy() for c in ("rep", "component", "own"))
+    low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+    sets = _sets(table.column("text").combine_chunks(), width)
+    sizes = np.array([len(x) for x in sets])
+    ends = np.r_[0, np.cumsum(sizes)]
+    names, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    flag = np.zeros(len(names) + 1, bool)
+    lists = table.column("buckets").combine_chunks()
+    bucket_names, bucket = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    bucket_ends = np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]
+    mark = np.zeros(len(bucket_names), bool)
+    a, b = [], []
+    for x in range(len(rep)):
+        mark[:] = False
+        mark[bucket[bucket_ends[x] : bucket_ends[x + 1]]] = True
+        near = np.logical_or.reduceat(mark[bucket], bucket_ends[:-1])
+        near &= (rep > rep[x]) & (component != component[x])
+        near &= 100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x])
+        if low != high:  # pairs within a block have a group of their own
+            near &= own != own[x]
+        if not near.any():
+            continue
+        flag[:] = False
+        flag[ids[ends[x] : ends[x + 1]]] = True
+        both = np.add.reduceat(np.r_[flag[ids], False].astype(np.int64), ends[:-1])
+        good = np.flatnonzero(near & (both > 0) & (100 * both >= percent * (sizes + sizes[x] - both)))
+        a.extend([rep[x]] * len(good))
+        b.extend(rep[good])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def keep_one_of_each(documents: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:

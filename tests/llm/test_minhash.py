@@ -52,10 +52,10 @@ def edited(rng, text, share):
     return [w if rng.random() > share else f"e{rng.randint(0, 10**9)}" for w in text]
 
 
-@pytest.mark.parametrize("first", [8, 1])
-def test_links_that_a_star_misses(spark, monkeypatch, first):
+@pytest.mark.parametrize("block", [256, 7])
+def test_links_that_a_star_misses(spark, monkeypatch, block):
     """Copies of one original that resemble it but not each other; the least id is a copy."""
-    monkeypatch.setattr(minhash, "FIRST_CENTRES", first)
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(2)
     docs = []
     for group in range(4):
