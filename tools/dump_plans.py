@@ -17,23 +17,21 @@ NOTES = {
     "dedup_keep_first": "Parse once behind the row barrier (Generate), then one exchange on unique_key; "
     "the partial WindowGroupLimit before it ships at most one row per key per map task (hot keys collapse). "
     "The parse projection below the Generate has no `*`: the lambda that binds the date's regex groups "
-    "once is interpreted (measured faster than a lambda-free codegen variant, see plans/clean.py). "
-    "The first exchange only spreads the single-row-group test file over the cores; "
-    "inputs with enough splits skip it.",
+    "once is interpreted; canonical ISO texts never reach it.",
+    "clean_alias": "A column key: the bare projection reads two columns of the events and parses nothing else.",
     "q1_region_volume": "Partial HashAggregate before the exchange; the sort only sees one row per borough.",
     "q2_top_types": "TakeOrderedAndProject: per-partition top-5, no global sort.",
     "q4_channel_share": "The total is a window over the aggregated rows only; the sort reuses its single partition.",
-    "summary_publish": "All four answers from a single scan of the clean store with GROUPING SETS (Expand, "
-    "partial aggregation before the exchange); the second exchange moves only the aggregated rows (about 50) "
-    "for ranking, and the nested records are collected per answer without another shuffle.",
+    "summary_publish": "Boroughs, hours and channels from one scan with GROUPING SETS (Expand, partial aggregation "
+    "before the exchange); complaint types by their own counts and an ordered limit (TakeOrderedAndProject).",
     "slice_count": "Both predicates and a two-column ReadSchema reach the Parquet scan.",
     "layout_hive_count": "PartitionFilters: only the borough's directory is listed and read; no data column is read.",
     "layout_equivalence": "Both layouts counted in one job (union + one aggregate), no join.",
     "profile_clean": "One global aggregate: each task emits one partial row, then explode to one row per column.",
     "sample_systematic": "Global rank without a single-task window: checkpointed range partitions, "
     "per-partition counts (tiny) broadcast back as offsets.",
-    "dedup_cross_batch": "Second arrival: the store's key column is scanned and semi-joined against the broadcast "
-    "batch keys (size checked), so the store is never shuffled.",
+    "dedup_cross_batch": "Second arrival: the store's keys are reduced to the batch's by a semi-join, and the batch is "
+    "anti-joined with those; AQE broadcasts the small sides it finds at run time.",
 }
 
 
@@ -46,7 +44,7 @@ def _tree(formatted: str) -> str:
 
 def main(argv: list[str]) -> None:
     from civicflow.session import local_session
-    from civicflow.queries import QUERIES, _ingest
+    from civicflow.queries import QUERIES
     from civicflow.operators.dedup import drop_existing
     from civicflow.fixtures import raw_requests
     from civicflow.plans.clean import clean_rows, parse_requests
@@ -75,7 +73,7 @@ def main(argv: list[str]) -> None:
             path = scratch_path(spark, "plans-cross")
             write_clean(clean_rows(parse_requests(raw.where(F.col("seq") < 5000))), path)
             batch = clean_rows(parse_requests(raw.where(F.col("seq") >= 5000)))
-            df = drop_existing(batch, read_clean(spark, path), "unique_key", batch_rows=5000)
+            df = drop_existing(batch, read_clean(spark, path), "unique_key")
         else:
             df = QUERIES[key](spark, sf_dir)
         df.collect()
