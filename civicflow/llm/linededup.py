@@ -1,149 +1,241 @@
 """Line deduplication by winnowing over line hashes (DataFrame functions only).
 
-A line is what stands between line breaks, cut further after a sentence end (``.``, ``!`` or ``?`` and a
-blank), so that a passage inside a paragraph is seen too.  Blank lines take no part.
+A line is what stands between line breaks, cut further after a full stop and a blank, so that a passage
+inside a paragraph is seen too.  Blank lines take no part.
 
 1. Each line gets a hash and its place, counted in words.  A line's gram is the shortest run of lines from
    there on with ``GRAM_WORDS`` words; its hash covers all of their hashes.
 2. Winnowing: of all grams that begin within ``WINDOW_WORDS`` words the least hash is selected.  Two
    equal runs of GRAM_WORDS + WINDOW_WORDS words or more, wherever they stand, select the same gram, so
    each such run has a fingerprint in common (guaranteed).
-3. The first place of a fingerprint, in the order of id and text hash and then of place, is its home.
-   Every other place is matched with the home only, however many there are.
+3. A fingerprint's first place in a document is matched with its home, its first place in the first
+   document that has it (by id); a later place in a document is matched with the one before it there.  So
+   a place has one match, however many places there are, and periodic text has one diagonal per period.
 4. Matches are extended both ways along their diagonal: all lines that equal the home document's line at
    the same distance, in unbroken runs.
 5. Runs of at least ``GRAM_WORDS`` words are deleted from the later place; the first copy stays.
+
+Steps 1 and 2 are array functions on a document's row and move nothing.  Only fingerprints, the line
+hashes of a document and, for the rewrite, the texts are shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 
 GRAM_WORDS = 20
 WINDOW_WORDS = 6
+#: How many fingerprints of a document are searched for an earlier equal one; beyond, its home counts.
+LOOK_BACK = 1024
+#: Lines per step of the running word count.
+STEP = 128
 CUT = "\x01"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
 def lines_of(text: Column) -> Column:
     """The lines of a text with their ends; put together again they are the text."""
-    marked = F.replace(text, F.lit("\n"), F.lit("\n" + CUT))
-    for end in ".!?":
-        marked = F.replace(marked, F.lit(end + " "), F.lit(f"{end} {CUT}"))
-    slow = F.split(text, r"(?<=\n)|(?<=[.!?] )")
+    marked = F.replace(F.replace(text, F.lit("\n"), F.lit("\n" + CUT)), F.lit(". "), F.lit(f". {CUT}"))
+    slow = F.split(text, r"(?<=\n)|(?<=[.] )")
     # The mark is cut out again, so a text that has it in itself takes the slower way.
     return F.when(F.instr(text, CUT) > 0, slow).otherwise(F.split(marked, CUT))
 
 
+def running(words: Column) -> Column:
+    """Words before each line.  Sums run in steps, as an array grows by copying."""
+    grow = lambda values: F.aggregate(
+        values, F.array(F.lit(0)), lambda sums, x: F.concat(sums, F.array(F.element_at(sums, -1) + x))
+    )
+    step = F.lit(STEP)
+    steps = lambda w: F.transform(
+        F.sequence(F.lit(0), F.floor((F.greatest(F.size(w), F.lit(1)) - 1) / step).cast("int")),
+        lambda b: grow(F.slice(w, b * step + 1, step)),
+    )
+    shifted = lambda parts, before: F.transform(
+        parts, lambda s, b: let(F.get(before, b), lambda y: F.transform(F.slice(s, 1, F.size(s) - 1), lambda x: x + y))
+    )
+    starts = lambda parts: grow(F.transform(parts, lambda s: F.element_at(s, -1)))
+    joined = lambda parts: let(starts(parts), lambda before: F.flatten(shifted(parts, before)))
+    return let(words, lambda w: let(steps(w), joined))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body, or a loop in it, reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def line_table(documents: DataFrame) -> DataFrame:
-    """d1, d2 (order of documents), pos, idx, h, w and g (hash of the gram if it is selected, else null)."""
-    line, gram = "_line", "_gram"
-    rows = (
-        documents.select(_d1().alias("d1"), _d2().alias("d2"), F.posexplode(lines_of(F.col("text"))).alias("pos", line))
-        .withColumn(line, F.trim(F.col(line), F.lit(BLANKS)))
-        .where(F.col(line) != "")
-        .select(
-            "d1",
-            "d2",
-            "pos",
-            F.xxhash64(line).alias("h"),
-            (F.octet_length(line) - F.octet_length(F.replace(F.col(line), F.lit(" "))) + 1).cast("long").alias("w"),
-        )
+    """Per document d1, d2 (order of documents), lines (pos, h, w) and prints (idx, g, before).
+
+    idx numbers the lines that take part; before is the last earlier place of g in the document.
+    """
+    blanks = lambda t: F.octet_length(t) - F.octet_length(F.replace(t, F.lit(" ")))
+    trimmed = F.transform(
+        lines_of(F.col("text")), lambda x, at: F.struct(at.alias("pos"), F.trim(x, F.lit(BLANKS)).alias("t"))
     )
-    document = Window.partitionBy("d1", "d2")
-    before = document.orderBy("pos")
-    rows = rows.withColumn("idx", F.row_number().over(before)).withColumn(
-        "ws", F.sum("w").over(before.rowsBetween(Window.unboundedPreceding, 0)) - F.col("w")
+    lines = F.transform(
+        F.filter(trimmed, lambda x: x["t"] != ""),
+        lambda x: F.struct(x["pos"].alias("pos"), F.xxhash64(x["t"]).alias("h"), (blanks(x["t"]) + 1).alias("w")),
     )
-    by_words = document.orderBy("ws")
-    reach = by_words.rangeBetween(0, GRAM_WORDS - 1)
-    rows = rows.withColumn(
-        gram, F.when(F.sum("w").over(reach) >= GRAM_WORDS, F.xxhash64(F.collect_list("h").over(reach)))
+    body = lambda own: F.struct(own.alias("lines"), let(selected_grams(own), with_earlier).alias("prints"))
+    rows = documents.select(*_order(), let(lines, body).alias("_doc")).select("d1", "d2", "_doc.*")
+    return rows.where(F.size("lines") > 0)
+
+
+def selected_grams(lines: Column) -> Column:
+    """(idx, g) of the grams that winnowing selects."""
+
+    def of(h: Column, ws: Column, total: Column) -> Column:
+        gram = lambda s, i: F.when(
+            total - s >= GRAM_WORDS, F.xxhash64(F.slice(h, i + 1, _reach(ws, s, i, GRAM_WORDS)))
+        )
+        return let(F.transform(ws, gram), lambda g: winnowed(ws, g))
+
+    total = F.aggregate(lines["w"], F.lit(0), lambda a, x: a + x)
+    bound = let(
+        F.struct(lines["h"].alias("h"), running(lines["w"]).alias("ws"), total.alias("total")),
+        lambda v: of(v["h"], v["ws"], v["total"]),
+    )
+    return F.when(F.size(lines) > 0, bound)
+
+
+def _reach(ws: Column, s: Column, i: Column, words: int) -> Column:
+    """How many lines begin within ``words`` words from line i on, which begins at word s."""
+    return F.size(F.filter(F.slice(ws, i + 1, words), lambda x: x < s + words))
+
+
+def winnowed(ws: Column, g: Column) -> Column:
+    """(idx, g) of the grams that are the least of a window."""
+    least = F.transform(ws, lambda s, i: F.array_min(F.slice(g, i + 1, _reach(ws, s, i, WINDOW_WORDS))))
+
+    def chosen(low: Column, s: Column, i: Column) -> Column:
+        # The windows that gram i lies in begin at most WINDOW_WORDS - 1 words before it.
+        many = F.least(i + 1, F.lit(WINDOW_WORDS))
+        back = F.size(F.filter(F.slice(ws, i + 2 - many, many), lambda x: x > s - WINDOW_WORDS))
+        return let(back, lambda n: F.array_max(F.slice(low, i + 2 - n, n)) == F.get(g, i))
+
+    marked = let(
+        least,
+        lambda low: F.transform(
+            ws, lambda s, i: F.struct(i.alias("idx"), F.when(chosen(low, s, i), F.get(g, i)).alias("g"))
+        ),
     )
-    rows = rows.withColumn("_least", F.min(gram).over(by_words.rangeBetween(0, WINDOW_WORDS - 1)))
-    # Selected: the least of some window that it lies in.
-    chosen = F.max("_least").over(by_words.rangeBetween(1 - WINDOW_WORDS, 0)) == F.col(gram)
-    return rows.select("d1", "d2", "pos", "idx", "h", "w", F.when(chosen, F.col(gram)).alias("g"))
+    return F.filter(marked, lambda p: p["g"].isNotNull())
+
 
+def with_earlier(prints: Column) -> Column:
+    """Adds the last earlier place of the same gram, among the ``LOOK_BACK`` places before."""
+    whole = lambda p, before: F.struct(p["idx"].alias("idx"), p["g"].alias("g"), before.alias("before"))
 
-def _d1() -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    def earlier(p: Column, i: Column) -> Column:
+        near = F.slice(prints, F.greatest(i + 1 - LOOK_BACK, F.lit(1)), F.least(i, F.lit(LOOK_BACK)))
+        return F.array_max(F.transform(F.filter(near, lambda q: q["g"] == p["g"]), lambda q: q["idx"]))
 
+    none = F.lit(None).cast("int")
+    return F.when(
+        F.size(F.array_distinct(prints["g"])) < F.size(prints), F.transform(prints, lambda p, i: whole(p, earlier(p, i)))
+    ).otherwise(F.transform(prints, lambda p: whole(p, none)))
 
-def _d2() -> Column:
-    return F.xxhash64("text")
 
+def _order() -> list[Column]:
+    """d1, d2: by id, among rows of one id by text; rows without an id come last, by text."""
+    text = F.xxhash64("text")
+    last = F.lit(1 << 62) + F.shiftrightunsigned(text, 2)
+    return [
+        F.coalesce(F.col("doc_id").cast("long"), last).alias("d1"),
+        F.shiftrightunsigned(text, 40).cast("int").alias("d2"),
+    ]
 
-def repeated_lines(documents: DataFrame) -> DataFrame:
-    """d1, d2, pos and w of all lines to delete."""
+
+def repeated_runs(documents: DataFrame) -> DataFrame:
+    """d1, d2, first, last (positions in ``lines_of``) of all runs to delete; a run may come more than once."""
     table = stored(line_table(documents), "lines")
-    prints = table.where(F.col("g").isNotNull()).select("g", "d1", "d2", "idx")
+    prints = table.select("d1", "d2", F.inline("prints"))
+    firsts = prints.where(F.col("before").isNull()).select("g", "d1", "d2", "idx")
     homes = (
-        prints.groupBy("g")
+        firsts.groupBy("g")
         .agg(F.min(F.struct("d1", "d2", "idx")).alias("home"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .select("g", F.col("home.d1").alias("a1"), F.col("home.d2").alias("a2"), F.col("home.idx").alias("aidx"))
     )
-    diagonals = (
-        prints.join(homes, "g")
+    abroad = (
+        firsts.join(homes, "g")
         .where((F.col("d1") != F.col("a1")) | (F.col("d2") != F.col("a2")) | (F.col("idx") != F.col("aidx")))
         .select("d1", "d2", "a1", "a2", (F.col("idx") - F.col("aidx")).alias("diagonal"))
-        .distinct()
     )
-    own = table.select("d1", "d2", "pos", "idx", "h", "w")
-    home = table.select(F.col("d1").alias("a1"), F.col("d2").alias("a2"), F.col("idx").alias("aidx"), "h")
-    equal = (
-        diagonals.join(own, ["d1", "d2"])
-        .withColumn("aidx", F.col("idx") - F.col("diagonal"))
-        .join(home, ["a1", "a2", "aidx", "h"], "left_semi")
-        # Rows that repeat id and text have the same lines twice.
-        .dropDuplicates(["d1", "d2", "a1", "a2", "diagonal", "idx"])
+    inside = prints.where(F.col("before").isNotNull()).select(
+        "d1", "d2", F.col("d1").alias("a1"), F.col("d2").alias("a2"), (F.col("idx") - F.col("before")).alias("diagonal")
+    )
+    diagonals = stored(abroad.unionByName(inside).distinct(), "diagonals")
+    own = table.select("d1", "d2", "lines")
+    home = table.select(F.col("d1").alias("a1"), F.col("d2").alias("a2"), F.col("lines.h").alias("home"))
+    both = diagonals.join(own, ["d1", "d2"]).join(home, ["a1", "a2"])
+    runs = equal_runs(F.col("lines"), F.col("home"), F.col("diagonal"))
+    return both.select("d1", "d2", F.explode(runs).alias("_run")).select("d1", "d2", "_run.*")
+
+
+def equal_runs(lines: Column, home: Column, diagonal: Column) -> Column:
+    """(first, last) of the unbroken runs of lines that equal the home's, of GRAM_WORDS words or more."""
+    span = "array<struct<first:int,last:int>>"
+    state = lambda spans, first, last, words: F.struct(
+        spans.alias("spans"), first.cast("int").alias("first"), last.cast("int").alias("last"), words.cast("int").alias("words")
     )
-    along = Window.partitionBy("d1", "d2", "a1", "a2", "diagonal")
-    runs = equal.withColumn("run", F.col("idx") - F.row_number().over(along.orderBy("idx")))
-    runs = runs.withColumn("run_words", F.sum("w").over(Window.partitionBy("d1", "d2", "a1", "a2", "diagonal", "run")))
-    return runs.where(F.col("run_words") >= GRAM_WORDS).select("d1", "d2", "pos", "w")
+    zero = F.lit(0)
+    closed = lambda s: F.when(
+        s["words"] >= GRAM_WORDS,
+        F.concat(s["spans"], F.array(F.struct(s["first"].alias("first"), s["last"].alias("last"))).cast(span)),
+    ).otherwise(s["spans"])
+    words = F.transform(
+        lines,
+        lambda x, i: F.struct(
+            x["pos"].alias("pos"),
+            F.when((i >= diagonal) & (F.get(home, i - diagonal) == x["h"]), x["w"]).otherwise(zero).alias("w"),
+        ),
+    )
+    step = lambda s, x: F.when(
+        x["w"] > 0,
+        state(s["spans"], F.when(s["words"] > 0, s["first"]).otherwise(x["pos"]), x["pos"], s["words"] + x["w"]),
+    ).otherwise(state(closed(s), zero, zero, zero))
+    return F.aggregate(words, state(F.array().cast(span), zero, zero, zero), step, closed)
 
 
 def line_deduplicated(documents: DataFrame) -> DataFrame:
     """All rows and columns of ``documents`` with later copies of repeated runs of lines cut out of text.
 
-    Adds _deleted_lines and _deleted_words.  Untouched texts stay byte for byte; null and empty texts stay
+    Adds _deleted_lines and _deleted_bytes.  Untouched texts stay byte for byte; null and empty texts stay
     as they are.  Rows with equal id and text count as one document and get the same result; null ids come
     last in the order.  Internal columns begin with an underscore.
     """
     gone = (
-        repeated_lines(documents)
-        .groupBy("d1", "d2", "pos")
-        .agg(F.max("w").alias("w"))
+        repeated_runs(documents)
         .groupBy(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"))
-        .agg(
-            F.collect_set("pos").alias("_gone"),
-            F.count(F.lit(1)).alias("_deleted_lines"),
-            F.sum("w").alias("_deleted_words"),
-        )
+        .agg(F.collect_set(F.struct("first", "last")).alias("_gone"))
+    )
+    d1, d2 = _order()
+    # The texts are large at any size: always the same plan.
+    joined = documents.withColumns({"_d1": d1, "_d2": d2}).hint("merge").join(gone, ["_d1", "_d2"], "left")
+    every = lines_of(F.col("text"))
+    inside = lambda at: F.exists("_gone", lambda run: (at >= run["first"]) & (at <= run["last"]))
+    left = F.filter(every, lambda line, at: ~inside(at))
+    some = F.col("_gone").isNotNull()
+    joined = joined.withColumn("_left", F.when(some, left))
+    return joined.select(
+        *[F.when(some, F.array_join("_left", "")).otherwise(F.col(c)).alias(c) if c == "text" else F.col(c) for c in documents.columns],
+        F.when(some, F.size(every) - F.size("_left")).otherwise(F.lit(0)).alias("_deleted_lines"),
+        F.when(some, F.octet_length("text") - F.octet_length(F.array_join("_left", ""))).otherwise(F.lit(0)).alias("_deleted_bytes"),
     )
-    joined = documents.withColumns({"_d1": _d1(), "_d2": _d2()}).join(gone, ["_d1", "_d2"], "left")
-    left = F.filter(lines_of(F.col("text")), lambda line, at: ~F.array_contains(F.col("_gone"), at))
-    return joined.withColumns(
-        {
-            "text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "")),
-            "_deleted_lines": F.coalesce("_deleted_lines", F.lit(0)),
-            "_deleted_words": F.coalesce("_deleted_words", F.lit(0)),
-        }
-    ).select(*documents.columns, "_deleted_lines", "_deleted_words")
 
 
 def deduplicate_lines(documents: DataFrame) -> DataFrame:
-    """doc_id, text without repeated runs, deleted_lines, deleted_words, for all rows of ``documents``."""
+    """doc_id, text without repeated runs, deleted_lines, deleted_bytes, for all rows of ``documents``."""
     return line_deduplicated(documents.select("doc_id", "text")).select(
         "doc_id",
         "text",
         F.col("_deleted_lines").alias("deleted_lines"),
-        F.col("_deleted_words").cast("long").alias("deleted_words"),
+        F.col("_deleted_bytes").alias("deleted_bytes"),
     )
 
 

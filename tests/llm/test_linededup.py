@@ -1,4 +1,5 @@
 import collections
+import random
 import re
 
 import pytest
@@ -14,7 +15,7 @@ BLANKS = linededup.BLANKS
 
 def lines(text):
     """(position, stripped line, words) of the lines that take part, and all lines."""
-    every = re.split(r"(?<=\n)|(?<=[.!?] )", text or "")
+    every = re.split(r"(?<=\n)|(?<=[.] )", text or "")
     return every, [(p, x.strip(BLANKS), x.strip(BLANKS).count(" ") + 1) for p, x in enumerate(every) if x.strip(BLANKS)]
 
 
@@ -61,61 +62,84 @@ def test_whole_table(spark, sf001):
     assert sum(r["deleted_lines"] for r in rows) > 0
 
 
-def line_numbers(rows):
-    return {r["doc_id"]: (r["text"], r["deleted_lines"], r["deleted_words"]) for r in rows}
-
-
 def definition(spark, docs):
     """Steps 3 to 5 done by hand on the line table (whose grams need Spark's hash)."""
-    table = linededup.line_table(documents(spark, docs)).collect()
-    by = collections.defaultdict(dict)
-    for r in table:
-        by[r["d1"]][r["idx"]] = r
+    table = {r["d1"]: r for r in linededup.line_table(documents(spark, docs)).collect()}
     home = {}
-    for d in sorted(by):
-        for i in sorted(by[d]):
-            home.setdefault(by[d][i]["g"], (d, i))
+    for d in sorted(table):
+        for p in table[d]["prints"]:
+            home.setdefault(p["g"], (d, p["idx"]))
     out = {}
-    for d in by:
+    for d, row in table.items():
         last, diagonals = {}, set()
-        for i in sorted(by[d]):
-            g = by[d][i]["g"]
-            if g is None:
-                continue
-            if g in last:
-                diagonals.add((d, i - last[g]))
-            elif home[g][0] != d:
-                diagonals.add((home[g][0], i - home[g][1]))
-            last[g] = i
-        gone = set()
+        for p in row["prints"]:
+            assert p["before"] == last.get(p["g"])
+            if p["g"] in last:
+                diagonals.add((d, p["idx"] - last[p["g"]]))
+            elif home[p["g"]][0] != d:
+                diagonals.add((home[p["g"]][0], p["idx"] - home[p["g"]][1]))
+            last[p["g"]] = p["idx"]
+        gone, own = set(), row["lines"]
         for a, k in diagonals:
-            run = []
-            for i in [*sorted(by[d]), None]:
-                if i is not None and i - k in by[a] and by[a][i - k]["h"] == by[d][i]["h"]:
-                    run.append(i)
+            other, run = table[a]["lines"], []
+            for i in range(len(own) + 1):
+                if i < len(own) and 0 <= i - k < len(other) and other[i - k]["h"] == own[i]["h"]:
+                    run.append(own[i])
                     continue
-                if sum(by[d][j]["w"] for j in run) >= GRAM_WORDS:
-                    gone.update(by[d][j]["pos"] for j in run)
+                if sum(x["w"] for x in run) >= GRAM_WORDS:
+                    gone.update(range(run[0]["pos"], run[-1]["pos"] + 1))
                 run = []
         out[d] = gone
     return out
 
 
+def grams_by_hand(own):
+    """For lines of (key, words): which grams are selected, as (first line, lines in it), under an order of grams."""
+    starts = [sum(w for _, w in own[:i]) for i in range(len(own))]
+    total = sum(w for _, w in own)
+    grams = {}
+    for i, s in enumerate(starts):
+        if total - s >= GRAM_WORDS:
+            grams[i] = tuple(k for (k, _), t in zip(own[i:], starts[i:]) if t < s + GRAM_WORDS)
+    return starts, grams
+
+
+def test_grams_and_windows_by_hand(spark):
+    """The array functions against plain loops: which lines a gram covers, and which gram a window selects."""
+    rng = random.Random(1)
+    docs = [(k, " ".join(" ".join(f"w{rng.randint(0, 5)}" for _ in range(rng.choice([1, 1, 2, 3, 7, 30]))) + "." for _ in range(rng.randint(1, 300)))) for k in range(25)]
+    rows = {r["d1"]: r for r in linededup.line_table(documents(spark, docs)).collect()}
+    hashes = {}
+    for d, text in docs:
+        own = [(x["h"], x["w"]) for x in rows[d]["lines"]]
+        assert [w for _, w in own] == [w for _, _, w in lines(text)[1]]
+        starts, grams = grams_by_hand(own)
+        got = {p["idx"]: p["g"] for p in rows[d]["prints"]}
+        assert set(got) <= set(grams)
+        for i, g in got.items():
+            assert hashes.setdefault(grams[i], g) == g
+        for i in grams:  # every window selects one of its grams
+            window = [j for j in range(i, len(own)) if starts[j] < starts[i] + WINDOW_WORDS]
+            assert any(j in got for j in window)
+    assert len(set(hashes.values())) == len(hashes)
+
+
 @pytest.mark.parametrize("sf", ["sf0.001"])
 def test_definition(spark, sf):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").collect()]
     gone = definition(spark, docs)
-    got = line_numbers(linededup.deduplicate_lines(documents(spark, docs)).collect())
+    got = {r["doc_id"]: r for r in linededup.deduplicate_lines(documents(spark, docs)).collect()}
     for i, text in docs:
         left = "".join(x for p, x in enumerate(lines(text)[0]) if p not in gone.get(i, ()))
-        assert got[i][:2] == (left, len(gone.get(i, ())))
+        assert (got[i]["text"], got[i]["deleted_lines"]) == (left, len(gone.get(i, ())))
+        assert got[i]["deleted_bytes"] == len(text.encode()) - len(left.encode())
 
 
 def test_grams_are_selected_alike_wherever_they_stand(spark):
     run = " ".join(f"Line {k} has some words of its own." for k in range(8))
     docs = [(1, run), (2, f"Something else first. {run} And more after it."), (3, f"One. Two words. {run}")]
-    table = linededup.line_table(documents(spark, docs)).where("g is not null").collect()
-    prints = {i: {r["g"] for r in table if r["d1"] == i} for i in (1, 2, 3)}
+    table = linededup.line_table(documents(spark, docs)).collect()
+    prints = {r["d1"]: {p["g"] for p in r["prints"]} for r in table}
     assert prints[1] & prints[2] & prints[3]
     rows = linededup.deduplicate_lines(documents(spark, docs)).collect()
     assert {r["doc_id"]: r["text"].strip() for r in rows} == {
