@@ -3,15 +3,18 @@
 1. Equal vectors of a label form a class; the class goes on once, with its number of copies.
 2. One pass projects every class on ``TREES`` x ``LEVELS`` random directions.
 3. Each tree starts from (label, dimension) and splits every node of more than ``LEAF`` classes at the
-   median of its level's projection.  Classes within ``SPILL`` of the median, in rank, go to both sides.
-   Counts and quantiles are partial aggregates per node, so a hot label never meets in one task.
-4. Within a leaf all pairs are compared by exact cosine in double precision, a block of rows at a time.  A
+   median of its level's projection.  Classes within ``SPILL`` of the median, in rank, or within ``REACH``
+   of the threshold distance of it go to both sides.  Counts and quantiles are partial aggregates per node,
+   so a hot label never meets in one task.
+4. A node whose side would keep more than ``WIDEST`` of it is dense: splits would part its pairs.  It is
+   dealt into blocks of about ``LEAF`` classes, and each pair of blocks is compared as one leaf.
+5. Within a leaf all pairs are compared by exact cosine in double precision, a block of rows at a time.  A
    pair that shares several leaves counts in the first of them only, so links are counted without being
    written out: a leaf gives one row per linked class (its links there and the least class it reaches).
-5. The rows are summed to link counts and joined up to components.
+6. The rows are summed to link counts and joined up to components.
 
-A pair at the threshold stays together at one split with a probability of about 0.99 as long as the node
-is much wider than the pair, so four trees miss next to none; the tests measure the recall.
+A pair at the threshold stays together at one split with a probability of about 0.98 or more, as nodes that
+are not much wider than the pair are not split, so four trees miss next to none; the tests measure the recall.
 """
 
 from __future__ import annotations
@@ -31,6 +34,10 @@ TREES = 4
 LEVELS = 40
 LEAF = 2048
 SPILL = 0.1
+#: Least half width of the overlap of two sides, in threshold distances.
+REACH = 0.7
+#: Largest share of a node that a side may keep; from 1/sqrt(2) on, splits cost more than pairs of blocks.
+WIDEST = 0.7
 SEED = 11
 #: Rows of a leaf compared at a time.
 BLOCK = 256
@@ -83,53 +90,79 @@ def projected(classes: DataFrame, trees: int, levels: int) -> DataFrame:
     return rows.mapInArrow(project, "rep long, label string, size int, projections array<float>")
 
 
-def leaves(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL) -> DataFrame:
-    """(node, rep): the leaves that each class lies in, in every tree."""
+def leaves(
+    classes: DataFrame, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, threshold: float = THRESHOLD
+) -> DataFrame:
+    """(node, rep, blocks): the leaves and dense nodes that each class lies in, in every tree."""
     rows = projected(classes, trees, LEVELS).select(
         "rep",
         F.explode(
             F.array(*[
                 F.struct(
                     F.xxhash64("label", "size", F.lit(t)).alias("node"),
+                    F.xxhash64("label", "size").alias("root"),
                     F.slice("projections", t * LEVELS + 1, LEVELS).alias("p"),
                 )
                 for t in range(trees)
             ])
         ).alias("at"),
-    ).select("rep", "at.node", "at.p")
+    ).select("rep", "at.node", "at.root", "at.p")
+    # Two unit vectors at the threshold are so far apart; on a direction the standard deviation is the same.
+    reach = REACH * float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     done = None
     for level in range(LEVELS):
         rows = stored(rows, "tree-level")
         value = F.element_at("p", level + 1)
         cuts = rows.groupBy("node").agg(
             F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(value, [0.5 - spill, 0.5 + spill], 2000).alias("cut"),
+            F.first("root").alias("root"),
+            F.percentile_approx(value, [1 - WIDEST, 0.5 - spill, 0.5, 0.5 + spill, WIDEST], 2000).alias("q"),
+        )
+        q = F.col("q")
+        low, high = F.least(q[1], q[2] - F.lit(reach)), F.greatest(q[3], q[2] + F.lit(reach))
+        cuts = cuts.select(
+            "node", "n", "root", low.alias("low"), high.alias("high"),
+            ((F.col("n") > leaf) & ((low < q[0]) | (high > q[4]))).alias("dense"),
         )
-        # Small nodes are leaves; a node is split in two that overlap.
-        small = cuts.where(F.col("n") <= leaf).select("node")
-        large = cuts.where(F.col("n") > leaf).drop("n")
-        part = rows.join(small, "node", "left_semi").select("node", "rep")
+        cuts = stored(cuts, "tree-cuts")
+        blocks = F.when(F.col("dense"), F.ceil(F.col("n") / F.lit(leaf))).otherwise(F.lit(1)).cast("long")
+        ended = cuts.where((F.col("n") <= leaf) | F.col("dense")).select("node", blocks.alias("blocks"))
+        large = cuts.where((F.col("n") > leaf) & ~F.col("dense")).select("node", "low", "high")
+        if not level:
+            # All trees begin with the same classes: where one root is dense, its pairs need no other tree.
+            whole = cuts.where("dense").groupBy("root").agg(F.min("node").alias("only"))
+            rows = rows.join(whole, "root", "left").where(F.col("only").isNull() | (F.col("only") == F.col("node")))
+            rows = rows.drop("only")
+        part = rows.join(ended, "node").select("node", "rep", "blocks")
         done = part if done is None else done.unionByName(part)
         split = rows.join(large, "node").select(
             "rep",
+            "root",
             "p",
             F.explode(
                 F.array_compact(
                     F.array(
-                        F.when(value <= F.col("cut")[1], F.xxhash64("node", F.lit(0))),
-                        F.when(value >= F.col("cut")[0], F.xxhash64("node", F.lit(1))),
+                        F.when(value <= F.col("high"), F.xxhash64("node", F.lit(0))),
+                        F.when(value >= F.col("low"), F.xxhash64("node", F.lit(1))),
                     )
                 )
             ).alias("node"),
         )
-        rows = split.select("rep", "node", "p")
+        rows = split.select("rep", "node", "root", "p")
         if large.isEmpty():
             return done
-    return done.unionByName(rows.select("node", "rep"))  # not split in LEVELS levels: compared as it is
+    # Not split in LEVELS levels: compared by pairs of blocks.
+    rows = stored(rows, "tree-level")
+    sizes = rows.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / F.lit(leaf)).cast("long").alias("blocks"))
+    return done.unionByName(rows.join(sizes, "node").select("node", "rep", "blocks"))
 
 
 def compare_leaf(table: pa.Table, threshold: float) -> pa.Table:
-    """rep, links (copies counted) and root of the classes of one leaf that have links."""
+    """rep, links (copies counted) and root of the classes of one leaf, or pair of blocks, that have links.
+
+    Two different blocks are compared with each other only: pairs within a block have a group of their own.
+    """
+    table = table.sort_by("own")
     rep = table.column("rep").to_numpy()
     copies = table.column("copies").to_numpy()
     node = table.column("node")[0].as_py()
@@ -150,19 +183,23 @@ def compare_leaf(table: pa.Table, threshold: float) -> pa.Table:
     links = np.zeros(m, np.int64)
     linked = np.zeros(m, bool)
     root = np.arange(m)  # component so far, as the place of its first member
-    for a in range(0, m, BLOCK):
-        b = min(m, a + BLOCK)
-        close = (x[a:b] @ x.T >= threshold) & (label[a:b, None] == label[None, :])
-        close[np.arange(b - a), np.arange(a, b)] = False
+    same = table.column("low")[0].as_py() == table.column("high")[0].as_py()
+    half = m if same else int((table.column("own").to_numpy() == table.column("low")[0].as_py()).sum())
+    steps = [(a, min(half, a + BLOCK), 0 if same else half, m) for a in range(0, half, BLOCK)]
+    steps += [(a, min(m, a + BLOCK), 0, half) for a in range(half, m, BLOCK)]
+    for a, b, c, d in steps:  # rows a to b against rows c to d
+        close = (x[a:b] @ x[c:d].T >= threshold) & (label[a:b, None] == label[None, c:d])
+        if same:
+            close[np.arange(b - a), np.arange(a, b)] = False
         some = np.flatnonzero(close.any(axis=1))
         if not len(some):
             continue
         linked[a + some] = True
         cols = np.flatnonzero(close.any(axis=0))
-        first = close[np.ix_(some, cols)] & ~(shares[a + some] @ shares[cols].T > 0)
-        links[a + some] += first @ copies[cols]
+        first = close[np.ix_(some, cols)] & ~(shares[a + some] @ shares[c + cols].T > 0)
+        links[a + some] += first @ copies[c + cols]
         for i in some:
-            roots = np.unique(root[np.r_[a + i, np.flatnonzero(close[i])]])
+            roots = np.unique(root[np.r_[a + i, c + np.flatnonzero(close[i])]])
             if len(roots) > 1:
                 root[np.isin(root, roots)] = roots[0]
     least = np.full(m, np.iinfo(np.int64).max)
@@ -191,15 +228,19 @@ def near_vectors(
     ).withColumn("name", F.col("c1"))
     # A class is known by its digest: two classes may share their least id if ids repeat.
     named = classes.select(F.col("name").alias("rep"), "label", "embedding", "copies")
-    places = stored(leaves(named, trees, leaf), "leaves")
+    places = stored(leaves(named, trees, leaf, threshold=threshold), "leaves")
     nodes = places.groupBy("rep").agg(F.collect_list("node").alias("nodes"))
     full = places.join(named, "rep").join(nodes, "rep")
+    # Each pair of blocks is one group; a leaf is a single block.
+    full = full.withColumn("own", F.pmod(F.xxhash64("rep"), "blocks"))
+    full = full.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    full = full.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
 
     def compare(table: pa.Table) -> pa.Table:
         return compare_leaf(table, threshold)
 
     found = stored(
-        full.groupBy("node").applyInArrow(compare, "rep long, links long, root long"), "leaf-links"
+        full.groupBy("node", "low", "high").applyInArrow(compare, "rep long, links long, root long"), "leaf-links"
     )
     counts = found.groupBy(F.col("rep").alias("c1")).agg(F.sum("links").alias("links"))
     keys = classes.select("c1", "c2", F.col("rep").alias("least"), "copies")

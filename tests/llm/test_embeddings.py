@@ -71,3 +71,20 @@ def test_exact_without_splits_copies_and_odd_rows(spark):
     assert sorted(str((r["vec_id"], r["n_links"], r["component_id"])) for r in got) == sorted(str(w) for w in brute(rows))
     assert all(r["kept"] == (r["vec_id"] is None or r["vec_id"] == r["component_id"]) for r in got)
     assert embeddings.near_vectors(table(spark, [])).collect() == []
+
+
+def test_dense_groups_larger_than_a_leaf(spark):
+    """Groups whose members nearly all link, alone in a label and among other vectors, against all pairs."""
+    rng = np.random.default_rng(3)
+    dims, spread = 64, 0.2 / 8  # nearly all pairs of a group link
+    rows = [(k, v, 1) for k, v in enumerate(groups(rng, [700], dims, spread))]
+    mixed = groups(rng, [400, 250] + [1] * 500, dims, spread)
+    rows += [(10_000 + k, v, 2) for k, v in enumerate(mixed)]
+    got = {r["vec_id"]: r for r in embeddings.near_vectors(table(spark, rows), leaf=100).collect()}
+    for label, least in ((1, 1.0), (2, 0.99)):
+        ids = [i for i, _, k in rows if k == label]
+        x = np.array([v for _, v, k in rows if k == label], np.float32).astype(np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        want = (x @ x.T >= embeddings.THRESHOLD).sum(axis=1) - 1
+        found = np.array([got[i]["n_links"] for i in ids])
+        assert (found <= want).all() and found.sum() >= least * want.sum() > 100_000
