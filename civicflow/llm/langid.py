@@ -6,9 +6,10 @@ The chain adds learned transitions between the languages of neighbouring words,
 labelled word by word: forward-backward gives each word's probabilities, and a document's language is the
 one with the largest expected share of its words.
 
-The model is fitted on a bounded sample of labelled documents (``TRAIN_DOCS`` texts of at most
-``TRAIN_BYTES`` bytes, spread over the ``MAX_LANGUAGES`` most frequent languages).  Their lines are dealt
-into mixed sequences, so that transitions between languages are seen.
+The model knows every language that a labelled document has.  It is fitted on a sample of them: about
+``TRAIN_DOCS`` texts, equally many per language and at least ``FEWEST`` (if there are so many), of longer ones
+the whole lines of their first ``TRAIN_BYTES`` bytes.  Their lines are dealt into mixed sequences, so that
+transitions between languages are seen.
 """
 
 from __future__ import annotations
@@ -19,14 +20,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import GOLDEN, Words, id_remainder, mix64, raw_bytes, slices, word_hashes
 
 TRAIN_DOCS = 1200
 TRAIN_BYTES = 20_000
-MAX_LANGUAGES = 16
+#: Texts per language, however many languages there are.
+FEWEST = 20
 #: Slots of hashed n-gram weights.
 SLOTS = 1 << 17
 LEXICON_COUNT = 3
@@ -36,6 +38,11 @@ RATE = 0.3
 RIDGE = 1e-4
 #: Words per chunk of the parallel forward-backward pass.
 CHUNK = 32
+#: Bytes of text labelled at a time with up to 4 languages, less with more.
+LABEL_BYTES = 4 << 20
+#: Numbers per array of the fit's forward-backward pass.
+FIT_CELLS = 4 << 20
+BLANKS = " \t\n\x0b\x0c\r"
 
 LETTER = np.zeros(256, bool)
 LETTER[ord("a") : ord("z") + 1] = True
@@ -165,18 +172,26 @@ def label_texts(model: Model, texts: pa.Array) -> tuple[list[int | None], np.nda
 # --- fitting -------------------------------------------------------------------------------------
 
 
+def beginning(text: Column) -> Column:
+    """A text of at most ``TRAIN_BYTES`` bytes, of a longer one its first whole lines, or words, up to about there."""
+    whole = F.ltrim(text, F.lit(BLANKS))
+    head = F.left(whole, F.floor(F.lit(TRAIN_BYTES) * F.length(whole) / F.octet_length(whole)).cast("int"))
+    upto = lambda mark: F.left(head, F.length(head) - F.length(F.substring_index(head, mark, -1)))
+    cut = F.when(F.instr(head, "\n") > 0, upto("\n")).when(F.instr(head, " ") > 0, upto(" ")).otherwise(head)
+    return F.when(F.octet_length(text) <= TRAIN_BYTES, text).when(F.octet_length(whole) <= TRAIN_BYTES, whole).otherwise(cut)
+
+
 def training_sample(documents: DataFrame, limit: int = TRAIN_DOCS) -> list:
-    """At most ``limit`` rows (lang, text), chosen by a hash of the id, equally many per language."""
+    """Rows (lang, text) of every language, chosen by a hash of the id: ``limit`` over the languages, or ``FEWEST`` each."""
     usable = documents.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull()
-        & F.col("text").isNotNull()
+        & (F.trim(F.col("text"), F.lit(BLANKS)) != "")
         & (id_remainder(F.col("doc_id"), 4) != 2)
-        & (F.octet_length("text") <= TRAIN_BYTES)
     )
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = usable.groupBy("lang").count().collect()  # one row per language
     if not counts:
         return []
-    quota = max(1, limit // len(counts))
+    quota = max(FEWEST, limit // len(counts))
     wide = 1 << 30
     limits = documents.sparkSession.createDataFrame(
         [(r["lang"], int(wide * min(1.0, 2 * quota / r["count"])) + 1) for r in counts], "lang string, _below long"
@@ -185,7 +200,8 @@ def training_sample(documents: DataFrame, limit: int = TRAIN_DOCS) -> list:
     near = usable.withColumn("_key", key).join(F.broadcast(limits), "lang").where(F.pmod("_key", F.lit(wide)) < F.col("_below"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("_key", F.lit(wide)), "_key"))
     rows = near.withColumn("_rank", rank).where(F.col("_rank") <= quota)
-    return rows.select("lang", "text", "_key").orderBy("lang", "_key").collect()  # bounded by ``limit``
+    # Bounded by ``quota`` for each language.
+    return rows.select("lang", beginning(F.col("text")).alias("text"), "_key").orderBy("lang", "_key").collect()
 
 
 def fit(rows: list, seed: int = 5) -> Model:
@@ -193,12 +209,13 @@ def fit(rows: list, seed: int = 5) -> Model:
     k = len(languages)
     if not rows:
         return Model([], np.zeros((SLOTS, 0)), np.empty(0, np.uint64), np.zeros((0, 0)))
+    number = {lang: j for j, lang in enumerate(languages)}
     lines, labels = [], []
     for r in rows:
         for line in r["text"].split("\n"):
             if line.strip():
                 lines.append(line)
-                labels.append(languages.index(r["lang"]))
+                labels.append(number[r["lang"]])
     words = Words(pa.array(lines, pa.large_string()))
     order = np.random.default_rng(seed).permutation(len(lines))
     token = np.concatenate([words.ids[words.starts[i] : words.starts[i + 1]] for i in order])
@@ -206,23 +223,31 @@ def fit(rows: list, seed: int = 5) -> Model:
     length = min(SEQUENCE, len(token))
     if not length:
         return Model(languages, np.zeros((SLOTS, k)), np.empty(0, np.uint64), np.zeros((k, k)))
-    many = len(token) // length
-    token, truth = token[: many * length].reshape(many, length), truth[: many * length].reshape(many, length)
+    # The last sequence overlaps the one before it, so that no word is left out.
+    opening = np.minimum(np.arange(0, len(token), length), len(token) - length)[:, None] + np.arange(length)
+    token, truth = token[opening], truth[opening]
     often = np.bincount(words.ids, minlength=len(words.vocabulary)) >= LEXICON_COUNT
     lexicon = np.unique(word_hashes(pc.utf8_lower(words.vocabulary))[often])
     features = Features(words.vocabulary, lexicon)
-    weights, trans = np.zeros((SLOTS + len(lexicon), k)), np.zeros((k, k))
+    # Weights of features that no training word has stay zero.
+    used, features.ids = np.unique(features.ids, return_inverse=True)
+    weights, trans = np.zeros((len(used), k)), np.zeros((k, k))
     seen = np.zeros((k, k))
     np.add.at(seen, (truth[:, :-1].ravel(), truth[:, 1:].ravel()), 1)
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (weights, trans)]
+    part = max(1, FIT_CELLS // (length * k))
     for step in range(1, STEPS + 1):
         scores = features.scores(weights)
         factor = np.exp(scores - scores.max(axis=1, keepdims=True))
-        marginals, pairs = sequence_marginals(factor[token], np.exp(trans))
-        marginals[np.arange(many)[:, None], np.arange(length), truth] -= 1
-        wrong = np.stack(
-            [np.bincount(token.ravel(), weights=marginals[:, :, j].ravel(), minlength=len(features.count)) for j in range(k)], 1
-        ) * features.scale[:, None]
+        wrong, pairs = np.zeros((len(features.count), k)), np.zeros((k, k))
+        for a in range(0, len(token), part):
+            own, right = token[a : a + part], truth[a : a + part]
+            marginals, more = sequence_marginals(factor[own], np.exp(trans))
+            marginals[np.arange(len(own))[:, None], np.arange(length), right] -= 1
+            pairs += more
+            for j in range(k):
+                wrong[:, j] += np.bincount(own.ravel(), weights=marginals[:, :, j].ravel(), minlength=len(wrong))
+        wrong *= features.scale[:, None]
         grad = np.stack(
             [np.bincount(features.ids, weights=wrong[:, j][features.owner], minlength=len(weights)) for j in range(k)], 1
         )
@@ -231,7 +256,9 @@ def fit(rows: list, seed: int = 5) -> Model:
             mean += 0.1 * (g - mean)
             square += 0.01 * (g * g - square)
             p -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-    return Model(languages, weights, lexicon, trans)
+    full = np.zeros((SLOTS + len(lexicon), k))
+    full[used] = weights
+    return Model(languages, full, lexicon, trans)
 
 
 def sequence_marginals(emission: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,8 +278,9 @@ def sequence_marginals(emission: np.ndarray, transition: np.ndarray) -> tuple[np
         out[:, i] = m / m.sum(axis=1, keepdims=True)
         tail = emission[:, i] * g
         if i:
-            joint = forward[:, i - 1, :, None] * transition * tail[:, None, :]
-            pairs += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            before = forward[:, i - 1]
+            before = before / ((before @ transition) * tail).sum(axis=1, keepdims=True)
+            pairs += transition * (before.T @ tail)
         g = tail @ transition.T
         g /= g.sum(axis=1, keepdims=True)
     return out, pairs
@@ -273,10 +301,13 @@ def identify_languages(documents: DataFrame, train_docs: int = TRAIN_DOCS) -> Da
     is shuffled.
     """
     model = fit(training_sample(documents, train_docs))
+    # The arrays of a slice have words x labels numbers, and words / CHUNK x labels x labels.
+    k = max(4, len(model.languages))
+    limit = max(1, int(LABEL_BYTES * (4 / k) / max(1, k / CHUNK)))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, None], object)
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", limit):
             best, score = label_texts(model, batch.column("text"))
             lang = pa.array(names[[len(names) - 1 if b is None else b for b in best]], pa.string())
             yield pa.RecordBatch.from_arrays(

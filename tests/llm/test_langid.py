@@ -80,3 +80,31 @@ def test_edge_cases(spark):
     assert langid.identify_languages(documents(spark, [])).collect() == []
     nothing = langid.identify_languages(documents(spark, [(0, "words to label")])).collect()
     assert [r["lang_pred"] for r in nothing] == ["und"]
+
+
+def test_every_language_is_learned_also_from_long_texts_only(spark):
+    """More languages than any fixed number of the most frequent ones; the rarest has only long texts."""
+    rng = np.random.default_rng(4)
+    names = [f"l{j:02d}" for j in range(24)]
+    pairs = [(c, v) for c in "bcdfghjklmnpqrstvwxz" for v in "aeiou"]
+    order = rng.permutation(len(pairs))
+    syllables = {name: ["".join(pairs[i]) for i in order[4 * j : 4 * j + 4]] for j, name in enumerate(names)}
+    word = lambda lang: "".join(rng.choice(syllables[lang], 3))
+    line = lambda lang: " ".join(word(lang) for _ in range(12))
+    rows, truth = [], {}
+    for j, lang in enumerate(names):
+        long = lang == names[-1]
+        for k in range(8 if long else 30 - j):
+            i = len(rows)
+            text = "\n".join(line(lang) for _ in range(400 if long else 6))
+            assert (len(text) > langid.TRAIN_BYTES) == long
+            rows.append((i, text, lang if k % 4 else None))
+            truth[i] = lang
+    got = langid.identify_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {r["lang_pred"] for r in got} == set(names)
+    for lang in names:
+        assert np.mean([r["lang_pred"] == lang for r in got if truth[r["doc_id"]] == lang]) >= 0.9
+    # A long text without line breaks is cut between words, one without blanks anywhere.
+    odd = spark.createDataFrame([("ab " * 9000,), ("é" * 15_000,), ("\n" * 30_000 + "ab cd",)], "text string")
+    cut = [r[0] for r in odd.select(langid.beginning(odd.text)).collect()]
+    assert cut[0] == "ab " * 6666 and cut[1] == "é" * 10_000 and cut[2] == "ab cd"
