@@ -1,13 +1,15 @@
 """Line deduplication by winnowing over line hashes (DataFrame functions only).
 
 A line is what stands between line breaks, cut further after a full stop and a blank, so that a passage
-inside a paragraph is seen too.  Blank lines take no part.
+of whole sentences inside a paragraph is seen too.  Blank lines take no part.  Only whole equal lines match:
+a repeated run of words that holds less than ``GRAM_WORDS`` words of whole lines, as inside a long sentence,
+stays.
 
 1. Each line gets a hash and its place, counted in words.  A line's gram is the shortest run of lines from
    there on with ``GRAM_WORDS`` words; its hash covers all of their hashes.
 2. Winnowing: of all grams that begin within ``WINDOW_WORDS`` words the least hash is selected.  Two
-   equal runs of GRAM_WORDS + WINDOW_WORDS words or more, wherever they stand, select the same gram, so
-   each such run has a fingerprint in common (guaranteed).
+   equal runs of whole lines with GRAM_WORDS + WINDOW_WORDS words or more, whatever lines stand around
+   them, select the same gram, so each such run has a fingerprint in common (guaranteed).
 3. A fingerprint's first place in a document is matched with its home, its first place in the first
    document that has it (by id); a later place in a document is matched with the one before it there.  So
    a place has one match, however many places there are, and periodic text has one diagonal per period.
