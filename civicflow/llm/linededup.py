@@ -78,9 +78,14 @@ def line_table(documents: DataFrame) -> DataFrame:
     trimmed = F.transform(
         lines_of(F.col("text")), lambda x, at: F.struct(at.alias("pos"), F.trim(x, F.lit(BLANKS)).alias("t"))
     )
-    lines = F.transform(
+    counted = lambda words: F.transform(
         F.filter(trimmed, lambda x: x["t"] != ""),
-        lambda x: F.struct(x["pos"].alias("pos"), F.xxhash64(x["t"]).alias("h"), (blanks(x["t"]) + 1).alias("w")),
+        lambda x: F.struct(x["pos"].alias("pos"), F.xxhash64(x["t"]).alias("h"), words(x["t"]).alias("w")),
+    )
+    # Blanks tell the words where all words stand one blank apart.
+    odd = F.col("text").rlike(r"[\t\x0B\f\r]|  ")
+    lines = F.when(odd, counted(lambda t: F.regexp_count(t, F.lit(r"[^\x20\x09-\x0D]+")))).otherwise(
+        counted(lambda t: blanks(t) + 1)
     )
     body = lambda own: F.struct(own.alias("lines"), let(selected_grams(own), with_earlier).alias("prints"))
     rows = documents.select(*_order(), let(lines, body).alias("_doc")).select("d1", "d2", "_doc.*")

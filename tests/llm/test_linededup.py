@@ -166,3 +166,18 @@ def test_edge_cases(spark):
     assert [r["n_chars"] for r in kept.where("doc_id = 14").collect()] == [2]
     texts = [(1, "a\x01b. c"), (2, None)]
     assert {r["text"] for r in linededup.deduplicate_lines(documents(spark, texts)).collect()} == {"a\x01b. c", None}
+
+
+def test_words_are_counted_at_any_white_space(spark):
+    """Words counted by Python: runs of ASCII characters that are not white space, whatever stands between."""
+    tabs = "\t".join(f"cell{k}" for k in range(40))
+    gaps = "left" + " " * 19 + "right"
+    mixed = "a\x0bb\x0cc \t d\r e  f"
+    docs = [(k, f"Own words of {k}\n{tabs}\n{gaps}\n{mixed}\nplain words here\n") for k in range(3)]
+    docs += [(k, f"Other words of {k}\n{gaps}\nand an end of {k}\n") for k in range(3, 6)]
+    for r in linededup.line_table(documents(spark, docs)).collect():
+        every = [x for x in re.split(r"(?<=\n)|(?<=[.] )", dict(docs)[r["d1"]]) if x.strip(BLANKS)]
+        assert [x["w"] for x in r["lines"]] == [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in every]
+    got = {r["doc_id"]: r["text"] for r in linededup.deduplicate_lines(documents(spark, docs)).collect()}
+    assert tabs in got[0] and tabs not in got[1] and tabs not in got[2]
+    assert all(got[k] == dict(docs)[k] for k in range(3, 6))
