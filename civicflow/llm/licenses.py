@@ -99,8 +99,19 @@ class Scanner:
     def _words(found: bytes) -> list[str]:
         return [w.decode("utf-8", "replace") for w in re.findall(WORD_CLASS + rb"+", found)]
 
+    def matches(self, k: int, low: str, a: int, b: int) -> Iterator[regex.Match]:
+        """The best match of notice k in a window, then the best ones before and after it, and so on."""
+        notice, _, edits = self.notices[k]
+        parts = [(a, b)]
+        while parts:
+            a, b = parts.pop()
+            m = self.patterns[k].search(low, a, b) if b - a >= len(notice) - edits else None
+            if m:
+                yield m
+                parts += [(a, m.start()), (m.end(), b)]
+
     def spans(self, low: str) -> list[tuple[str, int, int, int, int]]:
-        """(label, first character, end, edits, notice length) of the notices found, the best match of each seeded window."""
+        """(label, first character, end, edits, notice length) of the notices found, the best matches of each seeded window."""
         windows: dict[int, list[tuple[int, int]]] = {}
         for end, (length, places) in self.automaton.iter(low):
             start = end - length + 1
@@ -112,7 +123,7 @@ class Scanner:
         for k, areas in windows.items():
             notice, label, _ = self.notices[k]
             for a, b in merged(areas):
-                for m in self.patterns[k].finditer(low, a, b):
+                for m in self.matches(k, low, a, b):
                     found.append((label, m.start(), m.end(), sum(m.fuzzy_counts), len(notice)))
         # Notices resemble each other; where matches overlap, the one with the least share of edits stays.
         kept: list[tuple[str, int, int, int, int]] = []

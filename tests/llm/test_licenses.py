@@ -66,3 +66,18 @@ def test_pieces_keep_one_seed_whole():
 
 def test_empty_table(spark):
     assert licenses.scan_licenses(documents(spark, [])).collect() == []
+
+
+def test_neighbouring_notices_with_different_edits():
+    """The better copy does not hide the one before it, nor the one between two."""
+    scanner = licenses.Scanner()
+    good = "all rights reserved"
+    assert good in licenses.NOTICES or any(good in n for n in licenses.NOTICES)
+    notice = next(n for n in licenses.NOTICES if good in n)
+    edited = notice.replace("reserved", "reservd")
+    for text in (f"{edited} {notice}", f"{notice} {edited}", f"{edited} {notice} {edited} {notice} {edited}"):
+        spans = scanner.spans(text)
+        want = [(m.start(), int(m.group() == edited)) for m in re.finditer(f"{re.escape(edited)}|{re.escape(notice)}", text)]
+        assert len(spans) == len(want) >= 2
+        for (_, a, b, edits, _), (at, wrong) in zip(spans, want):
+            assert abs(a - at) <= 1 and edits == wrong, (text, spans)
