@@ -85,9 +85,9 @@ def public_feed(events: DataFrame) -> DataFrame:
     )
 
 
-def write_public_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
+def write_public_feed(spark: SparkSession, sf_dir: str, path: str, condition: str = "true") -> None:
     """JSON lines in the order of the events: files by name, lines from front to back."""
-    feed = public_feed(read_table(spark, sf_dir, "events"))
+    feed = public_feed(read_table(spark, sf_dir, "events").where(condition))
     feed.repartitionByRange("_at").sortWithinPartitions("_at").drop("_at").write.mode("overwrite").json(path)
 
 

@@ -159,6 +159,15 @@ ORACLE_SQL: dict[str, str] = {
         "FROM quarantined JOIN feed USING (seq)", RAW, PARSED, QUARANTINE, FEED,
     ),
     "feed_dedup": _on_clean("SELECT * EXCLUDE (seq) FROM clean"),
+    # Odd records land first; of a key the row that landed first stays.
+    "batch_two_runs": _with(
+        f"""SELECT 'clean' AS table_name, CAST(-1 AS BIGINT) AS batch_id, unique_key AS record_id, '' AS error_fields,
+         status, borough, zip_code, created_date
+        FROM (SELECT *, row_number() OVER (PARTITION BY unique_key ORDER BY 1 - seq % 2, seq) AS rn FROM parsed WHERE {_ALL_REQUIRED}) t
+        WHERE rn = 1
+        UNION ALL SELECT 'quarantine', 1 - seq % 2, record_id, error_fields, NULL, NULL, NULL, NULL FROM quarantined""",
+        RAW, PARSED, QUARANTINE,
+    ),
     "clean_strict": _with("SELECT * FROM clean", RAW, _LENIENT, PARSED_STRICT, CLEAN),
     "validate_strict": _with(
         f"SELECT seq, CASE WHEN {_ALL_REQUIRED} THEN 1 ELSE 0 END AS is_valid FROM parsed", RAW, _LENIENT, PARSED_STRICT

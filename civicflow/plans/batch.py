@@ -12,12 +12,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from civicflow.operators.aggregate import distinct_regions, pick_slice
 from civicflow.operators.profile import frame_shape, health_check, null_ranking
 from civicflow.operators.summary import summary_answers, summary_records
 from civicflow.plans import layout
 from civicflow.plans.clean import clean_rows, quarantine_rows, stage_requests
+from civicflow.schema import BATCH
 from civicflow.sources.jsonl import first_non_empty
 from civicflow.sources.sinks import (
     export_csv,
@@ -49,6 +51,20 @@ class Reports:
     scan_report: DataFrame
 
 
+def clean_batch(spark: SparkSession, raw: DataFrame, out: Outputs, batch_id: int = 0) -> DataFrame:
+    """Land one batch, then clean all landed ones: of a key the row of the earliest batch stays, and every
+    rejected row stands in the quarantine once, with the batch it came with.  Gives the landed rows."""
+    land_raw(raw, out.raw, batch_id)
+    stored_raw = first_non_empty(read_raw(spark, out.raw, raw.schema), raw)
+    if stored_raw is None:
+        stored_raw = raw  # an empty feed: every table comes out empty
+    parsed = stage_requests(stored_raw, out.stage)
+    write_clean(clean_rows(parsed), out.clean, fresh=True)
+    origin = F.col(BATCH) if BATCH in parsed.columns else batch_id
+    write_quarantine(quarantine_rows(parsed, origin), out.quarantine, whole=True)
+    return stored_raw
+
+
 def run_batch(
     spark: SparkSession,
     raw: DataFrame,
@@ -60,19 +76,12 @@ def run_batch(
     """Land, profile, clean, publish and lay out ``raw``; every table goes under ``out_root``.
 
     Running it again, with the same batch or another, replaces what a run replaces: the batch's
-    landing and quarantine, and the tables derived from all landed batches.  Without a slice the
-    least (borough, complaint type) pair is taken.  The layouts need at least two boroughs to be
+    landing, and the tables derived from all landed batches.  Without a slice the least
+    (borough, complaint type) pair is taken.  The layouts need at least two boroughs to be
     compared; with fewer the scan report is empty.
     """
     out = Outputs(out_root)
-    land_raw(raw, out.raw, batch_id)
-    stored_raw = first_non_empty(read_raw(spark, out.raw, raw.schema), raw)
-    if stored_raw is None:
-        stored_raw = raw  # an empty feed: every table comes out empty
-
-    parsed = stage_requests(stored_raw, out.stage)
-    write_clean(clean_rows(parsed), out.clean, fresh=True)
-    write_quarantine(quarantine_rows(parsed, batch_id), out.quarantine)
+    stored_raw = clean_batch(spark, raw, out, batch_id)
     clean = read_clean(spark, out.clean)
 
     write_summary(summary_records(summary_answers(clean)), out.summary)

@@ -29,6 +29,7 @@ from civicflow.functions.parse import coordinate_of, created_date_of, parse_coor
 from civicflow.operators.dedup import keep_first
 from civicflow.operators.validate import ERROR_FIELDS, TYPE_ERRORS, invalid_rows, is_valid, valid_rows
 from civicflow.schema import (
+    BATCH,
     CLEAN_COLUMNS,
     CORRUPT_RECORD,
     DEFAULT_ZIP,
@@ -127,7 +128,7 @@ def _strict_fields(raw: DataFrame) -> list[Column]:
 def project_requests(raw: DataFrame) -> DataFrame:
     """Every raw row with its typed, normalised fields and the quarantine's inputs."""
     fields = _strict_fields(raw) if strict.is_strict(raw) else _lenient_fields(raw)
-    place = [F.col(PLACE)] if PLACE in raw.columns else []
+    place = [F.col(c) for c in (BATCH, PLACE) if c in raw.columns]
     seq = F.col(SEQ) if SEQ in raw.columns else F.lit(None).cast("long").alias(SEQ)
     return raw.select(seq, *fields, _original_source(raw).alias(ORIGINAL), *place)
 
@@ -146,8 +147,8 @@ def stage_requests(raw: DataFrame, path: str) -> DataFrame:
 
 
 def ingest_order(df: DataFrame) -> list[str]:
-    """What "first" means: the feed's own number, else the place in the source."""
-    return [SEQ, PLACE] if PLACE in df.columns else [SEQ]
+    """What "first" means: the batch it came with, then the feed's own number, else the place in the source."""
+    return [c for c in (BATCH, SEQ, PLACE) if c in df.columns]
 
 
 def clean_rows(parsed: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.fixtures import raw_requests, read_table, write_public_feed
+from civicflow.fixtures import raw_requests, write_public_feed
 from civicflow.plans import layout
 from civicflow.plans.clean import clean_rows, quarantine_rows, stage_requests
 from civicflow.session import checkpoint_root, scratch_path
@@ -38,9 +38,14 @@ def run_clean_job(raw: DataFrame, root: str, batch_id: int = 0) -> tuple[str, st
 
 
 def _state(spark: SparkSession, sf_dir: str) -> str:
-    """What the input files are now: changed files give new stores.  Reads file metadata only."""
-    files = read_table(spark, sf_dir, "events").select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-    return str(files.agg(F.max("file_modification_time"), F.count(F.lit(1)), F.bit_xor(F.xxhash64(*files.columns))).first())
+    """What the input files are now: changed files give new stores.
+
+    One row per file, from the listing; contents are not read.  Paths differ, so the hashes of two files
+    cannot cancel out in the sum.
+    """
+    files = spark.read.format("binaryFile").load(f"{sf_dir.rstrip('/')}/events.parquet").select("path", "length", "modificationTime")
+    hashes = F.xxhash64(*files.columns).cast("decimal(38,0)")
+    return str(files.agg(F.count(F.lit(1)), F.sum("length"), F.sum(hashes)).first())
 
 
 def _root_for(spark: SparkSession, sf_dir: str) -> str:

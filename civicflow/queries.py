@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.fixtures import RAW_FIXTURE_COLUMNS, raw_requests, read_table, typed_lines
+from civicflow.fixtures import RAW_FIXTURE_COLUMNS, raw_requests, read_table, typed_lines, write_public_feed
 from civicflow.operators import aggregate as agg
 from civicflow.operators.dedup import drop_existing
 from civicflow.operators.profile import health_check, null_ranking
@@ -20,6 +20,7 @@ from civicflow.operators.sample import head_sample, systematic_sample
 from civicflow.operators.summary import explode_records, summary_answers, summary_records
 from civicflow.operators.validate import validity_flag
 from civicflow.plans import layout
+from civicflow.plans.batch import Outputs, clean_batch
 from civicflow.plans.clean import clean_rows, parse_requests, project_requests, quarantine_rows
 from civicflow.plans.tables import (
     clean_store,
@@ -39,6 +40,7 @@ from civicflow.sources.sinks import (
     read_clean,
     read_csv,
     read_parquet,
+    read_quarantine,
     read_raw,
     write_clean,
     write_summary,
@@ -190,6 +192,25 @@ def feed_dedup(spark, sf_dir):
     return clean_rows(parse_requests(read_jsonl(spark, public_feed_store(spark, sf_dir)))).drop(SEQ)
 
 
+def batch_two_runs(spark, sf_dir):
+    """Two landed batches; of a key the first batch's row stays, whatever its file is called."""
+    root = scratch_path(spark, "two-runs")
+    out = Outputs(f"{root}/out")
+    for batch_id, (folder, part) in enumerate((("z", "event_id % 2 = 1"), ("a", "event_id % 2 = 0"))):
+        write_public_feed(spark, sf_dir, f"{root}/{folder}", part)
+        clean_batch(spark, read_jsonl(spark, f"{root}/{folder}"), out, batch_id)
+    details = ["status", "borough", "zip_code", "created_date"]
+    kept = read_clean(spark, out.clean).select(
+        F.lit("clean").alias("table_name"), F.lit(-1).cast("long").alias("batch_id"), F.col("unique_key").alias("record_id"),
+        F.lit("").alias("error_fields"), *details,
+    )
+    bad = read_quarantine(spark, out.quarantine).select(
+        F.lit("quarantine").alias("table_name"), "batch_id", "record_id", F.array_join("error_fields", ",").alias("error_fields"),
+        *[F.lit(None).cast(kept.schema[c].dataType).alias(c) for c in details],
+    )
+    return kept.unionByName(bad)
+
+
 # ---- strict reading: JSON types, absent against null ---------------------------------
 
 def _typed(spark, sf_dir):
@@ -329,6 +350,7 @@ QUERIES: dict[str, Query] = {
     "feed_profile": feed_profile,
     "feed_quarantine": feed_quarantine,
     "feed_dedup": feed_dedup,
+    "batch_two_runs": batch_two_runs,
     "clean_strict": clean_strict,
     "validate_strict": validate_strict,
     "q1_region_volume": q1_region_volume,

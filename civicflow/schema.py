@@ -37,6 +37,8 @@ UNKNOWN_RECORD_ID = "unknown"
 
 # Ingest order.  A feed may number its records (``seq``); ``_order`` is the order that "first" means:
 # seq where there is one, then the place in the source (file, block of the file, line in the block).
+# Rows of landed batches are ordered by their batch before all that: first written wins.
+BATCH = "batch_id"
 SEQ = "seq"
 ORDER = "_order"
 PLACE = "_place"
@@ -66,7 +68,7 @@ CORRUPT_RECORD = "_corrupt_record"
 RAW_LINE = "_line"
 JSON_TYPES = "_json_types"
 # Columns of a raw frame that are no fields of the feed.
-INTERNAL_COLUMNS = (SEQ, CORRUPT_RECORD, RAW_LINE, JSON_TYPES, ORDER, PLACE)
+INTERNAL_COLUMNS = (SEQ, CORRUPT_RECORD, RAW_LINE, JSON_TYPES, ORDER, PLACE, BATCH)
 
 RAW_SCHEMA = T.StructType(
     [T.StructField(SEQ, T.LongType())]

@@ -11,10 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicflow.schema import CLEAN_SCHEMA, QUARANTINE_SCHEMA
-
-
-BATCH = "batch_id"
+from civicflow.schema import BATCH, CLEAN_SCHEMA, QUARANTINE_SCHEMA
 
 
 def write_batch(df: DataFrame, path: str) -> None:
@@ -28,8 +25,8 @@ def land_raw(raw: DataFrame, path: str, batch_id: int = 0) -> None:
 
 
 def read_raw(spark: SparkSession, path: str, raw: T.StructType) -> DataFrame:
-    """The landed batches with the columns of the raw frame."""
-    return spark.read.schema(T.StructType([*raw.fields, T.StructField(BATCH, T.LongType())])).parquet(path).drop(BATCH)
+    """The landed batches: the columns of the raw frame, and the batch of each row."""
+    return spark.read.schema(T.StructType([*raw.fields, T.StructField(BATCH, T.LongType())])).parquet(path)
 
 
 def write_clean(clean: DataFrame, path: str, fresh: bool = True) -> None:
@@ -37,8 +34,12 @@ def write_clean(clean: DataFrame, path: str, fresh: bool = True) -> None:
     clean.write.mode("overwrite" if fresh else "append").parquet(path)
 
 
-def write_quarantine(quarantine: DataFrame, path: str) -> None:
-    write_batch(quarantine, path)
+def write_quarantine(quarantine: DataFrame, path: str, whole: bool = False) -> None:
+    """The batches that ``quarantine`` has are replaced; with ``whole`` it replaces all batches."""
+    if whole:
+        quarantine.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BATCH).parquet(path)
+    else:
+        write_batch(quarantine, path)
 
 
 def write_summary(records: DataFrame, path: str) -> None:

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from civicflow.oracle import ORACLE_SQL as ORACLES
 from civicflow.queries import QUERIES
-from tools.oracle_check import duck, frame_digest, spark_pdf
+from tools.oracle_check import duck, duck_pdf, frame_digest, spark_pdf
 
 
 def test_every_key_has_a_query():
@@ -20,7 +20,7 @@ def con(sf01):
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_key_matches_oracle(spark, sf01, con, key):
     got = frame_digest(spark_pdf(QUERIES[key](spark, sf01)))
-    want = frame_digest(con.execute(ORACLES[key]).df())
+    want = frame_digest(duck_pdf(con, ORACLES[key]))
     assert got == want
 
 
