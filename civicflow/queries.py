@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from civicflow.fixtures import RAW_FIXTURE_COLUMNS, raw_requests, read_table, typed_lines, write_public_feed
 from civicflow.operators import aggregate as agg
-from civicflow.operators.dedup import drop_existing
 from civicflow.operators.profile import health_check, null_ranking
 from civicflow.operators.sample import head_sample, systematic_sample
 from civicflow.operators.summary import explode_records, summary_answers, summary_records
@@ -22,6 +21,7 @@ from civicflow.operators.validate import validity_flag
 from civicflow.plans import layout
 from civicflow.plans.batch import Outputs, clean_batch
 from civicflow.plans.clean import clean_rows, parse_requests, project_requests, quarantine_rows
+from civicflow.plans.store import CleanStore
 from civicflow.plans.tables import (
     clean_store,
     ingest_store,
@@ -42,7 +42,6 @@ from civicflow.sources.sinks import (
     read_parquet,
     read_quarantine,
     read_raw,
-    write_clean,
     write_summary,
 )
 from civicflow.streaming.ingest import read_progress
@@ -155,12 +154,10 @@ def dedup_cross_batch(spark, sf_dir):
 
 
 def _cross_batch(spark, raw):
-    path = scratch_path(spark, "cross-batch")
-    write_clean(spark.createDataFrame([], CLEAN_SCHEMA), path, fresh=True)
-    for lo, hi in arrival_bounds(raw, 2):
-        batch = clean_rows(parse_requests(raw.where(in_arrival(lo, hi))))
-        write_clean(drop_existing(batch, read_clean(spark, path), "unique_key"), path, fresh=False)
-    return read_clean(spark, path)
+    store = CleanStore(scratch_path(spark, "cross-batch"))
+    for batch_id, (lo, hi) in enumerate(arrival_bounds(raw, 2)):
+        store.add(clean_rows(parse_requests(raw.where(in_arrival(lo, hi)))), batch_id)
+    return read_clean(spark, store.path)
 
 
 # ---- the feed as published: whole lines, undeclared fields, no record numbers --------

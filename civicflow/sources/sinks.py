@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 from civicflow.schema import BATCH, CLEAN_SCHEMA, QUARANTINE_SCHEMA
 
 
-def write_batch(df: DataFrame, path: str) -> None:
-    """Partitioned by ``batch_id``; a repeated batch replaces its own partition and no other."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
+def write_batch(df: DataFrame, path: str, *within: str) -> None:
+    """Partitioned by ``batch_id`` (and ``within`` it); a repeated batch replaces its own partitions and no other."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH, *within).parquet(path)
 
 
 def land_raw(raw: DataFrame, path: str, batch_id: int = 0) -> None:
@@ -47,13 +47,13 @@ def write_summary(records: DataFrame, path: str) -> None:
     records.write.mode("overwrite").parquet(path)
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None) -> None:
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType, *partition: str) -> None:
     """Create an empty Parquet table if none exists, so readers never see a missing path."""
     try:
         spark.read.schema(schema).parquet(path)  # resolves the path only; runs no job
     except AnalysisException:
         empty = spark.createDataFrame([], schema).write.mode("append")
-        (empty.partitionBy(partition) if partition else empty).parquet(path)
+        (empty.partitionBy(*partition) if partition else empty).parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

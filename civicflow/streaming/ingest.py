@@ -1,14 +1,14 @@
 """Resumable ingest with Structured Streaming.
 
     readStream(landing lines) - foreachBatch: parse
-        valid - keep_first(unique_key, ingest order) - drop_existing(other batches) - clean partition
+        valid - keep_first(unique_key, ingest order) - not in other batches - clean partition, key bitmaps
         invalid - quarantine partition
         counts - progress partition
 
 The checkpoint location records which files were consumed, so a restarted query skips done work
 and a second run over the same files writes nothing.  All three tables are partitioned by
 ``batch_id`` and a batch replaces its own partition; uniqueness is checked against the other
-batches only.  So a replayed micro-batch writes the same rows and the same counts again, and the
+batches only, by the store's key bitmaps (``plans/store.py``).  So a replayed micro-batch writes the same rows and the same counts again, and the
 progress table holds one row for every batch that ever ran, whatever became of the driver.
 """
 
@@ -21,14 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicflow.operators.dedup import drop_existing
 from civicflow.operators.validate import is_valid
 from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows
-from civicflow.schema import CLEAN_SCHEMA, QUARANTINE_SCHEMA
+from civicflow.plans.store import STORE_SCHEMA, CleanStore
+from civicflow.schema import QUARANTINE_SCHEMA
 from civicflow.sources.jsonl import lenient_fields, placed, stream_lines, strict_fields
 from civicflow.sources.sinks import BATCH, ensure_table, write_batch, write_quarantine
 
-STORE_SCHEMA = T.StructType([*CLEAN_SCHEMA.fields, T.StructField(BATCH, T.LongType())])
 PROGRESS_SCHEMA = T.StructType(
     [T.StructField(c, T.LongType()) for c in ("rows", "bad", "valid", "written", "duplicates", BATCH)]
 )
@@ -48,15 +47,11 @@ class IngestPaths:
 
 def _write_batch(paths: IngestPaths):
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         number = F.lit(batch_id).cast("long").alias(BATCH)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            earlier = spark.read.schema(STORE_SCHEMA).parquet(paths.clean).where(F.col(BATCH) != batch_id)
-            new = drop_existing(clean_rows(batch), earlier, "unique_key")
-            write_batch(new.select("*", number), paths.clean)
+            written = CleanStore(paths.clean).add(clean_rows(batch), batch_id)
             write_quarantine(quarantine_rows(batch, batch_id), paths.quarantine)
-            written = spark.read.schema(STORE_SCHEMA).parquet(paths.clean).where(F.col(BATCH) == batch_id)
             counts = batch.agg(
                 F.count(F.lit(1)).alias("rows"), F.count_if(~is_valid()).alias("bad"), F.lit(0).alias("written")
             ).unionByName(
@@ -79,7 +74,7 @@ def start_ingest(
 
     ``strict`` reads JSON types and absent-vs-null (see ``read_jsonl_strict``).
     """
-    ensure_table(spark, paths.clean, STORE_SCHEMA, BATCH)
+    CleanStore(paths.clean).ensure(spark)
     ensure_table(spark, paths.quarantine, QUARANTINE_SCHEMA, BATCH)
     ensure_table(spark, paths.progress, PROGRESS_SCHEMA, BATCH)
     write = _write_batch(paths)
