@@ -151,6 +151,18 @@ _ARRIVALS = f"""bounds AS (SELECT min(seq) AS lo, max(seq) AS hi, (max(seq) - mi
 checked AS (SELECT (seq - lo) // width AS batch_id, unique_key, seq, {_ALL_REQUIRED} AS ok FROM parsed, bounds),
 firsts AS (SELECT unique_key, min(seq) AS seq FROM checked WHERE ok GROUP BY unique_key)"""
 
+_OPEN_B = "b0 <= 'BROOKLYN' AND b1 >= 'BROOKLYN'"
+_OPEN_T = " AND t0 <= 'click-1' AND t1 >= 'click-1'"
+
+
+def _files(name: str, file: str) -> str:
+    """Rows and ends of each file of a layout."""
+    return (
+        f"{name} AS (SELECT file, count(*) AS n, min(borough) AS b0, max(borough) AS b1, min(complaint_type) AS t0, "
+        f"max(complaint_type) AS t1 FROM (SELECT *, {file} AS file FROM clean) t GROUP BY file)"
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
     "feed_landing": _with("SELECT unique_key, request_ref, agency_name FROM feed", RAW, FEED),
     "feed_profile": _with(f"SELECT * FROM ({_FEED_RANK}) t ORDER BY nulls DESC, ordinal LIMIT 15", RAW, FEED),
@@ -172,16 +184,30 @@ ORACLE_SQL: dict[str, str] = {
     "validate_strict": _with(
         f"SELECT seq, CASE WHEN {_ALL_REQUIRED} THEN 1 ELSE 0 END AS is_valid FROM parsed", RAW, _LENIENT, PARSED_STRICT
     ),
-    "layout_scan_report": _on_clean(
+    # Files of 1000 rows, in the order of arrival and of (borough, type, key); a file is examined if its ends
+    # enclose the value.  The hive layout has a folder for each borough.
+    "layout_scan_report": _with(
+        "SELECT layout, filter, rows_returned, rows_examined, rows_examined / nullif(rows_returned, 0) AS ratio FROM (" +
         " UNION ALL ".join(
-            f"SELECT '{kind}' AS layout, '{text}' AS filter, count(*) AS rows_returned FROM clean WHERE {cond}"
-            for kind, cond in (
-                ("flat", "borough = 'BROOKLYN'"), ("hive", "borough = 'BROOKLYN'"),
-                ("flat", "borough = 'BROOKLYN' AND complaint_type = 'click-1'"),
-                ("clustered", "borough = 'BROOKLYN' AND complaint_type = 'click-1'"),
+            f"SELECT '{kind}' AS layout, '{cond.replace(chr(39), chr(39) * 2)}' AS filter, "
+            f"(SELECT count(*) FROM clean WHERE {cond}) AS rows_returned, "
+            f"(SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM {files} WHERE {opened}) AS rows_examined"
+            for kind, files, cond, opened in (
+                ("flat", "arrival", "borough = 'BROOKLYN'", _OPEN_B),
+                ("hive", "hive", "borough = 'BROOKLYN'", _OPEN_B),
+                ("flat", "arrival", "borough = 'BROOKLYN' AND complaint_type = 'click-1'", _OPEN_B + _OPEN_T),
+                ("clustered", "clustered", "borough = 'BROOKLYN' AND complaint_type = 'click-1'", _OPEN_B + _OPEN_T),
             )
-            for text in [cond.replace("'", "''")]
-        )
+        ) + ") t",
+        RAW, PARSED, CLEAN,
+        _files("arrival", "(row_number() OVER (ORDER BY seq) - 1) // 1000"),
+        _files("clustered", "(row_number() OVER (ORDER BY borough, complaint_type, unique_key) - 1) // 1000"),
+        _files("hive", "borough"),
+    ),
+    "layout_curve_slices": _on_clean(
+        "SELECT borough, count(*) AS count, 'complaint_type' AS filter FROM clean WHERE complaint_type = 'click-1' GROUP BY borough "
+        "UNION ALL SELECT borough, count(*), 'created_date' FROM clean "
+        "WHERE created_date BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-04' GROUP BY borough"
     ),
     "ingest_progress": _with(
         "SELECT batch_id, count(*) AS rows, count(*) FILTER (WHERE NOT ok) AS bad, count(*) FILTER (WHERE ok) AS valid, "

@@ -19,6 +19,7 @@ from civicflow.operators.profile import frame_shape, health_check, null_ranking
 from civicflow.operators.summary import summary_answers, summary_records
 from civicflow.plans import layout
 from civicflow.plans.clean import clean_rows, quarantine_rows, stage_requests
+from civicflow.plans.scanstats import equals
 from civicflow.schema import BATCH
 from civicflow.sources.jsonl import first_non_empty
 from civicflow.sources.sinks import (
@@ -91,7 +92,7 @@ def run_batch(
     layout.write_clustered(clean, out.clustered)
     if slice_borough is None or slice_type is None:
         slice_borough, slice_type = pick_slice(clean).first() or ("", "")
-    b, s = f"borough = '{slice_borough}'", f"borough = '{slice_borough}' AND complaint_type = '{slice_type}'"
+    b, s = [equals("borough", slice_borough)], [equals("borough", slice_borough), equals("complaint_type", slice_type)]
     probes = [("flat", out.flat, b), ("hive", out.hive, b), ("flat", out.flat, s), ("clustered", out.clustered, s)]
     comparable = distinct_regions(clean).limit(2).count() == 2
     report = layout.scan_report(spark, probes)

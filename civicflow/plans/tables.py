@@ -86,10 +86,15 @@ def public_feed_store(spark: SparkSession, sf_dir: str) -> str:
     return _derived(spark, sf_dir, "public-feed", lambda p: write_public_feed(spark, sf_dir, p))
 
 
+# Rows of a file in the layouts that are compared file by file.
+FILE_ROWS = 1000
 _LAYOUT_WRITERS = {
     "flat": layout.write_flat,
     "hive": layout.write_partitioned,
     "clustered": layout.write_clustered,
+    "arrival": lambda df, path: layout.write_ranked(df, path, ("seq",), FILE_ROWS),
+    "ranked": lambda df, path: layout.write_ranked(df, path, ("borough", "complaint_type", "unique_key"), FILE_ROWS),
+    "curve": partial(layout.write_curve, file_rows=FILE_ROWS),
     # A bucket that the check's SQL can compute as well.
     "spread": partial(layout.write_hash_spread, bucket_of=layout.md5_bucket),
 }

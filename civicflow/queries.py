@@ -8,6 +8,7 @@ session's shared checkpoint folder and return what they read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from civicflow.operators.validate import validity_flag
 from civicflow.plans import layout
 from civicflow.plans.batch import Outputs, clean_batch
 from civicflow.plans.clean import clean_rows, parse_requests, project_requests, quarantine_rows
+from civicflow.plans.scanstats import Within, equals, matches
 from civicflow.plans.store import CleanStore
 from civicflow.plans.tables import (
     clean_store,
@@ -49,6 +51,8 @@ from civicflow.streaming.ingest import read_progress
 # The demo slice and borough of the layout comparison.
 SLICE_BOROUGH = "BROOKLYN"
 SLICE_TYPE = "click-1"
+# A range of dates that the feed has at every size.
+SLICE_DATES = (datetime(2024, 1, 3), datetime(2024, 1, 4))
 # Head sample size; systematic sample: page, stride (no cap: the whole table).
 HEAD_N = 1000
 PAGE, STRIDE = 100, 1000
@@ -307,11 +311,20 @@ def layout_hash_spread(spark, sf_dir):
 
 
 def layout_scan_report(spark, sf_dir):
-    flat, hive, clustered = (layout_store(spark, sf_dir, k) for k in ("flat", "hive", "clustered"))
-    b = f"borough = '{SLICE_BOROUGH}'"
-    s = f"{b} AND complaint_type = '{SLICE_TYPE}'"
+    """Rows returned and rows that must be examined, of layouts whose files are fixed."""
+    flat, hive, clustered = (layout_store(spark, sf_dir, k) for k in ("arrival", "hive", "ranked"))
+    b, s = [equals("borough", SLICE_BOROUGH)], [equals("borough", SLICE_BOROUGH), equals("complaint_type", SLICE_TYPE)]
     probes = [("flat", flat, b), ("hive", hive, b), ("flat", flat, s), ("clustered", clustered, s)]
-    return layout.scan_report(spark, probes).drop("files_with_rows")
+    return layout.scan_report(spark, probes).drop("files_with_rows", "bytes_examined")
+
+
+def layout_curve_slices(spark, sf_dir):
+    """Slices by type alone and by date alone, from the layout along the curve."""
+    table = layout.read_layout(spark, layout_store(spark, sf_dir, "curve"))
+    probes = [equals("complaint_type", SLICE_TYPE)], [Within("created_date", *SLICE_DATES)]
+    return agg.union_frames(
+        [table.where(matches(p)).groupBy("borough").agg(agg.count_rows()).withColumn("filter", F.lit(p[0].column)) for p in probes]
+    )
 
 
 # ---- incremental ingest -------------------------------------------------------------
@@ -369,6 +382,7 @@ QUERIES: dict[str, Query] = {
     "layout_clustered_slice": layout_clustered_slice,
     "layout_hash_spread": layout_hash_spread,
     "layout_scan_report": layout_scan_report,
+    "layout_curve_slices": layout_curve_slices,
     "ingest_resumable": ingest_resumable,
     "ingest_progress": ingest_progress,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from civicflow.fixtures import read_table
 from civicflow.operators.sample import global_rank, head_sample, systematic_sample
 from civicflow.plans import layout
+from civicflow.plans.scanstats import equals
 from civicflow.plans.tables import clean_store
 from civicflow.session import scratch_path
 
@@ -28,7 +29,7 @@ def test_scan_report_shows_where_the_rows_stand(spark, sf01):
     flat, hive = scratch_path(spark, "t-report-flat"), scratch_path(spark, "t-report-hive")
     layout.write_flat(clean.repartition(6), flat)
     layout.write_partitioned(clean, hive)
-    condition = "borough = 'BROOKLYN'"
+    condition = [equals("borough", "BROOKLYN")]
     report = {r.layout: r for r in layout.scan_report(spark, [("flat", flat, condition), ("hive", hive, condition)]).collect()}
     assert report["flat"].rows_returned == report["hive"].rows_returned == 1893
     assert report["hive"].files_with_rows == 1 < report["flat"].files_with_rows == 6
