@@ -214,6 +214,12 @@ ORACLE_SQL: dict[str, str] = {
         "count(firsts.seq) AS written, count(*) FILTER (WHERE ok) - count(firsts.seq) AS duplicates "
         "FROM checked LEFT JOIN firsts ON firsts.seq = checked.seq GROUP BY batch_id", RAW, PARSED, _ARRIVALS,
     ),
+    "rollup_maintained": _with(
+        """SELECT aggregation_name, key, NULL AS other_key, count, replayed FROM kept, (VALUES (false), (true)) AS v(replayed)
+        UNION ALL SELECT 'slices', borough, complaint_type, count(*), replayed
+        FROM clean, (VALUES (false), (true)) AS v(replayed) GROUP BY borough, complaint_type, replayed""",
+        RAW, PARSED, CLEAN, _SUMMARY,
+    ),
     "src_jsonl": _on_raw(
         "SELECT seq, unique_key, agency, complaint_type, descriptor, open_data_channel_type, channel_type, "
         "status, borough, incident_zip, CAST(NULL AS VARCHAR) AS zip_code, latitude, longitude, created_date, "

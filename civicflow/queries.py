@@ -22,6 +22,7 @@ from civicflow.operators.validate import validity_flag
 from civicflow.plans import layout
 from civicflow.plans.batch import Outputs, clean_batch
 from civicflow.plans.clean import clean_rows, parse_requests, project_requests, quarantine_rows
+from civicflow.plans.rollup import Rollup, rollup_answers
 from civicflow.plans.scanstats import Within, equals, matches
 from civicflow.plans.store import CleanStore
 from civicflow.plans.tables import (
@@ -337,6 +338,20 @@ def ingest_progress(spark, sf_dir):
     return read_progress(spark, ingest_store(spark, sf_dir))
 
 
+def rollup_maintained(spark, sf_dir):
+    """The published answers and all slices from the counts that the ingest kept, one batch replayed, then compacted."""
+    paths = ingest_store(spark, sf_dir)
+    store, kept, rollup = CleanStore(paths.clean).read(spark), Rollup(paths.rollup), Rollup(scratch_path(spark, "rollup-replayed"))
+    newest = store.agg(F.max("batch_id")).first()[0]
+    rollup.add(store.where(F.col("batch_id") < newest), newest - 1)
+    for _ in range(2):
+        rollup.add(store.where(F.col("batch_id") == newest), newest)
+    rollup.compact(spark)
+    return rollup_answers(kept.read(spark)).withColumn("replayed", F.lit(False)).unionByName(
+        rollup_answers(rollup.read(spark)).withColumn("replayed", F.lit(True))
+    )
+
+
 QUERIES: dict[str, Query] = {
     "src_jsonl": src_jsonl,
     "land_raw": land_raw_q,
@@ -385,4 +400,5 @@ QUERIES: dict[str, Query] = {
     "layout_curve_slices": layout_curve_slices,
     "ingest_resumable": ingest_resumable,
     "ingest_progress": ingest_progress,
+    "rollup_maintained": rollup_maintained,
 }

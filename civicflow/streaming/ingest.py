@@ -2,6 +2,7 @@
 
     readStream(landing lines) - foreachBatch: parse
         valid - keep_first(unique_key, ingest order) - not in other batches - clean partition, key bitmaps
+            what was written - counts of the batch in the maintained rollup
         invalid - quarantine partition
         counts - progress partition
 
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 
 from civicflow.operators.validate import is_valid
 from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows
+from civicflow.plans.rollup import Rollup
 from civicflow.plans.store import STORE_SCHEMA, CleanStore
 from civicflow.schema import QUARANTINE_SCHEMA
 from civicflow.sources.jsonl import lenient_fields, placed, stream_lines, strict_fields
@@ -44,6 +46,10 @@ class IngestPaths:
     def progress(self) -> str:
         return f"{self.clean}-progress"
 
+    @property
+    def rollup(self) -> str:
+        return f"{self.clean}-rollup"
+
 
 def _write_batch(paths: IngestPaths):
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -51,6 +57,7 @@ def _write_batch(paths: IngestPaths):
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             written = CleanStore(paths.clean).add(clean_rows(batch), batch_id)
+            Rollup(paths.rollup).add(written, batch_id)
             write_quarantine(quarantine_rows(batch, batch_id), paths.quarantine)
             counts = batch.agg(
                 F.count(F.lit(1)).alias("rows"), F.count_if(~is_valid()).alias("bad"), F.lit(0).alias("written")
