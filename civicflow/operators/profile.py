@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicflow.schema import INTERNAL_COLUMNS, RAW_LINE, SEQ
-from civicflow.sources.jsonl import undeclared_keys
+from civicflow.sources.jsonl import json_kind, undeclared_keys
 
 # Types whose zeros are counted ("unknown" coordinates are stored as 0.0).
 ZERO_COUNTED_TYPES = (T.DoubleType, T.LongType)
@@ -63,15 +63,53 @@ def null_ranking(
     ]
     ranked = _long_form(one, entries)
     if RAW_LINE in df.columns:
-        all_keys = Window.partitionBy()  # one row per key
-        rows = F.max(F.when(F.col("column_name").isNull(), F.col("filled"))).over(all_keys)
-        number = F.row_number().over(all_keys.orderBy(F.col("column_name").asc_nulls_first())) - 2 + len(cols)
-        keys = undeclared_keys(df).select("column_name", number.alias("ordinal"), "filled", rows.alias("rows"))
-        more = keys.where("column_name is not null").withColumn("nulls", F.col("rows") - F.col("filled")).drop("filled")
-        ranked = ranked.unionByName(more)
+        ranked = ranked.unionByName(_undeclared_ranking(df, top, len(cols)))
     return ranked.orderBy(F.col("nulls").desc(), F.col("ordinal")).limit(top)
 
 
+def _undeclared_ranking(df: DataFrame, top: int, first: int) -> DataFrame:
+    """The ``top`` undeclared keys with most nulls; ``ordinal`` is their place in the alphabet, from ``first``.
+
+    However many keys there are: an ordered limit picks them, and only their places are counted.
+    """
+    counted = undeclared_keys(df).withColumn("_one", F.lit(1))
+    total = counted.where("column_name is null").select("_one", F.col("filled").alias("rows"))  # one row
+    named = counted.where("column_name is not null")
+    picked = (
+        named.join(F.broadcast(total), "_one")
+        .select("column_name", (F.col("rows") - F.col("filled")).alias("nulls"), "rows")
+        .orderBy(F.col("nulls").desc(), "column_name")
+        .limit(top)
+    )
+    later = picked.select(F.col("column_name").alias("_later"))  # ``top`` rows
+    before = named.select(F.col("column_name").alias("_other")).join(F.broadcast(later), F.col("_other") < F.col("_later"))
+    place = before.groupBy(F.col("_later").alias("column_name")).agg(F.count(F.lit(1)).alias("_before"))
+    ordinal = (F.coalesce("_before", F.lit(0)) + first).cast("int")
+    return picked.join(place, "column_name", "left").select("column_name", ordinal.alias("ordinal"), "nulls", "rows")
+
+
+def feed_schema(lines: DataFrame) -> DataFrame:
+    """Every key of the records, declared or not: JSON types seen, merged type, rows with a value, null and absent.
+
+    Types merge as they are aggregated (numbers widen, others that disagree become VARIANT, nested objects field by
+    field), so each task sends one row per key.  Lines that are no JSON object have no keys and count as absent.
+    """
+    values = lines.select(F.try_parse_json(RAW_LINE).alias("_record"))
+    fields = values.lateralJoin(values.sparkSession.tvf.variant_explode(F.col("_record").outer()))
+    seen = fields.where(F.col("key").isNotNull()).select("key", "value", json_kind(F.col("value")).alias("kind"))
+    keys = seen.groupBy(F.col("key").alias("column_name")).agg(
+        F.array_join(F.sort_array(F.collect_set("kind")), ",").alias("types"),
+        F.schema_of_variant_agg("value").alias("merged_type"),
+        F.count_if(F.col("kind") != "null").alias("filled"),
+        F.count_if(F.col("kind") == "null").alias("nulls"),
+        F.lit(1).alias("_one"),
+    )
+    total = lines.agg(F.count(F.lit(1)).alias("rows"), F.lit(1).alias("_one"))  # one row
+    return keys.join(F.broadcast(total), "_one").select(
+        "column_name", "types", "merged_type", "filled", "nulls", (F.col("rows") - F.col("filled") - F.col("nulls")).alias("absent")
+    )
+
+
 def frame_shape(df: DataFrame) -> DataFrame:
     """rows x columns and the schema as text (the raw profile's header line)."""
     fields = [f for f in df.schema.fields if f.name not in INTERNAL_COLUMNS]

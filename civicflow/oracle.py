@@ -166,6 +166,26 @@ def _files(name: str, file: str) -> str:
 ORACLE_SQL: dict[str, str] = {
     "feed_landing": _with("SELECT unique_key, request_ref, agency_name FROM feed", RAW, FEED),
     "feed_profile": _with(f"SELECT * FROM ({_FEED_RANK}) t ORDER BY nulls DESC, ordinal LIMIT 15", RAW, FEED),
+    # Keys in the typed lines: numbers where 19 divides seq, an explicit null where 23 does; no other null is written.
+    "feed_schema": _on_raw(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, '{types}' AS types, '{merged}' AS merged_type, count({value}) AS filled, "
+            f"{nulls} AS nulls, count(*) - count({value}) - {nulls} AS absent FROM raw"
+            for c, types, merged, value, nulls in (
+                ("seq", "number", "BIGINT", "seq", "0"),
+                ("unique_key", "number,string", "VARIANT", "unique_key", "0"),
+                ("open_data_channel_type", "null,string", "STRING", "CASE WHEN seq % 23 <> 0 THEN open_data_channel_type END",
+                 "count(*) FILTER (WHERE seq % 23 = 0)"),
+                ("channel_type", "string", "STRING", "CASE WHEN seq % 23 = 0 THEN 'PHONE' ELSE channel_type END", "0"),
+                *[(c, "string", "STRING", c, "0") for c in ("agency", "complaint_type", "descriptor", "status", "borough",
+                                                            "incident_zip", "latitude", "longitude", "created_date")],
+            )
+        )
+    ),
+    "raw_fallback": _with(
+        "SELECT 'store' AS source, count(*) AS count, count(DISTINCT unique_key) AS keys FROM feed WHERE request_ref LIKE '%7' "
+        "UNION ALL SELECT 'file', count(*), count(DISTINCT unique_key) FROM feed UNION ALL SELECT 'nothing', 0, 0", RAW, FEED,
+    ),
     "feed_quarantine": _with(
         "SELECT record_id, error_fields, feed.request_ref, feed.agency_name, feed.created_date "
         "FROM quarantined JOIN feed USING (seq)", RAW, PARSED, QUARANTINE, FEED,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from civicflow.fixtures import RAW_FIXTURE_COLUMNS, raw_requests, read_table, typed_lines, write_public_feed
 from civicflow.operators import aggregate as agg
-from civicflow.operators.profile import health_check, null_ranking
+from civicflow.operators.profile import feed_schema, health_check, null_ranking
 from civicflow.operators.sample import head_sample, systematic_sample
 from civicflow.operators.summary import explode_records, summary_answers, summary_records
 from civicflow.operators.validate import validity_flag
@@ -36,7 +36,7 @@ from civicflow.plans.tables import (
 )
 from civicflow.schema import CLEAN_SCHEMA, CORRUPT_RECORD, RAW_LINE, RAW_SCHEMA, SEQ
 from civicflow.session import scratch_path
-from civicflow.sources.jsonl import arrival_bounds, in_arrival, read_jsonl, read_jsonl_strict, write_jsonl
+from civicflow.sources.jsonl import arrival_bounds, first_non_empty, in_arrival, read_jsonl, read_lines, strict_fields, write_jsonl
 from civicflow.sources.sinks import (
     export_csv,
     land_raw,
@@ -180,6 +180,27 @@ def feed_profile(spark, sf_dir):
     return null_ranking(read_jsonl(spark, public_feed_store(spark, sf_dir)), top=15)
 
 
+def feed_schema_q(spark, sf_dir):
+    """Keys that are numbers in some lines and texts in others, and explicit nulls."""
+    return feed_schema(_typed_lines(spark, sf_dir))
+
+
+def raw_fallback(spark, sf_dir):
+    """The raw source: the store if it has rows, else the file, else nothing."""
+    feed = read_jsonl(spark, public_feed_store(spark, sf_dir))
+    path, empty = scratch_path(spark, "fallback"), scratch_path(spark, "fallback-empty")
+    land_raw(feed.where(F.get_json_object(RAW_LINE, "$.request_ref").endswith("7")), path)
+    land_raw(feed.limit(0), empty)
+    store, nothing = read_raw(spark, path, feed.schema), read_raw(spark, empty, feed.schema)
+    chosen = {"store": (store, feed), "file": (nothing, feed), "nothing": (nothing, None)}
+    parts = []
+    for name, candidates in chosen.items():
+        found = first_non_empty(*candidates)
+        rows = (nothing if found is None else found).agg(agg.count_rows(), F.count_distinct("unique_key").alias("keys"))
+        parts.append(rows.withColumn("source", F.lit(name)))
+    return agg.union_frames(parts)
+
+
 def feed_quarantine(spark, sf_dir):
     bad = quarantine_rows(parse_requests(read_jsonl(spark, public_feed_store(spark, sf_dir))))
     return bad.select(
@@ -215,10 +236,14 @@ def batch_two_runs(spark, sf_dir):
 
 # ---- strict reading: JSON types, absent against null ---------------------------------
 
-def _typed(spark, sf_dir):
+def _typed_lines(spark, sf_dir):
     path = scratch_path(spark, "typed-lines")
     typed_lines(read_table(spark, sf_dir, "events")).write.text(path)
-    return read_jsonl_strict(spark, path)
+    return read_lines(spark, path)
+
+
+def _typed(spark, sf_dir):
+    return strict_fields(_typed_lines(spark, sf_dir))
 
 
 def clean_strict(spark, sf_dir):
@@ -373,6 +398,8 @@ QUERIES: dict[str, Query] = {
     "dedup_cross_batch": dedup_cross_batch,
     "feed_landing": feed_landing,
     "feed_profile": feed_profile,
+    "feed_schema": feed_schema_q,
+    "raw_fallback": raw_fallback,
     "feed_quarantine": feed_quarantine,
     "feed_dedup": feed_dedup,
     "batch_two_runs": batch_two_runs,

@@ -110,7 +110,7 @@ def first_non_empty(*candidates: DataFrame | None) -> DataFrame | None:
     return None
 
 
-def _json_kind(v: Column) -> Column:
+def json_kind(v: Column) -> Column:
     """JSON type label of a variant value (SQL NULL = key absent)."""
     t = F.schema_of_variant(v)
     return (
@@ -139,7 +139,7 @@ def strict_fields(lines: DataFrame) -> DataFrame:
         F.when(v.isNull(), F.col(RAW_LINE)).alias(CORRUPT_RECORD),
         RAW_LINE,
         *others,
-        F.struct(*[_json_kind(F.variant_get(v, f"$.{f}", "variant")).alias(f) for f in RAW_FIELDS]).alias(JSON_TYPES),
+        F.struct(*[json_kind(F.variant_get(v, f"$.{f}", "variant")).alias(f) for f in RAW_FIELDS]).alias(JSON_TYPES),
     )
 
 

@@ -4,10 +4,11 @@ import json
 import os
 import shutil
 
+from civicflow.operators.profile import feed_schema, null_ranking
 from civicflow.plans.batch import Outputs, clean_batch
 from civicflow.plans.tables import clean_store
 from civicflow.session import scratch_path
-from civicflow.sources.jsonl import read_jsonl
+from civicflow.sources.jsonl import read_jsonl, read_lines
 from civicflow.sources.sinks import read_clean, read_quarantine
 
 GOOD = dict(agency="AG", complaint_type="T", channel_type="WEB", borough="north", created_date="2025-01-02T03:04:05")
@@ -51,3 +52,24 @@ def test_a_replaced_file_gives_new_answers(spark, sf001, tmp_path):
     os.utime(target / "part.parquet", (1, 1))
     after = {r.unique_key for r in clean_store(spark, str(tmp_path / "in")).collect()}
     assert before and after and not before & after
+
+
+def test_schema_of_a_feed(spark):
+    lines = ['{"a": 1, "b": {"x": [1]}}', '{"a": 2.5, "b": {"y": "t"}}', '{"a": null, "c": true}', "not json", "[1]", '{"c": "t"}']
+    path = scratch_path(spark, "t-schema")
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    got = {r.column_name: tuple(r)[1:] for r in feed_schema(read_lines(spark, path)).collect()}
+    assert got["a"][0] == "null,number" and got["a"][2:] == (2, 1, 3)
+    assert got["b"] == ("object", "OBJECT<x: ARRAY<BIGINT>, y: STRING>", 2, 0, 4)
+    assert got["c"] == ("boolean,string", "VARIANT", 2, 0, 4) and set(got) == {"a", "b", "c"}
+
+
+def test_many_undeclared_keys_are_ranked_without_one_task(spark):
+    path = scratch_path(spark, "t-keys")
+    lines = [json.dumps({f"k{i:03d}": 1, "all": 2, **({"most": 3} if i else {})}) for i in range(200)]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    ranking = null_ranking(read_jsonl(spark, path), top=216)
+    rows = {r.column_name: (r.ordinal, r.nulls, r.rows) for r in ranking.collect()}
+    declared = len([k for k in rows if not k.startswith("k0") and not k.startswith("k1") and k not in ("all", "most")])
+    assert rows["all"] == (declared, 0, 200) and rows["k000"] == (declared + 1, 199, 200) and rows["most"] == (declared + 201, 1, 200)
+    assert "Window" not in ranking._jdf.queryExecution().executedPlan().toString()
