@@ -32,6 +32,8 @@ GRAM_WORDS = 20
 WINDOW_WORDS = 6
 #: How many fingerprints of a document are searched for an earlier equal one; beyond, its home counts.
 LOOK_BACK = 1024
+#: How many next lines are looked at one by one.
+NEXT = 4
 #: Lines per step of the running word count.
 STEP = 128
 CUT = "\x01"
@@ -88,8 +90,9 @@ def line_table(documents: DataFrame) -> DataFrame:
         counted(lambda t: blanks(t) + 1)
     )
     body = lambda own: F.struct(own.alias("lines"), let(selected_grams(own), with_earlier).alias("prints"))
-    rows = documents.select(*_order(), let(lines, body).alias("_doc")).select("d1", "d2", "_doc.*")
-    return rows.where(F.size("lines") > 0)
+    # A text has lines if it has more than blanks.  A filter on the lines would be pushed below and form them twice.
+    some = documents.where(F.trim(F.col("text"), F.lit(BLANKS)) != "")
+    return some.select(*_order(), let(lines, body).alias("_doc")).select("d1", "d2", "_doc.*")
 
 
 def selected_grams(lines: Column) -> Column:
@@ -110,19 +113,35 @@ def selected_grams(lines: Column) -> Column:
 
 
 def _reach(ws: Column, s: Column, i: Column, words: int) -> Column:
-    """How many lines begin within ``words`` words from line i on, which begins at word s."""
-    return F.size(F.filter(F.slice(ws, i + 1, words), lambda x: x < s + words))
+    """How many lines begin within ``words`` words from line i on, which begins at word s.
+
+    Mostly few: the first ``NEXT`` are looked at one by one, and only then all that there can be.
+    """
+    beyond = lambda k: F.coalesce(F.get(ws, i + k) >= s + words, F.lit(True))
+    reach = F.size(F.filter(F.slice(ws, i + 1, words), lambda x: x < s + words))
+    for k in reversed(range(1, NEXT + 1)):
+        reach = F.when(beyond(k), F.lit(k)).otherwise(reach)
+    return reach
 
 
 def winnowed(ws: Column, g: Column) -> Column:
     """(idx, g) of the grams that are the least of a window."""
-    least = F.transform(ws, lambda s, i: F.array_min(F.slice(g, i + 1, _reach(ws, s, i, WINDOW_WORDS))))
+    alone = lambda s, i: F.coalesce(F.get(ws, i + 1) >= s + WINDOW_WORDS, F.lit(True))
+    least = F.transform(
+        ws,
+        lambda s, i: F.when(alone(s, i), F.get(g, i)).otherwise(
+            F.array_min(F.slice(g, i + 1, _reach(ws, s, i, WINDOW_WORDS)))
+        ),
+    )
 
     def chosen(low: Column, s: Column, i: Column) -> Column:
         # The windows that gram i lies in begin at most WINDOW_WORDS - 1 words before it.
         many = F.least(i + 1, F.lit(WINDOW_WORDS))
         back = F.size(F.filter(F.slice(ws, i + 2 - many, many), lambda x: x > s - WINDOW_WORDS))
-        return let(back, lambda n: F.array_max(F.slice(low, i + 2 - n, n)) == F.get(g, i))
+        far = F.coalesce(F.get(ws, i - 1) <= s - WINDOW_WORDS, F.lit(True))
+        return F.when(far, F.get(low, i) == F.get(g, i)).otherwise(
+            let(back, lambda n: F.array_max(F.slice(low, i + 2 - n, n)) == F.get(g, i))
+        )
 
     marked = let(
         least,
