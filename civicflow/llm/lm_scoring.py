@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import GOLDEN, Words, id_remainder, mix64, slices, stored
 
 #: Text per block.
-BLOCK_BYTES = 10 << 20
+BLOCK_BYTES = 6 << 20
 #: Entries (words and pairs, summed over blocks) per bucket: what one task holds at a time.
 BUCKET_ENTRIES = 1_000_000
 #: crc32(doc_id) mod 7: 2 is held out from training; of the training documents, 5 is the deleted part.
@@ -122,6 +122,7 @@ def blocks(documents: DataFrame) -> DataFrame:
                 rows = batch.filter(pa.array(parts == p))
                 b = make_block(rows.column("text"), rows.column("doc_id").to_pylist())
                 number += 1
+                pa.default_memory_pool().release_unused()
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([number]), pa.array([int(p)], pa.int32()), pa.array([b.docs], pa.list_(pa.int64())),
@@ -179,7 +180,8 @@ def entries(table: DataFrame, buckets: int) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):  # one block at a time, however many a batch has
+                (row,) = batch.slice(i, 1).to_pylist()
                 b = load_block(row)
                 code, _, n_pairs = b.pairs()
                 n_words = np.bincount(b.stream, minlength=len(b.vocabulary))
@@ -194,6 +196,7 @@ def entries(table: DataFrame, buckets: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(cols, kinds)], names=[c.split()[0] for c in ENTRY_SCHEMA.split(", ")]
                 )
+                pa.default_memory_pool().release_unused()
 
     return table.mapInArrow(deal, ENTRY_SCHEMA)
 

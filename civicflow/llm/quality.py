@@ -264,10 +264,6 @@ def quality_scores(documents: DataFrame, labels: DataFrame, train_rows: int = TR
 def keep_quality(documents: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of ``documents``, all columns unchanged, that the classifier does not reject."""
     held = "_quality_stats"
-    stats = stored(
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), stats_udf("text").alias("stats")), "stats"
-    )
-    model = fit_quality(stats, labels, train_rows)
-    return (
-        documents.withColumn(held, stats_udf("text")).where(model.score(held) >= 0.5).select(*documents.columns)
-    )
+    rows = stored(documents.withColumn(held, stats_udf("text")), "with-stats")
+    model = fit_quality(rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(held).alias("stats")), labels, train_rows)
+    return rows.where(model.score(held) >= 0.5).select(*documents.columns)
