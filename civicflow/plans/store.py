@@ -62,5 +62,6 @@ class CleanStore:
         finally:
             winners.unpersist()
         written = self.read(spark).where(F.col(BATCH) == batch_id)
-        write_batch(key_bitmaps(written, KEY, self.space).select("*", number), self.filters)
+        if not written.isEmpty():
+            write_batch(key_bitmaps(written, KEY, self.space).select("*", number), self.filters)
         return written

@@ -57,7 +57,8 @@ def _write_batch(paths: IngestPaths):
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             written = CleanStore(paths.clean).add(clean_rows(batch), batch_id)
-            Rollup(paths.rollup).add(written, batch_id)
+            if not written.isEmpty():
+                Rollup(paths.rollup).add(written, batch_id)
             write_quarantine(quarantine_rows(batch, batch_id), paths.quarantine)
             counts = batch.agg(
                 F.count(F.lit(1)).alias("rows"), F.count_if(~is_valid()).alias("bad"), F.lit(0).alias("written")
