@@ -8,6 +8,8 @@ window, and the regex library's bounded-error matching verifies the window and g
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -99,48 +101,61 @@ class Scanner:
     def _words(found: bytes) -> list[str]:
         return [w.decode("utf-8", "replace") for w in re.findall(WORD_CLASS + rb"+", found)]
 
-    def matches(self, k: int, low: str, a: int, b: int) -> Iterator[regex.Match]:
-        """The best match of notice k in a window, then the best ones before and after it, and so on."""
-        notice, _, edits = self.notices[k]
-        parts = [(a, b)]
-        while parts:
-            a, b = parts.pop()
-            m = self.patterns[k].search(low, a, b) if b - a >= len(notice) - edits else None
-            if m:
-                yield m
-                parts += [(a, m.start()), (m.end(), b)]
+    def candidate(self, low: str, k: int, a: int, b: int) -> tuple | None:
+        """The best match of notice k in characters a to b, in the order in which matches are taken."""
+        notice, label, edits = self.notices[k]
+        m = self.patterns[k].search(low, a, b) if b - a >= len(notice) - edits else None
+        if not m:
+            return None
+        wrong = sum(m.fuzzy_counts)
+        return wrong / len(notice), -len(notice), m.start(), label, m.end(), wrong, k, a, b
 
     def spans(self, low: str) -> list[tuple[str, int, int, int, int]]:
-        """(label, first character, end, edits, notice length) of the notices found, the best matches of each seeded window."""
-        windows: dict[int, list[tuple[int, int]]] = {}
+        """(label, first character, end, edits, notice length) of the notices found.
+
+        Notices resemble each other; where matches overlap, the one with the least share of edits stays, and
+        what it leaves of the other's window is searched again.  A window is bounded by its notice's length, so
+        the time grows with the seeds and not with their square.
+        """
+        starts: dict[int, set[int]] = {}
         for end, (length, places) in self.automaton.iter(low):
-            start = end - length + 1
             for k, at in places:
-                notice, _, edits = self.notices[k]
-                a = max(0, start - at - edits)
-                windows.setdefault(k, []).append((a, min(len(low), start - at + len(notice) + edits)))
-        found = []
-        for k, areas in windows.items():
-            notice, label, _ = self.notices[k]
-            for a, b in merged(areas):
-                for m in self.matches(k, low, a, b):
-                    found.append((label, m.start(), m.end(), sum(m.fuzzy_counts), len(notice)))
-        # Notices resemble each other; where matches overlap, the one with the least share of edits stays.
+                starts.setdefault(k, set()).add(end - length + 1 - at)
+        heap = []
+        for k, at in starts.items():
+            notice, _, edits = self.notices[k]
+            for first, last in clusters(at, edits):
+                heap.append(self.candidate(low, k, max(0, first - edits), min(len(low), last + len(notice) + edits)))
+        heap = [c for c in heap if c]
+        heapq.heapify(heap)
+        ends: list[int] = []  # of the spans kept, ascending, as they stand in the text
         kept: list[tuple[str, int, int, int, int]] = []
-        for s in sorted(found, key=lambda s: (s[3] / s[4], -s[4], s[1], s[0])):
-            if all(s[2] <= k[1] or s[1] >= k[2] for k in kept):
-                kept.append(s)
-        return sorted(kept, key=lambda s: s[1])
-
-
-def merged(areas: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for a, b in sorted(areas):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
+        while heap:
+            _, size, start, label, end, wrong, k, a, b = heapq.heappop(heap)
+            at = bisect.bisect_right(ends, start)
+            if at == len(ends) or kept[at][1] >= end:
+                ends.insert(at, end)
+                kept.insert(at, (label, start, end, wrong, -size))
+                continue
+            at = bisect.bisect_right(ends, a)
+            while a < b:
+                stop, after = (kept[at][1], kept[at][2]) if at < len(kept) else (b, b)
+                c = self.candidate(low, k, a, min(stop, b))
+                if c:
+                    heapq.heappush(heap, c)
+                a, at = after, at + 1
+        return kept
+
+
+def clusters(positions: set[int], width: int) -> list[tuple[int, int]]:
+    """Ascending positions in runs that span at most ``width``."""
+    out: list[tuple[int, int]] = []
+    for p in sorted(positions):
+        if out and p - out[-1][0] <= width:
+            out[-1] = (out[-1][0], p)
         else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+            out.append((p, p))
+    return out
 
 
 def scan_licenses(documents: DataFrame, notices: dict[str, str] = NOTICES) -> DataFrame:

@@ -1,4 +1,8 @@
+import random
 import re
+import time
+
+import numpy as np
 
 from civicflow.llm import licenses
 from civicflow.llm.queries import op10_licenses
@@ -81,3 +85,73 @@ def test_neighbouring_notices_with_different_edits():
         assert len(spans) == len(want) >= 2
         for (_, a, b, edits, _), (at, wrong) in zip(spans, want):
             assert abs(a - at) <= 1 and edits == wrong, (text, spans)
+
+
+def edit_scan(notice, text):
+    """Per end position the least number of edits between the notice and a part of the text that ends there."""
+    codes = np.array([ord(c) for c in notice])
+    col, out = np.arange(len(notice) + 1), []
+    steps = np.arange(len(notice) + 1)
+    for c in text:
+        new = np.minimum(col + 1, np.r_[0, col[:-1] + (codes != ord(c))])
+        col = np.minimum.accumulate(new - steps) + steps
+        out.append(int(col[-1]))
+    return out
+
+
+def distance(notice, part):
+    col = list(range(len(part) + 1))
+    for i, a in enumerate(notice, 1):
+        diag, col[0] = col[0], i
+        for j, b in enumerate(part, 1):
+            diag, col[j] = col[j], min(col[j] + 1, col[j - 1] + 1, diag + (a != b))
+    return col[-1]
+
+
+def test_spans_against_a_full_edit_distance_scan():
+    rng = random.Random(11)
+    scanner = licenses.Scanner()
+    notices = list(licenses.NOTICES)
+
+    def edited(notice, most):
+        chars = list(notice)
+        for _ in range(rng.randint(0, most)):
+            at = rng.randrange(len(chars))
+            chars[at : at + 1] = rng.choice([[], [rng.choice("aeiou ,")], [chars[at], rng.choice("xyz ")]])
+        return "".join(chars)
+
+    seen = 0
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 6)):
+            notice = rng.choice(notices)
+            parts.append(edited(notice, licenses.edits_allowed(notice) + 1))
+            parts.append(rng.choice(["", " ", "; some words between ", " license under the "]))
+        text = "".join(parts)
+        spans = scanner.spans(text)
+        assert all(x[2] <= y[1] for x, y in zip(spans, spans[1:]))
+        for label, a, b, edits, size in spans:
+            of = [n for n in notices if licenses.NOTICES[n] == label and len(n) == size]
+            assert edits <= size * licenses.EDIT_SHARE and edits in {distance(n, text[a:b]) for n in of}
+        for notice in notices:
+            for end, wrong in enumerate(edit_scan(notice, text), 1):
+                if wrong <= licenses.edits_allowed(notice):
+                    seen += 1
+                    # Every place within the bound meets a span that is no worse.
+                    assert any(
+                        a < end and b > end - len(notice) - wrong and e / n <= wrong / len(notice) + 1e-9 for _, a, b, e, n in spans
+                    ), (notice, end, wrong, text, spans)
+    assert seen > 500
+
+
+def test_time_is_linear_in_repeated_notices():
+    scanner = licenses.Scanner()
+    took = []
+    for n in (400, 6400):
+        for notice in ("all rights reservd. ", "all rights reserved. "):
+            text = notice * n
+            at = time.perf_counter()
+            spans = scanner.spans(text)
+            took.append(time.perf_counter() - at)
+            assert [s[1] for s in spans] == list(range(0, len(text), len(notice)))
+    assert took[2] + took[3] < 16 * 5 * (took[0] + took[1])  # 16 times the text; quadratic would be 256 times
