@@ -313,4 +313,5 @@ ORACLE_SQL: dict[str, str] = {
         "count(*) AS count FROM clean GROUP BY 1, 2"
     ),
     "ingest_resumable": _CLEAN_ALL,
+    "ingest_compacted": _CLEAN_ALL,
 }

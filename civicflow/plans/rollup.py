@@ -54,6 +54,9 @@ class Rollup:
         ensure_table(spark, f"{folder}/batches", BATCH_COUNTS, BATCH)
         return spark.read.schema(COUNTS).parquet(f"{folder}/base"), spark.read.schema(BATCH_COUNTS).parquet(f"{folder}/batches")
 
+    def has_merged(self, spark: SparkSession, batch_id: int) -> bool:
+        return batch_id <= self.versions.current(spark)[1]
+
     def add(self, clean: DataFrame, batch_id: int) -> None:
         """Counts of the rows that a batch wrote; the same batch again replaces them."""
         spark = clean.sparkSession
@@ -78,7 +81,7 @@ class Rollup:
         folder = self.versions.folder(version + 1)
         older = batches.where(F.col(BATCH) < newest).drop(BATCH)
         merged(base.unionByName(older)).write.mode("overwrite").parquet(f"{folder}/base")
-        write_batch(batches.where(F.col(BATCH) == newest), f"{folder}/batches")
+        write_batch(batches.where(F.col(BATCH) == newest), f"{folder}/batches", whole=True)
         self.versions.publish(spark, version + 1, newest - 1)
 
     def release_old(self, spark: SparkSession) -> None:

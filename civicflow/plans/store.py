@@ -3,7 +3,8 @@
     store     batch_id / bucket / rows        bucket = hash of unique_key
     filters   batch_id / bitmaps of the batch's keys
 
-Both are partitioned by batch, and a repeated batch replaces what it wrote.  A batch is compared with the other
+Both are partitioned by batch, and a repeated batch replaces what it wrote; ``compact`` merges older batches
+(``sources/batches.py``).  A batch is compared with the other
 batches only, and of those only with the buckets that its keys may be in (``operators/keyfilter.py``).
 """
 
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 
 from civicflow.operators.keyfilter import BUCKET, FILTER_SCHEMA, KeySpace, drop_known, key_bitmaps
 from civicflow.schema import BATCH, CLEAN_SCHEMA
-from civicflow.sources.sinks import ensure_table, write_batch
+from civicflow.sources.batches import BatchTable
 
 KEY = "unique_key"
 STORE_SCHEMA = T.StructType(
@@ -32,36 +33,60 @@ class CleanStore:
     space: KeySpace = KeySpace()
 
     @property
-    def filters(self) -> str:
-        return f"{self.path}-filters"
+    def rows(self) -> BatchTable:
+        return BatchTable(self.path, STORE_SCHEMA, (BUCKET,))
+
+    @property
+    def filters(self) -> BatchTable:
+        return BatchTable(f"{self.path}-filters", FILTER_SCHEMA, combine=_one_bitmap)
 
     def ensure(self, spark: SparkSession) -> None:
-        ensure_table(spark, self.path, STORE_SCHEMA, BATCH, BUCKET)
-        ensure_table(spark, self.filters, FILTER_SCHEMA, BATCH)
+        self.rows.ensure(spark)
+        self.filters.ensure(spark)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(STORE_SCHEMA).parquet(self.path)
+        return self.rows.read(spark)
+
+    def read_clean(self, spark: SparkSession) -> DataFrame:
+        return self.read(spark).select(*CLEAN_SCHEMA.fieldNames())
 
     def read_filters(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(FILTER_SCHEMA).parquet(self.filters)
+        return self.filters.read(spark)
 
     def add(self, winners: DataFrame, batch_id: int) -> DataFrame:
         """Writes the rows of ``winners`` (one per key) whose key no other batch has; gives what the store has of the batch.
 
-        Rows first, then their bitmaps: a run that ends in between is replayed, and both are replaced.
+        Rows first, then their bitmaps: a run that ends in between is replayed, and both are replaced.  A batch that
+        has been merged is written for good; if it comes again, nothing changes.
         """
         spark = winners.sparkSession
         self.ensure(spark)
         others = F.col(BATCH) != batch_id
         number = F.lit(batch_id).cast("long").alias(BATCH)
+        if self.rows.has_merged(spark, batch_id):
+            return self.read(spark).where(~others)
         winners.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             new = drop_known(winners, self.read(spark).where(others), self.read_filters(spark).where(others), KEY, self.space)
             bucketed = new.select(*CLEAN_SCHEMA.fieldNames(), number, self.space.bucket(KEY).alias(BUCKET))
-            write_batch(bucketed.hint("rebalance", BUCKET), self.path, BUCKET)
+            self.rows.write(bucketed.hint("rebalance", BUCKET))
         finally:
             winners.unpersist()
-        written = self.read(spark).where(F.col(BATCH) == batch_id)
+        written = self.rows.recent(spark).where(~others)
         if not written.isEmpty():
-            write_batch(key_bitmaps(written, KEY, self.space).select("*", number), self.filters)
+            self.filters.write(key_bitmaps(written, KEY, self.space).select("*", number))
         return written
+
+    def compact(self, spark: SparkSession) -> None:
+        """Merges batch folders, rows first: a batch whose rows are merged is not compared any more."""
+        self.rows.compact(spark)
+        self.filters.compact(spark)
+
+    def release_old(self, spark: SparkSession) -> None:
+        self.rows.release_old(spark)
+        self.filters.release_old(spark)
+
+
+def _one_bitmap(filters: DataFrame) -> DataFrame:
+    """One bitmap per bucket and slot, as of the newest batch in it."""
+    return filters.groupBy(BUCKET, "slot").agg(F.bitmap_or_agg("bits").alias("bits"), F.max(BATCH).alias(BATCH))

@@ -162,7 +162,7 @@ def _cross_batch(spark, raw):
     store = CleanStore(scratch_path(spark, "cross-batch"))
     for batch_id, (lo, hi) in enumerate(arrival_bounds(raw, 2)):
         store.add(clean_rows(parse_requests(raw.where(in_arrival(lo, hi)))), batch_id)
-    return read_clean(spark, store.path)
+    return store.read_clean(spark)
 
 
 # ---- the feed as published: whole lines, undeclared fields, no record numbers --------
@@ -356,13 +356,25 @@ def layout_curve_slices(spark, sf_dir):
 # ---- incremental ingest -------------------------------------------------------------
 
 def ingest_resumable(spark, sf_dir):
-    return read_clean(spark, ingest_store(spark, sf_dir).clean)
+    return CleanStore(ingest_store(spark, sf_dir).clean).read_clean(spark)
 
 
 def ingest_progress(spark, sf_dir):
     return read_progress(spark, ingest_store(spark, sf_dir))
 
 
+def ingest_compacted(spark, sf_dir):
+    """The clean store after arrivals with compactions between them; the newest and a merged batch come again."""
+    raw = raw_requests(spark, sf_dir)
+    store = CleanStore(scratch_path(spark, "compacted"))
+    arrivals = list(enumerate(arrival_bounds(raw, 5)))
+    for batch_id, (lo, hi) in [*arrivals, arrivals[-1], arrivals[1]]:
+        store.add(clean_rows(parse_requests(raw.where(in_arrival(lo, hi)))), batch_id)
+        if batch_id in (2, 4):
+            store.compact(spark)
+    return store.read_clean(spark)
+
+
 def rollup_maintained(spark, sf_dir):
     """The published answers and all slices from the counts that the ingest kept, one batch replayed, then compacted."""
     paths = ingest_store(spark, sf_dir)
@@ -427,5 +439,6 @@ QUERIES: dict[str, Query] = {
     "layout_curve_slices": layout_curve_slices,
     "ingest_resumable": ingest_resumable,
     "ingest_progress": ingest_progress,
+    "ingest_compacted": ingest_compacted,
     "rollup_maintained": rollup_maintained,
 }

@@ -14,9 +14,13 @@ from pyspark.sql import types as T
 from civicflow.schema import BATCH, CLEAN_SCHEMA, QUARANTINE_SCHEMA
 
 
-def write_batch(df: DataFrame, path: str, *within: str) -> None:
-    """Partitioned by ``batch_id`` (and ``within`` it); a repeated batch replaces its own partitions and no other."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH, *within).parquet(path)
+def write_batch(df: DataFrame, path: str, *within: str, whole: bool = False) -> None:
+    """Partitioned by ``batch_id`` (and ``within`` it); a repeated batch replaces its own partitions and no other.
+
+    With ``whole`` the rows replace the table, also batches that an earlier writer left there.
+    """
+    mode = "static" if whole else "dynamic"
+    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(BATCH, *within).parquet(path)
 
 
 def land_raw(raw: DataFrame, path: str, batch_id: int = 0) -> None:
