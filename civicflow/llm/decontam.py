@@ -117,7 +117,8 @@ def containment_pairs(
 
     ``documents`` has doc_id and text, ``benchmark`` item_id and text; other columns are ignored.  Returns
     doc_id, item_id, n_item (distinct shingles of the item), n_shared, containment, and first_word and
-    last_word (words of the document, from 0, that the shared shingles span).  Null or empty texts contain
+    last_word (words of the document, from 0, that the shared shingles span).  An empty table on either side gives no
+    pairs.  Null or empty texts contain
     nothing and are contained in nothing; null ids of documents are kept as null, items with a null id
     cannot be named and are left out.  Repeated rows give repeated pairs.
     """

@@ -214,7 +214,8 @@ def near_vectors(
 
     Two rows link if their labels are equal and their cosine is at least ``threshold``.  Returns per row
     vec_id, n_links (other rows linked directly), component_id (least id reachable, itself included) and
-    kept (vec_id = component_id).  Vectors that are null, empty, all zero or hold a null or non-finite
+    kept (vec_id = component_id).  An empty table gives an
+    empty result.  Vectors that are null, empty, all zero or hold a null or non-finite
     number, and rows with a null label or id, link with nothing; a null id has a null component and is
     kept.  Rows that share an id share a component.  Vectors of different length never link.
     """

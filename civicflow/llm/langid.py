@@ -296,7 +296,7 @@ def identify_languages(documents: DataFrame, train_docs: int = TRAIN_DOCS) -> Da
 
     Learns from rows with a non-null lang whose crc32(doc_id as text) mod 4 is not 2 (held_out: it is 2).
     Only the text enters a prediction.  A null text or one without a letter is ``und`` with score 0, and so
-    is everything if there is nothing to learn from.  Null ids are labelled too (held_out by the empty
+    is everything if there is nothing to learn from; an empty table gives an empty result.  Null ids are labelled too (held_out by the empty
     text); repeated rows give repeated results; other columns are ignored.  Nothing but the training sample
     is shuffled.
     """

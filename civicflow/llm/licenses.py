@@ -165,7 +165,8 @@ def scan_licenses(documents: DataFrame, notices: dict[str, str] = NOTICES) -> Da
     smallest and largest start in words, else null), base_labels and labels (distinct, sorted,
     comma-joined; labels adds those of the fuzzy search), score (1 for an exact phrase, else 1 minus the
     least share of edits among the notices found, else 0) and spans (label, characters from-to, edits).
-    A null text counts as empty: no words, no labels, score 0.  Repeated rows give repeated results.
+    A null text counts as empty: no words, no labels, score 0.  Repeated rows give repeated results,
+    an empty table none.
     Nothing is shuffled.
     """
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -231,7 +231,7 @@ def equal_runs(lines: Column, home: Column, diagonal: Column) -> Column:
 def line_deduplicated(documents: DataFrame) -> DataFrame:
     """All rows and columns of ``documents`` with later copies of repeated runs of lines cut out of text.
 
-    Adds _deleted_lines and _deleted_bytes.  Untouched texts stay byte for byte; null and empty texts stay
+    Adds _deleted_lines and _deleted_bytes.  An empty table stays empty.  Untouched texts stay byte for byte; null and empty texts stay
     as they are.  Rows with equal id and text count as one document and get the same result; null ids come
     last in the order.  Internal columns begin with an underscore.
     """

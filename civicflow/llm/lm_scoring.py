@@ -392,7 +392,7 @@ def score_documents(documents: DataFrame, bucket_entries: int = BUCKET_ENTRIES)
 
     Learns from rows whose crc32(doc_id as text) mod 7 is not 2.  Returns per row doc_id, held_out (it is
     2), n_tokens (words and one end), n_known (tokens seen in training), train_tokens, base_score (log10 by
-    add-one word counts) and score (log10 by this model).  A null or empty text is one end token.  A null
+    add-one word counts) and score (log10 by this model).  An empty table gives an empty result.  A null or empty text is one end token.  A null
     id counts as the empty text; repeated rows count and are scored one by one.  If nothing can be learned
     from, every token has the probability 1 / (V + 1) = 1.
     """

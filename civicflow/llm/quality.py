@@ -247,7 +247,7 @@ def quality_scores(documents: DataFrame, labels: DataFrame, train_rows: int = TR
 
     Only the text enters a score.  held_out: crc32(doc_id as text) mod 3 is 1; such rows are never
     learned from.  Null and empty texts get the score of all-zero statistics, null ids are scored too
-    (held_out by the empty text).  Extra columns are ignored.
+    (held_out by the empty text).  Extra columns are ignored, an empty table gives an empty result.
     """
     stats = stored(
         documents.select(F.col("doc_id").cast("long").alias("doc_id"), stats_udf("text").alias("stats")), "stats"

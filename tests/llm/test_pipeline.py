@@ -1,7 +1,7 @@
 import corpus_pipeline
 from civicflow.llm.common import stored
 
-from .cases import PASSAGE
+from .cases import PASSAGE, ROWS, documents
 
 
 def test_stages_keep_columns_and_take_effect(spark, sf001):
@@ -48,3 +48,17 @@ def test_run_is_the_stages_in_order(spark, sf001):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "decontamination", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None
     assert corpus_pipeline.run(spark, sf001).count() > 0
+
+
+def test_edge_cases_and_an_empty_table(spark, sf001):
+    """Nulls, long words, ties, repeated rows and clashing columns go through every stage; so does nothing."""
+    for rows in (ROWS, []):
+        docs = documents(spark, rows)
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            before = {r["doc_id"] for r in docs.collect()}
+            docs = stored(stage(spark, docs, sf001), f"t-edge-{name}")
+            assert docs.columns == columns and {r["doc_id"] for r in docs.collect()} <= before
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf001)
+        assert sorted(str(r["doc_id"]) for r in packed.where("piece = 0").collect()) == sorted(str(r["doc_id"]) for r in docs.collect())
+        assert (docs.count() > 0) == bool(rows)
