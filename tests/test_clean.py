@@ -20,14 +20,14 @@ def rows(spark, *dicts):
     return spark.createDataFrame(full, RAW_SCHEMA)
 
 
-OK = dict(unique_key="101", agency="A", complaint_type="C", open_data_channel_type="O",
-          created_date="2026-05-01T02:06:03.000")
+OK = dict(unique_key="sr-58", agency="PARKS", complaint_type="Fallen tree", open_data_channel_type="MOBILE",
+          created_date="2023-11-07T21:14:45.500")
 
 
 def test_normalisation(spark):
-    raw = rows(spark, dict(OK, borough="manhattan", status="CLOSED"))
+    raw = rows(spark, dict(OK, borough="Staten island", status="Re-Opened"))
     r = clean_rows(parse_requests(raw)).collect()[0]
-    assert (r.borough, r.status, r.zip_code, r.latitude, r.longitude) == ("MANHATTAN", "closed", "00000", 0.0, 0.0)
+    assert (r.borough, r.status, r.zip_code, r.latitude, r.longitude) == ("STATEN ISLAND", "re-opened", "00000", 0.0, 0.0)
 
 
 def test_failure_scenarios_are_quarantined(spark):
@@ -62,7 +62,7 @@ def test_keep_first_is_smallest_seq(spark):
 
 
 def test_invalid_row_never_shadows_a_valid_duplicate(spark):
-    raw = rows(spark, {"unique_key": "101", "agency": None}, dict(OK, borough="x", status="s"))
+    raw = rows(spark, {"unique_key": "sr-58", "agency": None}, dict(OK, borough="x", status="s"))
     r = clean_rows(parse_requests(raw)).collect()
     assert len(r) == 1 and r[0].seq == 1
 

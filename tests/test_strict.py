@@ -8,8 +8,8 @@ from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows
 from civicflow.session import scratch_path
 from civicflow.sources.jsonl import read_jsonl, read_jsonl_strict, strict_fields, write_jsonl
 
-GOOD = {"unique_key": "1", "agency": "A", "complaint_type": "C", "open_data_channel_type": "PHONE",
-        "status": "Open", "borough": "bronx", "created_date": "2026-05-01T02:06:03.000"}
+GOOD = {"unique_key": "731", "agency": "PARKS", "complaint_type": "Fallen tree", "open_data_channel_type": "MOBILE",
+        "status": "Assigned", "borough": "queens", "created_date": "2023-11-07T21:14:45.500"}
 
 
 def parse(spark, *records):
@@ -29,14 +29,14 @@ def reasons(spark, record):
 
 
 def test_numbers_in_string_fields_are_rejected(spark):
-    assert reasons(spark, {**GOOD, "unique_key": 1}) == ("1", ["unique_key"])
-    assert reasons(spark, {**GOOD, "descriptor": 7}) == ("1", ["descriptor"])
-    assert reasons(spark, {**GOOD, "incident_zip": 10451}) == ("1", ["zip_code"])
+    assert reasons(spark, {**GOOD, "unique_key": 731}) == ("731", ["unique_key"])
+    assert reasons(spark, {**GOOD, "descriptor": 7}) == ("731", ["descriptor"])
+    assert reasons(spark, {**GOOD, "incident_zip": 10451}) == ("731", ["zip_code"])
 
 
 def test_alias_wins_when_present_even_as_null(spark):
     both = {**GOOD, "open_data_channel_type": None, "channel_type": "ONLINE"}
-    assert reasons(spark, both) == ("1", ["channel_type"])
+    assert reasons(spark, both) == ("731", ["channel_type"])
     own = {k: v for k, v in GOOD.items() if k != "open_data_channel_type"} | {"channel_type": "ONLINE"}
     assert one_clean(spark, own).channel_type == "ONLINE"
 
@@ -60,7 +60,7 @@ def test_numeric_dates_are_unix_time(spark):
     expect = datetime(2024, 5, 1, 2, 6, 3)
     assert one_clean(spark, {**GOOD, "created_date": 1714529163}).created_date == expect
     assert one_clean(spark, {**GOOD, "created_date": 1714529163000}).created_date == expect
-    assert reasons(spark, {**GOOD, "created_date": True}) == ("1", ["created_date"])
+    assert reasons(spark, {**GOOD, "created_date": True}) == ("731", ["created_date"])
     assert one_clean(spark, {**GOOD, "created_date": "05/01/2026 02:06:03 PM"}).created_date.hour == 14
 
 
