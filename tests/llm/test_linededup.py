@@ -181,3 +181,14 @@ def test_words_are_counted_at_any_white_space(spark):
     got = {r["doc_id"]: r["text"] for r in linededup.deduplicate_lines(documents(spark, docs)).collect()}
     assert tabs in got[0] and tabs not in got[1] and tabs not in got[2]
     assert all(got[k] == dict(docs)[k] for k in range(3, 6))
+
+
+def test_a_twin_beyond_the_look_back_is_still_found(spark, monkeypatch):
+    """With one place to look back on, every later copy goes to the first place instead; the result is the same."""
+    block = lambda k: "".join(f"b{k}l{j} " + " ".join(f"b{k}w{j}x{i}" for i in range(9)) + "\n" for j in range(8))
+    a, b, c = block(1), block(2), block(3)
+    rows = [(1, a + b + c + a + c), (2, c + b + block(4) + a), (3, block(4) + block(5) + block(5))]
+    want = {1: a + b + c, 2: block(4), 3: block(5)}
+    for back in (1024, 1):
+        monkeypatch.setattr(linededup, "LOOK_BACK", back)
+        assert {r["doc_id"]: r["text"] for r in linededup.deduplicate_lines(documents(spark, rows)).collect()} == want
