@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from civicflow.fixtures import RAW_FIXTURE_COLUMNS, raw_requests, read_table, typed_lines, write_public_feed
 from civicflow.operators import aggregate as agg
+from civicflow.operators.pages import page_sample
 from civicflow.operators.profile import feed_schema, health_check, null_ranking
-from civicflow.operators.sample import head_sample, systematic_sample
+from civicflow.operators.sample import head_sample
 from civicflow.operators.summary import explode_records, summary_answers, summary_records
 from civicflow.operators.validate import validity_flag
 from civicflow.plans import layout
@@ -82,8 +83,7 @@ def sample_head(spark, sf_dir):
 
 def sample_systematic(spark, sf_dir):
     events = read_table(spark, sf_dir, "events").select("event_id", "ts")
-    order = [F.col("ts").desc(), F.col("event_id").asc()]
-    return systematic_sample(events, order, PAGE, STRIDE).select("event_id", "rank")
+    return page_sample(events, [("ts", "desc"), ("event_id", "asc")], PAGE, STRIDE).select("event_id", "rank")
 
 
 def pick_slice(spark, sf_dir):
