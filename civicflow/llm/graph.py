@@ -7,14 +7,19 @@ from pyspark.sql import functions as F
 
 from .common import ensure_checkpoint_dir
 
+#: Most nodes whose least neighbour is broadcast; the others have at most 2 * links / BUSY_NODES neighbours.
+BUSY_NODES = 100_000
+#: A node with no more neighbours than this is never taken apart.
+FEW_LINKS = 64
+
 
 def components(links: DataFrame) -> DataFrame:
     """node, component (least node reachable) for every node of ``links`` (a, b: long, not null).
 
     Alternating large-star and small-star steps: every node tells its larger (smaller) neighbours about the
     least one it knows, until the links are stars around the least nodes.  Steps need about the logarithm
-    of the longest path.  A node with very many links is spread by the join's skew handling, and its least
-    neighbour is found by a partial aggregate, so no task holds a whole neighbourhood.
+    of the longest path.  A node's least neighbour is found by a partial aggregate and told to its links by
+    ``_told``, so no task holds a whole neighbourhood.
     """
     ensure_checkpoint_dir(links.sparkSession)
     edges = (
@@ -24,7 +29,8 @@ def components(links: DataFrame) -> DataFrame:
         .checkpoint()
     )
     while not _are_stars(edges):
-        edges = _small_star(_large_star(edges)).checkpoint()
+        many = edges.count()
+        edges = _small_star(_large_star(edges, many), many).checkpoint()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
@@ -39,17 +45,32 @@ def _are_stars(edges: DataFrame) -> bool:
     return ups.where("up > 1 or (up = 1 and n > 1)").isEmpty()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, many: int) -> DataFrame:
     """Links (v, m) for all neighbours v > u of u, m the least of u and its neighbours."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("links"))
     # Only larger neighbours are told; in ``edges`` u is the larger end.
     upward = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
-    return upward.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _told(upward, least, 2 * many).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, many: int) -> DataFrame:
     """Links of u and of its smaller neighbours to the least of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    told = edges.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("links"))
+    told = _told(edges, least, many).where(F.col("v") != F.col("m"))
+    told = told.select(F.col("v").alias("u"), F.col("m").alias("v"))
     return least.select("u", F.col("m").alias("v")).unionByName(told).distinct()
+
+
+def _told(links: DataFrame, least: DataFrame, ends: int) -> DataFrame:
+    """u, v, m for every link (u, v), m the value of u in ``least`` (u, m, links; ``ends`` is the sum of links).
+
+    A join on u would send all links of a busy node to one task.  Nodes with more than ``ends / BUSY_NODES``
+    links, of which there are less than ``BUSY_NODES``, are broadcast and their links stay where they are;
+    only the links of all other nodes are joined by an exchange.
+    """
+    most = max(FEW_LINKS, -(-ends // BUSY_NODES))
+    busy = least.where(F.col("links") > most).select("u", F.col("m").alias("busy_m"))
+    met = links.join(F.broadcast(busy), "u", "left")
+    rest = met.where(F.col("busy_m").isNull()).select("u", "v").join(least.select("u", "m"), "u")
+    return met.where(F.col("busy_m").isNotNull()).select("u", "v", F.col("busy_m").alias("m")).unionByName(rest)
