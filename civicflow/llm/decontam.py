@@ -7,8 +7,10 @@ hashes) with k = largest size of the partition * (1 - threshold) + 1.  A documen
 ``threshold`` of an item misses fewer than k of its shingles, so at least one sketch hash is among the
 document's shingles: the search loses no pair.  Candidates are then verified on the full sets.
 
-The documents are read once per block of items and never shuffled; a block's sketches and shingle sets
-(``BLOCK_SHINGLES`` hashes at most, unless one item has more) are all that is sent to the tasks.
+A benchmark of at most ``BLOCK_SHINGLES`` shingle hashes (checked before it is sent) goes to the tasks as
+one block, and the documents are read once and never shuffled.  A larger one stays in Spark: the documents'
+shingle hashes are joined with the sketches, and each candidate's shared shingles are counted by a join
+with the item's full set, both spread by hash; no text travels.
 """
 
 from __future__ import annotations
@@ -24,10 +26,13 @@ from .common import Words, mix64, shingle_hashes, slices, stored
 
 WIDTH = 5
 THRESHOLD = 0.8
-#: Shingle hashes of benchmark items per pass over the documents (8 bytes each).
+#: Most shingle hashes of a benchmark that is sent to the tasks whole (8 bytes each).
 BLOCK_SHINGLES = 1_000_000
 
+HASH_SCHEMA = "row long, width int, hash long, first_word long, last_word long"
 PAIR_SCHEMA = "doc_id long, item_id long, n_item long, n_shared long, containment double, first_word long, last_word long"
+#: Name of the row number that a large benchmark's join needs.
+ROW = "_decontam_row"
 ITEM_SCHEMA = "item_id long, width int, shingles array<long>, sketch array<long>"
 
 
@@ -122,47 +127,97 @@ def containment_pairs(
     nothing and are contained in nothing; null ids of documents are kept as null, items with a null id
     cannot be named and are left out.  Repeated rows give repeated pairs.
     """
-    spark = documents.sparkSession
     sketches = stored(item_sketches(benchmark, width, threshold), "sketches")
-    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = None
-    for rows in _blocks(sketches):
-        block = Block(rows, threshold)
-
-        def search(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, "text"):
-                got = list(block.matches(Words(batch.column("text")), batch.column("doc_id").to_pylist()))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-                cols = list(zip(*got)) or [[] for _ in kinds]
-                names = [c.split()[0] for c in PAIR_SCHEMA.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
-
-        pairs = source.mapInArrow(search, PAIR_SCHEMA)
-        found = pairs if found is None else found.unionByName(pairs)
-    return found if found is not None else spark.createDataFrame([], PAIR_SCHEMA)
-
-
-def _blocks(sketches: DataFrame) -> Iterator[list]:
-    """The items in blocks of bounded size, streamed one partition at a time."""
-    rows, size = [], 0
-    for row in sketches.toLocalIterator():
-        if rows and size + len(row["shingles"]) > BLOCK_SHINGLES:
-            yield rows
-            rows, size = [], 0
-        rows.append(row)
-        size += len(row["shingles"])
-    if rows:
-        yield rows
+    block = _block(sketches, threshold)
+    if block is None:
+        return _joined_pairs(_with_row(documents.select("doc_id", "text")), sketches, threshold).drop("row")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            got = list(block.matches(Words(batch.column("text")), batch.column("doc_id").to_pylist()))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+            cols = list(zip(*got)) or [[] for _ in kinds]
+            names = [c.split()[0] for c in PAIR_SCHEMA.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(search, PAIR_SCHEMA)
 
 
 def decontaminated(
     documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """The rows of ``documents``, all columns, whose text contains no benchmark item; nothing is shuffled."""
+    """The rows of ``documents``, all columns, whose text contains no benchmark item."""
     sketches = stored(item_sketches(benchmark, width, threshold), "sketches")
-    for rows in _blocks(sketches):
-        documents = documents.where(~_leaks(Block(rows, threshold))("text"))
-    return documents
+    block = _block(sketches, threshold)
+    if block is not None:
+        return documents.where(~_leaks(block)("text"))
+    rows = _with_row(documents)
+    leaking = _joined_pairs(rows, sketches, threshold).select(F.col("row").alias(ROW)).distinct()
+    return rows.join(leaking, ROW, "left_anti").drop(ROW)
+
+
+def _block(sketches: DataFrame, threshold: float) -> Block | None:
+    """All items, if their shingle hashes are few enough to be sent; else nothing."""
+    size = sketches.agg(F.coalesce(F.sum(F.size("shingles")), F.lit(0))).first()[0]
+    return Block(sketches.collect(), threshold) if size <= BLOCK_SHINGLES else None
+
+
+def _with_row(documents: DataFrame) -> DataFrame:
+    """The rows with a number of their own, written once, since a second evaluation might number otherwise."""
+    return stored(documents.withColumn(ROW, F.monotonically_increasing_id()), "numbered-documents")
+
+
+def document_hashes(rows: DataFrame, widths: list[int]) -> DataFrame:
+    """row, width, hash, first_word and last_word (where its first and last occurrence start): once per text and hash."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2 << 20):
+            words = Words(batch.column("text"))
+            tokens = words.fingerprints()[words.ids] if len(words.ids) else np.empty(0, np.uint64)
+            row = batch.column("row").to_numpy()
+            for width in widths:
+                every = shingle_hashes(tokens, width)
+                place = np.arange(len(every))
+                text = np.searchsorted(words.starts, place, side="right") - 1
+                inside = place + width <= words.starts[text + 1]  # not across two texts
+                place, text = place[inside], text[inside]
+                order = np.lexsort((place, every[place], text))
+                place, text = place[order], text[order]
+                own = every[place]
+                new = np.r_[True, (text[1:] != text[:-1]) | (own[1:] != own[:-1])] if len(own) else np.empty(0, bool)
+                first = np.flatnonzero(new)
+                last = np.r_[first[1:], len(own)] - 1 if len(first) else first
+                start = words.starts[text]
+                cols = [row[text[first]], np.full(len(first), width, np.int32), own[first].astype(np.int64)]
+                cols += [place[first] - start[first], place[last] - start[first]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=[c.split()[0] for c in HASH_SCHEMA.split(", ")])
+
+    return rows.mapInArrow(hashes, HASH_SCHEMA)
+
+
+def _joined_pairs(rows: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """``row`` and the columns of ``containment_pairs``, with the benchmark as a table."""
+    items = stored(sketches.withColumn("item", F.monotonically_increasing_id()), "items")
+    widths = sorted(r[0] for r in items.select("width").distinct().collect())  # as many as a shingle has words
+    texts = rows.select(F.col(ROW).alias("row"), "text")
+    index = items.select("item", "width", F.explode("sketch").alias("hash"))
+    found = document_hashes(texts, widths).select("row", "width", "hash").join(index, ["width", "hash"])
+    candidates = stored(found.select("row", "item").distinct(), "candidates")
+
+    # The texts of candidates once more; an item's shingles stand beside each document that may hold it.
+    wanted = texts.join(candidates.select("row").distinct(), "row", "left_semi")
+    asked = candidates.join(items.select("item", "width", F.explode("shingles").alias("hash")), "item")
+    shared = asked.join(document_hashes(wanted, widths), ["row", "width", "hash"]).groupBy("row", "item")
+    counts = shared.agg(
+        F.count(F.lit(1)).alias("n_shared"),
+        F.min("first_word").alias("first_word"),
+        (F.max("last_word") + F.first("width") - 1).alias("last_word"),
+    )
+    sizes = items.select("item", "item_id", F.size("shingles").cast("long").alias("n_item"))
+    names = rows.select(F.col(ROW).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    kept = counts.join(sizes, "item").where(F.col("n_shared") >= threshold * F.col("n_item") - 1e-9)
+    kept = kept.withColumn("containment", F.col("n_shared") / F.col("n_item"))
+    return kept.join(names, "row").select("row", *[c.split()[0] for c in PAIR_SCHEMA.split(", ")])
 
 
 def _leaks(block: Block):

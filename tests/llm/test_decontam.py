@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from civicflow.llm import decontam
 from civicflow.llm.queries import ORACLE_SQL, op7_decontamination
@@ -43,7 +44,7 @@ def test_sketch_loses_no_pair():
 
 @pytest.mark.parametrize("block", [10**6, 40])
 def test_edited_items_against_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(decontam, "BLOCK_SHINGLES", block)  # several passes over the documents
+    monkeypatch.setattr(decontam, "BLOCK_SHINGLES", block)  # a benchmark too large to be sent
     rng = random.Random(4)
     items = [(k, " ".join(f"v{rng.randint(0, 300)}" for _ in range(rng.randint(1, 60)))) for k in range(25)]
     items += [(90, None), (91, " "), (None, "no id here at all, is it"), (92, items[0][1])]
@@ -72,3 +73,25 @@ def test_edge_cases(spark):
     assert decontam.containment_pairs(documents(spark, []), bench).count() == 0
     assert decontam.containment_pairs(documents(spark), bench.limit(0)).count() == 0
     assert decontam.decontaminated(documents(spark), bench.limit(0)).count() == documents(spark).count()
+
+
+def test_large_benchmark_gives_the_same_rows(spark, sf001, monkeypatch):
+    """Joined in Spark or sent to the tasks: same pairs with the same spans, and the same documents stay."""
+    docs = spark.read.parquet(f"{sf001}/documents.parquet")
+    odd = documents(spark).select("doc_id", "text")
+    both = docs.select("doc_id", "text").unionByName(odd).withColumn("row", F.lit(1))
+    bench = spark.read.parquet(f"{sf001}/benchmark.parquet").select("item_id", "text")
+    bench = bench.unionByName(spark.createDataFrame([(-1, PASSAGE), (-2, "One"), (-2, "One")], bench.schema))
+
+    def results():
+        pairs = decontam.containment_pairs(both, bench)
+        kept = decontam.decontaminated(both, bench)
+        assert kept.columns == both.columns
+        return pairs.columns, sorted(map(str, pairs.collect())), sorted(map(str, kept.collect()))
+
+    sent = results()
+    monkeypatch.setattr(decontam, "BLOCK_SHINGLES", 10)
+    assert results() == sent
+    assert len(sent[1]) > 5
+    empty = documents(spark, [])
+    assert decontam.containment_pairs(empty, bench).count() == decontam.decontaminated(empty, bench).count() == 0
