@@ -104,24 +104,3 @@ def test_components_of_long_paths_and_stars(spark):
     assert all(got[k] == 100 for k in range(100, 161)) and all(got[k] == 7 for k in (7, 8, *range(300, 901)))
     assert len(got) == 61 + 603
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
-
-
-def test_components_with_busy_nodes(spark, monkeypatch):
-    """Stars joined by paths, with so low a bound that most centres are broadcast and others are not."""
-    monkeypatch.setattr(graph, "FEW_LINKS", 3)
-    rng = random.Random(2)
-    edges = [(c, c * 1000 + k) for c in (5, 9, 13) for k in range(200)]
-    edges += [(5, 70000), (70000, 70001), (70001, 9), (13, 5200)] + [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(150)]
-    parent = {n: n for e in edges for n in e}
-
-    def root(n):
-        while parent[n] != n:
-            n = parent[n]
-        return n
-
-    for a, b in edges:
-        a, b = sorted((root(a), root(b)))
-        parent[b] = a
-    got = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
-    ends = {n for a, b in edges if a != b for n in (a, b)}
-    assert sorted((r["node"], r["component"]) for r in got) == sorted((n, root(n)) for n in ends)
