@@ -207,7 +207,7 @@ def parse_created_date(value: Column) -> Column:
 
 def parse_coordinate(value: Column) -> Column:
     """Lenient float: unparseable, blank, 'N/A' or missing -> 0.0 (the 'unknown' marker)."""
-    parsed = F.when(value.rlike(FLOAT_RE), F.regexp_replace(value, "_", "").try_cast("double"))
+    parsed = F.when(value.rlike(FLOAT_RE), F.replace(value, F.lit("_"), F.lit("")).try_cast("double"))
     return F.coalesce(parsed, F.lit(0.0))
 
 

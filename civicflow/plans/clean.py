@@ -138,10 +138,14 @@ def parse_requests(raw: DataFrame) -> DataFrame:
     return row_barrier(project_requests(raw))
 
 
+def slim_requests(parsed: DataFrame) -> DataFrame:
+    """Parsed rows as they are kept: only rejected rows have their original record and its id."""
+    return parsed.withColumns({c: F.when(~is_valid(), F.col(c)) for c in (ORIGINAL, RECORD_ID)})
+
+
 def stage_requests(raw: DataFrame, path: str) -> DataFrame:
     """The parsed rows written once; only rejected rows keep their original record."""
-    parsed = parse_requests(raw)
-    slim = parsed.withColumn(ORIGINAL, F.when(~is_valid(), F.col(ORIGINAL)))
+    slim = slim_requests(parse_requests(raw))
     slim.write.mode("overwrite").parquet(path)
     return raw.sparkSession.read.schema(slim.schema).parquet(path)
 

@@ -65,13 +65,17 @@ class CleanStore:
         number = F.lit(batch_id).cast("long").alias(BATCH)
         if self.rows.has_merged(spark, batch_id):
             return self.read(spark).where(~others)
-        winners.persist(StorageLevel.MEMORY_AND_DISK)
+        filters = self.read_filters(spark).where(others)
+        first = filters.isEmpty()
+        if not first:  # the first batch is compared with nothing, and so read once
+            winners.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            new = drop_known(winners, self.read(spark).where(others), self.read_filters(spark).where(others), KEY, self.space)
+            new = winners if first else drop_known(winners, self.read(spark).where(others), filters, KEY, self.space)
             bucketed = new.select(*CLEAN_SCHEMA.fieldNames(), number, self.space.bucket(KEY).alias(BUCKET))
             self.rows.write(bucketed.hint("rebalance", BUCKET))
         finally:
-            winners.unpersist()
+            if not first:
+                winners.unpersist()
         written = self.rows.recent(spark).where(~others)
         if not written.isEmpty():
             self.filters.write(key_bitmaps(written, KEY, self.space).select("*", number))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from civicflow.fixtures import raw_requests, write_public_feed
 from civicflow.plans import layout
 from civicflow.plans.clean import clean_rows, quarantine_rows, stage_requests
-from civicflow.session import checkpoint_root, scratch_path
+from civicflow.session import checkpoint_root, finer_splits, scratch_path
 from civicflow.sources.jsonl import arrival_bounds, land_arrival
 from civicflow.sources.sinks import land_raw, read_clean, read_quarantine, write_clean, write_quarantine
 from civicflow.streaming.ingest import IngestPaths, run_ingest
@@ -116,7 +116,8 @@ def ingest_store(spark: SparkSession, sf_dir: str) -> IngestPaths:
     def build(root: str) -> None:
         raw = raw_requests(spark, sf_dir)
         for lo, hi in arrival_bounds(raw, ARRIVALS):
-            land_arrival(raw, ingest_paths(root).landing, lo, hi)
+            with finer_splits(spark, ARRIVALS):  # one arrival is one part of the input
+                land_arrival(raw, ingest_paths(root).landing, lo, hi)
             run_ingest(spark, ingest_paths(root))
 
     return ingest_paths(_derived(spark, sf_dir, "ingest", build))

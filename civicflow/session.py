@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SPLITS_CONF = "spark.sql.files.minPartitionNum"
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "civicflow") -> SparkSession:
@@ -62,3 +65,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root.rstrip('/')}/civicflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def finer_splits(spark: SparkSession, parts: int) -> Iterator[None]:
+    """Files are read in enough splits that each of ``parts`` consecutive parts of them keeps all cores busy.
+
+    Spark still keeps splits above ``spark.sql.files.openCostInBytes``, and a row group whole.
+    """
+    before = spark.conf.get(SPLITS_CONF, None)
+    wanted = parts * spark.sparkContext.defaultParallelism
+    spark.conf.set(SPLITS_CONF, str(max(wanted, int(before or 0))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SPLITS_CONF)
+        else:
+            spark.conf.set(SPLITS_CONF, before)

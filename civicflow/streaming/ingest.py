@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicflow.operators.validate import is_valid
-from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows
+from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows, slim_requests
 from civicflow.plans.rollup import Rollup
 from civicflow.plans.store import STORE_SCHEMA, CleanStore
 from civicflow.schema import QUARANTINE_SCHEMA
@@ -66,7 +66,7 @@ def _write_batch(paths: IngestPaths, compact_every: int | None = None):
         spark = batch.sparkSession
         if compact_every and batch_id and batch_id % compact_every == 0:
             compact_ingest(spark, paths)
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        batch = slim_requests(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             written = CleanStore(paths.clean).add(clean_rows(batch), batch_id)
             rollup = Rollup(paths.rollup)

@@ -1,13 +1,15 @@
 """Resumable ingest: arrivals, restart, replay, progress; feeds as they are published."""
 
 import json
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from civicflow.fixtures import raw_requests
 from civicflow.operators.profile import null_ranking
+from civicflow.operators.validate import is_valid
 from civicflow.plans.batch import run_batch
-from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows
+from civicflow.plans.clean import clean_rows, parse_requests, quarantine_rows, slim_requests
 from civicflow.queries import _cross_batch, _halves_united
 from civicflow.schema import QUARANTINE_SCHEMA, RAW_LINE, RAW_SCHEMA
 from civicflow.session import scratch_path
@@ -147,3 +149,51 @@ def test_whole_batch_flow_can_be_run_again(spark, sf001):
         assert sum(r["count"] for r in reports.quarantine_by_type.collect()) == quarantined
         assert spark.read.csv(f"{out}/csv", header=True).count() == expected
     assert quarantined == quarantine_rows(parse_requests(raw)).count()
+
+
+def test_an_arrival_is_landed_by_all_cores(spark, monkeypatch):
+    """An arrival stands in a quarter of the input: its part of the input is split as finely as the whole was."""
+    from civicflow.plans import tables
+    from civicflow.session import SPLITS_CONF
+
+    folder = scratch_path(spark, "t-arrivals")
+    events = spark.range(40_000).selectExpr(
+        "id as event_id", "timestamp'2026-05-01 10:00:00' as ts", "id % 50 as user_id", "'view' as event_type",
+        "1.0D as value", "uuid() as props",
+    )
+    small_groups = {"parquet.block.size": 4096, "parquet.page.size.row.check.max": 100, "compression": "none"}
+    events.coalesce(1).write.options(**small_groups).parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(tables, "run_ingest", lambda *args: None)
+    before = spark.conf.get(SPLITS_CONF, None)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        landing = tables.ingest_store(spark, folder).landing
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert spark.conf.get(SPLITS_CONF, None) == before
+    files = [p for p in Path(landing.removeprefix("file:")).glob("*.json") if p.stat().st_size]
+    assert len(files) >= (tables.ARRIVALS - 1) * spark.sparkContext.defaultParallelism
+    assert read_jsonl(spark, landing).agg(F.count_distinct("seq"), F.count("seq")).first()[:] == (40_000, 40_000)
+
+
+def test_kept_rows_have_their_original_only_if_rejected(spark, sf001):
+    parsed = parse_requests(raw_requests(spark, sf001))
+    slim = slim_requests(parsed)
+    kept = slim.where(F.col("_original").isNotNull() | F.col("_record_id").isNotNull())
+    assert kept.count() == quarantine_rows(parsed).count() == kept.where(~is_valid()).count()
+    columns = ("record_id", "error_fields", "original_record")
+    assert quarantine_rows(slim).select(*columns).exceptAll(quarantine_rows(parsed).select(*columns)).isEmpty()
+    assert clean_rows(slim).exceptAll(clean_rows(parsed)).isEmpty()
+
+
+def test_first_batch_is_not_kept(spark, sf001, monkeypatch):
+    """Only rows that are compared with a store are read twice."""
+    from civicflow.plans.store import CleanStore
+
+    kept = []
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.persist", lambda df, *a: kept.append(1) or df)
+    raw, store = raw_requests(spark, sf001), CleanStore(scratch_path(spark, "t-first"))
+    store.add(clean_rows(parse_requests(raw.where("seq < 600"))), 0)
+    assert not kept
+    store.add(clean_rows(parse_requests(raw.where("seq >= 600"))), 1)
+    assert kept and store.read_clean(spark).exceptAll(clean_rows(parse_requests(raw))).isEmpty()
